@@ -40,7 +40,7 @@ SURVEYS = "sv as (select distinct o_orderdate::date as d from orders where o_ord
 FIXED = f"{SURVEYS}, iv as (select row_number() over (order by d) as interval_id, d as growth_date, d - 13 as a, d as b, 14::bigint as days_expected from sv)"
 AGG = f"""{DAILY}, {FIXED}, ag as (select interval_id, growth_date, days_expected, count(date) as days_used, round_even(count(date) / days_expected, 3) as day_coverage, round_even(avg(completeness), 3) as record_completeness,
     sum(case when not is_complete then 1 else 0 end) filter (date is not null) as n_incomplete_days, case when count(date) > 0 then coalesce(sum(dli), 0.0) end as dli_sum, avg(dli) as dli_mean, avg(temp_mean) as temp_mean, max(temp_max) as temp_max, min(temp_min) as temp_min, avg(temp_max) as temp_max_mean
-    from iv left join env on date between a and b group by all)"""
+    from iv left join env on date between a and b group by interval_id, growth_date, days_expected)"""
 AGG_T = f"""{DAILY_T}, {FIXED}, ag as (select k.trt, iv.interval_id, iv.growth_date, count(date) as days_used, case when count(date) > 0 then coalesce(sum(dli), 0.0) end as dli_sum, avg(temp_mean) as temp_mean
     from iv cross join (select distinct trt from env) k left join env on env.trt = k.trt and date between a and b group by all)"""
 DEFS = "select interval_id, growth_date, (a - {lag})::date as start_date, (b - {lag})::date as end_date, ((b - a) + 1)::bigint as days_expected, {lag}::bigint as lag_days from iv"

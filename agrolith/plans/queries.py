@@ -455,3 +455,20 @@ def corr_matrix(spark, sf):
 def ols(spark, sf):
     out = stats.least_squares(_wide(spark, sf), "temp", "ppfd", "solar")
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("intercept", "b1", "b2")])
+
+
+# --- streams (rows only: no SQL)
+
+
+@query
+def stream_daily(spark, sf):
+    """Readings as a stream, in days that close two days after their end."""
+    import uuid
+
+    from agrolith.session import shared_root
+    from agrolith.streaming import live
+
+    events = live.read(spark, f"{sf}/events.parquet", I.table(spark, sf, "events").schema)
+    r = events.select((F.col("user_id") % 4).cast("string").alias("zone"), I.variable().alias("channel"), "ts", "value")
+    token = uuid.uuid4().hex
+    return live.drained(live.daily(r), f"stream_daily_{token}", f"{shared_root(spark)}/stream-{token}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +23,9 @@ def local_session(cpus: int | None = None, partitions: int | None = None, name:
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a local one only where that is unset (tests, local mode)."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else "file://" + tempfile.mkdtemp(prefix="agrolith-")
