@@ -1,7 +1,7 @@
 """K-d tree partitioning of documents into shards of nearly equal bytes (operator 6, native).
 
 Points are groups of equal texts, weighted by their bytes, so copies lie in one shard. A group over
-``1 / PART`` of a shard is cut by a hash of its ids into parts of about that weight: it cannot lie whole
+``1 / PART`` of a shard is cut by a hash of its ids into small parts: it cannot lie whole
 in one shard and leave the sizes near equal, nor in one task.
 
 The tree is grown on the driver from aggregates alone. At each level one pass finds, for every
@@ -25,7 +25,9 @@ from agrolith.llm.common import materialise, row_numbers
 
 SHARDS = 40
 #: Groups of equal texts stay whole up to this part of a shard's bytes.
-PART = 10
+PART = 25
+#: A group over that is cut into so many parts for each such share: once it is cut, small parts balance best.
+FINE = 16
 BINS = 4096
 BITS, TIE = 20, 43
 EXTRA = 16
@@ -139,7 +141,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, part: int = PART, bins: int = B
     n, total = groups.agg(F.sum("n"), F.sum(F.col("size") * F.col("n"))).first()
     limit = max(1, (total or 0) // (shards * part))
     # Groups over the limit number at most shards * part, so this side is bounded by the parameters.
-    hot = groups.where(F.col("size") * F.col("n") > limit).select(*_GROUP, F.ceil(F.col("size") * F.col("n") / limit).alias("_parts"))
+    hot = groups.where(F.col("size") * F.col("n") > limit).select(*_GROUP, F.ceil(F.col("size") * F.col("n") * FINE / limit).alias("_parts"))
     piece = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")), F.lit(0)).cast("int").alias("_piece")
     cut = lambda df: df.join(F.broadcast(hot), _GROUP, "left")
     hot_rows = rows.join(F.broadcast(hot), _GROUP).groupBy(*_GROUP, piece).agg(F.count(F.lit(1)).alias("n"))
