@@ -33,9 +33,9 @@ CAPACITY = 2048
 CLOSING = 1
 SLACK = 0.02
 #: Chunks whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 1_200_000
 #: Pieces numbered in one task.
-BUCKET = 100_000
+BUCKET = 10_000
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int, int]]:
@@ -54,7 +54,10 @@ def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[i
 
 
 class Encoder:
-    """Texts to the bytes of their ids (little-endian, 32 bits), by way of remembered chunks."""
+    """Texts to the bytes of their ids (little-endian, 32 bits), by way of remembered chunks.
+
+    ASCII letters are lower-cased before chunks are looked up, as the tokenizer lower-cases them anyhow.
+    """
 
     _by_path: dict[str, Encoder] = {}
 
@@ -62,9 +65,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.own, self.known = Tokenizer.from_file(path), {"": b""}
-        self.mark = next(iter(sorted(self.own.get_added_tokens_decoder())), None)
-        self.between = self.mark is not None and self.own.id_to_token(self.mark)
+        self.own, self.known = Tokenizer.from_file(path), {}
+        self.mark = min(self.own.get_added_tokens_decoder())
+        self.between = self.own.id_to_token(self.mark)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -72,38 +75,39 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.known = {"": b""}
-        odd = [c for c in chunks if not self.between or self.between in c]
-        plain = [c for c in chunks if self.between and self.between not in c]
-        for a in range(0, len(plain), 2000):
-            part = plain[a : a + 2000]
-            ids = self._ids(self.between.join(part))
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Ids of new chunks, many in one text with a special token between them."""
+        between = self.between.encode()
+        odd = [c for c in chunks if between in c]
+        self.known.update(zip(odd, (x.tobytes() for x in self._ids([c.decode() for c in odd])), strict=True))
+        plain = [c for c in chunks if between not in c]
+        parts = [plain[a : a + 1000] for a in range(0, len(plain), 1000)]
+        for part, ids in zip(parts, self._ids([between.join(p).decode() for p in parts]), strict=True):
             ends = np.flatnonzero(ids == self.mark)
-            self.known.update(zip(part, (x.tobytes() for x in (ids[s:e] for s, e in zip([0, *(ends + 1)], [*ends, len(ids)], strict=True))), strict=True))
-        for c in odd:
-            self.known[c] = self._ids(c).tobytes()
+            raw, cuts_at = ids.tobytes(), [-4, *(4 * ends).tolist(), 4 * len(ids)]
+            self.known.update(zip(part, (raw[x + 4 : y] for x, y in zip(cuts_at, cuts_at[1:], strict=False)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Texts go in turns, so that the chunks of a batch of long ones are not held at once."""
         out, turn, size = [], [], 0
         for t in texts:
-            turn.append(t.replace("\n", " ").split(" "))
-            size += len(t)
+            raw = t.encode()
+            turn.append((raw if b"<|" in raw else raw.lower()).split())  # a special token in capitals is none
+            size += len(raw)
             if size > 2_000_000:
                 out += self._turn(turn)
                 turn, size = [], 0
         return out + self._turn(turn)
 
-    def _turn(self, chunks: list[list[str]]) -> list[bytes]:
-        new = set().union(*chunks).difference(self.known)
+    def _turn(self, chunks: list[list[bytes]]) -> list[bytes]:
+        every = set().union(*chunks)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > MEMORY:
+            self.known, new = {}, every
         if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known, new = {"": b""}, set().union(*chunks) - {""}
             self._learn(list(new))
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in chunks]

@@ -68,7 +68,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    models = lm.train(lm.flagged(docs, table(spark, sf_dir, "labels")), F.col("good"))
+    models = lm.train(docs, lm.good(docs.select("doc_id", "text"), table(spark, sf_dir, "labels")))
     return lm.score(docs, models)
 
 

@@ -47,6 +47,11 @@ SAYING = frozenset("said says saying wrote writes called quoted quote reported s
 OPEN, CLOSE = "\"“„«‘", "\"”“»’"
 
 
+NONE = (0.0, 0.0, 0.0, 0.0)
+#: Where the weights of the features and the bias start, and what a ridge draws them to.
+PRIOR = (1.5, 0.7, 0.1, 0.5, -3.0)
+
+
 def edits_for(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
@@ -154,18 +159,19 @@ def quoted(text: str, start: int, end: int) -> bool:
     return any(w in SAYING for w in _word.findall(before.lower())[-4:])
 
 
-def features(text: str, lexicon: Lexicon) -> tuple[float, float, float]:
-    """Weight of matches as spelled, of misspelled ones and of quoted ones, each as log(1 + sum)."""
+def features(text: str, lexicon: Lexicon) -> tuple[float, ...]:
+    """Weight of matches as spelled, of misspelled ones, of quoted ones, and of the first two by 100 words, each as log(1 + sum)."""
     low = text.lower()
     match = lexicon.match
-    hit = {w: m for w in set(_word.findall(low)) if (m := match(w)) is not None}
+    words = _word.findall(low)
+    hit = {w: m for w in set(words) if (m := match(w)) is not None}
     if not hit:
-        return 0.0, 0.0, 0.0
+        return NONE
     sums = [0.0, 0.0, 0.0]
     for m in re.finditer(r"(?<![^\W_])(?:" + "|".join(map(re.escape, sorted(hit, key=len, reverse=True))) + r")(?![^\W_])", low):
         weight, edits = hit[m.group()]
         sums[2 if quoted(low, *m.span()) else min(edits, 1)] += weight / (1 + edits)
-    return tuple(map(math.log1p, sums))
+    return tuple(map(math.log1p, (*sums, 100 * (sums[0] + sums[1]) / len(words))))
 
 
 def _words(text: str) -> set[str]:
@@ -217,17 +223,18 @@ def learn_lexicon(train: DataFrame, terms: int = TERMS) -> Lexicon:
 
     toxic, other = train.where("toxic = 1"), train.where("toxic = 0")
     count = lambda rows, wanted: rows.select("text").mapInArrow(counts(wanted), "key string, like long").distinct().groupBy("key").count()
-    found = {r["key"]: r["count"] for r in count(toxic, None).where("count >= 4").orderBy(F.desc("count"), "key").limit(20 * terms).collect()}
+    found = {r["key"]: r["count"] for r in count(toxic, None).where("count >= 2").orderBy(F.desc("count"), "key").limit(20 * terms).collect()}
     n1, n0 = max(1, toxic.count()), max(1, other.count())
     words, stems = frozenset(w for w in found if w[-1] != "*"), frozenset(w for w in found if w[-1] == "*")
     sent = spark.sparkContext.broadcast((words, stems))
     also = {r["key"]: r["count"] for r in count(other, sent).collect()} if found else {}
-    p, chosen = n1 / (n0 + n1), {}
+    p, chosen, under = n1 / (n0 + n1), {}, Counter()
     for w, k in found.items():
         weight = math.log((k + 0.5) / (n1 + 1)) - math.log((also.get(w, 0) + 0.5) / (n0 + 1))
-        if weight >= 2 and _tail(k, k + also.get(w, 0), p) >= 5:
+        if weight >= 1 and w[-1] != "*":
+            under.update([*_prefixes(w), w + "*"])
+        if weight >= 2 and k >= 4 and _tail(k, k + also.get(w, 0), p) >= 5:
             chosen[w] = min(weight, 8.0)
-    under = Counter(s for w in chosen if w[-1] != "*" for s in _prefixes(w) + [w + "*"])
     kept_stems = {}
     for s in sorted(s for s in chosen if s[-1] == "*"):
         longer = [x for x in chosen if x[-1] == "*" and len(x) == len(s) + 1 and x.startswith(s[:-1]) and found[x] >= 0.95 * found[s]]
@@ -238,18 +245,18 @@ def learn_lexicon(train: DataFrame, terms: int = TERMS) -> Lexicon:
     return Lexicon(strongest(alone), strongest(kept_stems))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.003) -> np.ndarray:
     """Weights of a logistic model with a bias last, by damped Newton steps; weights of matches are kept at 0 or more."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.array([2.0, 1.0, 0.2, -3.0])
+    w = prior = np.array(PRIOR)
     if not len(y) or y.min() == y.max():
         return w
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) / len(y) + ridge * (w - [2.0, 1.0, 0.2, 0.0])
-        h = (x * (p * (1 - p))[:, None]).T @ x / len(y) + (ridge + 1e-6) * np.eye(4)
+        g = x.T @ (p - y) / len(y) + ridge * (w - prior)
+        h = (x * (p * (1 - p))[:, None]).T @ x / len(y) + (ridge + 1e-6) * np.eye(len(w))
         w = w - np.clip(np.linalg.solve(h, g), -1, 1)
-        w[:3] = np.maximum(w[:3], 0)
+        w[:-1] = np.maximum(w[:-1], 0)
     return w
 
 
@@ -258,8 +265,8 @@ class Model:
         self.lexicon, self.weights = lexicon, weights
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        x = np.array([features(t, self.lexicon) for t in texts], float).reshape(-1, 3)
-        return 1 / (1 + np.exp(-(x @ self.weights[:3] + self.weights[3])))
+        x = np.array([features(t, self.lexicon) for t in texts], float).reshape(-1, len(NONE))
+        return 1 / (1 + np.exp(-(x @ self.weights[:-1] + self.weights[-1])))
 
 
 def held_out():
@@ -278,11 +285,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def run(batches):
         for b in batches:
-            x = np.array([features(t, sent.value) for t in text_column(b)], float).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), column(b, "toxic")], names=["a", "b", "c", "toxic"])
+            x = np.array([features(t, sent.value) for t in text_column(b)], float).reshape(-1, len(NONE))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), column(b, "toxic")], names=[*"abcd", "toxic"])
 
-    seen = rows.mapInArrow(run, "a double, b double, c double, toxic int").toArrow()
-    x = np.column_stack([seen[c].to_numpy() for c in "abc"]) if seen.num_rows else np.zeros((0, 3))
+    seen = rows.mapInArrow(run, "a double, b double, c double, d double, toxic int").toArrow()
+    x = np.column_stack([seen[c].to_numpy() for c in "abcd"]) if seen.num_rows else np.zeros((0, len(NONE)))
     return Model(lexicon, fit(x, seen["toxic"].to_numpy().astype(float)))
 
 

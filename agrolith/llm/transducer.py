@@ -9,7 +9,7 @@ Weights: in a unigram model an arc weighs minus its piece's score. In a BPE mode
 there an arc weighs 0 if the piece may follow the one before it and infinity if not. Two
 neighbours may stand together if merging their joint text gives exactly these two; a chain of such
 neighbours is what merging the whole text gives, and only one path into each position is finite. Verdicts
-on neighbours are made by the merges once and remembered.
+on neighbours are made by the merges at their seam, once, and remembered.
 
 As no piece has a blank mark after another character, no path crosses from a word into the
 next blank, so words are composed one at a time and remembered, in bounded memory.
@@ -23,6 +23,7 @@ encoded each. An empty table gives an empty result. Further columns are passed o
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from math import inf
 
@@ -35,7 +36,7 @@ from agrolith.llm.common import column, text_column
 
 MARK = "▁"
 #: Words and neighbours that a worker remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 _words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -47,14 +48,15 @@ class Transducer:
         self.pieces, self.byte_ids, self.unknown, self.merges, self.prefix = pieces, byte_ids, unknown, merges, prefix
         self.crosses = any(MARK in p.lstrip(MARK) for p in pieces)
         self.text = {i: p for p, (i, _) in pieces.items()}
-        self.trie: dict = {}
-        for p, (i, score) in pieces.items():
+        self.trie: list = [{}, None]  # pieces from their ends on: followers by character, and the piece that is complete
+        for p in pieces:
             node = self.trie
-            for c in p:
-                node = node.setdefault(c, {})
-            node[""] = (i, -score, p)
+            for c in reversed(p):
+                node = node[0].setdefault(c, [{}, None])
+            node[1] = p
         self.known: dict[str, bytes] = {}
-        self.beside: dict[tuple[str, str], bool] = {}
+        self.beside: dict[tuple[str | None, str], bool] = {}
+        self.edges: dict[tuple[str, int], list[tuple[str, float]]] = {}
         self.output = {i: p.replace(MARK, " ").encode() for p, (i, _) in pieces.items()}
         self.output |= {i: bytes([b]) for b, i in enumerate(byte_ids or [])}
 
@@ -82,76 +84,168 @@ class Transducer:
     def _fallback(self, c: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")) if self.byte_ids else (self.unknown,)
 
+    def _best(self, parts: list[str]) -> tuple[float, int]:
+        best, at, pieces = -inf, -1, self.pieces
+        for i in range(len(parts) - 1):
+            found = pieces.get(parts[i] + parts[i + 1])
+            if found is not None and found[1] > best:
+                best, at = found[1], i
+        return best, at
+
     def merged(self, text: str) -> list[str]:
         """``text`` merged by rank: the best-scored neighbours first, of equal ones the leftmost."""
-        parts, pieces = list(text), self.pieces
+        parts = list(text)
         while len(parts) > 1:
-            best, at = -inf, -1
-            for i in range(len(parts) - 1):
-                found = pieces.get(parts[i] + parts[i + 1])
-                if found is not None and found[1] > best:
-                    best, at = found[1], i
+            _, at = self._best(parts)
             if at < 0:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _may_follow(self, before: str | None, piece: str) -> bool:
-        key = before, piece
-        found = self.beside.get(key)
+    def _edge(self, piece: str, side: int) -> list[tuple[str, float]]:
+        """The symbols at one edge of a piece while merging makes it, from its character on: (text, score).
+
+        Side 0 is the left edge, 1 the right. Empty if merging does not give the piece.
+        """
+        found = self.edges.get((piece, side))
         if found is None:
-            if len(self.beside) > MEMORY:
-                self.beside.clear()
-            found = self.beside[key] = self.merged((before or "") + piece) == [x for x in key if x is not None]
+            parts, steps = list(piece), [piece[-side]]
+            while len(parts) > 1:
+                best, at = self._best(parts)
+                if at < 0:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                if parts[-side] != steps[-1]:
+                    steps.append(parts[-side])
+            found = [(x, self.pieces[x][1] if x in self.pieces else -inf) for x in steps] if parts == [piece] else []
+            self.edges[piece, side] = found
+        return found
+
+    def _seam_holds(self, before: str, piece: str) -> bool:
+        """Whether merging the two texts as one leaves the seam between them.
+
+        At any time two symbols meet at the seam. They merge if that scores over the next merge that
+        changes either of them; on equal scores the leftmost merge goes first.
+        """
+        left, right = self._edge(before, 1), self._edge(piece, 0)
+        if not left or not right:
+            return False
+        i = j = 0
+        while True:
+            pair = self.pieces.get(left[i][0] + right[j][0])
+            grow_left = left[i + 1][1] if i + 1 < len(left) else -inf
+            grow_right = right[j + 1][1] if j + 1 < len(right) else -inf
+            if pair is not None and pair[1] > grow_left and pair[1] >= grow_right:
+                return False
+            if grow_left == grow_right == -inf:
+                return True
+            if grow_left >= grow_right:
+                i += 1
+            else:
+                j += 1
+
+    def _may_follow(self, before: str | None, piece: str) -> bool:
+        if len(self.beside) > MEMORY:
+            self.beside.clear()
+        found = bool(self._edge(piece, 0)) if before is None else self._seam_holds(before, piece)
+        self.beside[before, piece] = found
         return found
 
     def shortest(self, word: str) -> tuple[int, ...]:
         """The ids on the shortest path over ``word``, already normalised."""
-        n, merges, trie = len(word), self.merges, self.trie
-        cost, back = [inf] * (n + 1), [None] * (n + 1)
-        last: list[str | None] = [None] * (n + 1)
-        cost[0] = 0.0
-        beside = self.beside
-        for i in range(n):
-            here = cost[i]
-            if here == inf:
-                continue
-            node, before = trie, last[i]
-            for j in range(i, n):
-                node = node.get(word[j])
+        return self._ids(word, *(self._finite(word) if self.merges else self._cheapest(word)))
+
+    def _cheapest(self, word: str) -> tuple[list, list]:
+        """The last piece and where it starts, of the cheapest path into each position."""
+        n = len(word)
+        cost, back, last = [0.0] + [inf] * n, [0] * (n + 1), [None] * (n + 1)
+        for j in range(1, n + 1):
+            for i, piece in self._arcs(word, j):
+                if (c := cost[i] - self.pieces[piece][1]) < cost[j]:
+                    cost[j], back[j], last[j] = c, i, piece
+            if word[j - 1] not in self.pieces and (c := cost[j - 1] + 20.0) < cost[j]:
+                cost[j], back[j], last[j] = c, j - 1, None
+        return last, back
+
+    def _arcs(self, word: str, j: int) -> list[tuple[int, str]]:
+        """Start and piece of the arcs into position ``j``, the shortest first."""
+        node, out = self.trie, []
+        for i in range(j - 1, -1, -1):
+            node = node[0].get(word[i])
+            if node is None:
+                break
+            if node[1] is not None:
+                out.append((i, node[1]))
+        return out
+
+    def _finite(self, word: str, kept: int = 0, last: list | None = None, back: list | None = None) -> tuple[list, list]:
+        """The same for weights of 0 and infinity: of the arcs into a position at most one is finite, mostly a long one.
+
+        ``last`` and ``back`` may come from a word that has the first ``kept`` characters in common.
+        """
+        n, trie, beside = len(word), self.trie, self.beside
+        last, back = (last or [None])[: kept + 1], (back or [0])[: kept + 1]
+        for j in range(kept + 1, n + 1):
+            node, arcs = trie, []
+            for i in range(j - 1, -1, -1):
+                node = node[0].get(word[i])
                 if node is None:
                     break
-                end = node.get("")
-                if end is None:
-                    continue
-                if merges:
-                    fits = beside.get((before, end[2]))
-                    weight = 0.0 if (self._may_follow(before, end[2]) if fits is None else fits) else inf
-                else:
-                    weight = end[1]
-                if here + weight < cost[j + 1]:
-                    cost[j + 1], back[j + 1], last[j + 1] = here + weight, (i, (end[0],)), end[2]
-            single = trie.get(word[i])
-            if (single is None or "" not in single) and here + (0.0 if merges else 20.0) < cost[i + 1]:
-                cost[i + 1], back[i + 1], last[i + 1] = here + (0.0 if merges else 20.0), (i, self._fallback(word[i])), None
-        out, at = [], n
+                if node[1] is not None:
+                    arcs.append((i, node[1]))
+            start = end = None
+            for i, piece in reversed(arcs):
+                before = last[i]
+                fits = beside.get((before, piece))
+                if self._may_follow(before, piece) if fits is None else fits:
+                    start, end = i, piece
+                    break
+            back.append(j - 1 if end is None else start)
+            last.append(end)
+        return last, back
+
+    def _ids(self, word: str, last: list, back: list) -> tuple[int, ...]:
+        out, at, pieces = [], len(word), self.pieces
         while at:
-            at, ids = back[at]
-            out.append(ids)
-        return tuple(x for ids in reversed(out) for x in ids)
-
-    def encode(self, text: str) -> bytes:
-        """Ids, little-endian in 32 bits."""
-        own = self.normalise(text)
-        known, out = self.known, []
-        for w in [own] * bool(own) if self.crosses else _words.findall(own):
-            ids = known.get(w)
-            if ids is None:
-                if len(known) > MEMORY:
-                    known.clear()
-                ids = known[w] = np.array(self.shortest(w), "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+            piece = last[at]
+            out.append(self._fallback(word[at - 1]) if piece is None else (pieces[piece][0],))
+            at = back[at]
+        return tuple(x for part in reversed(out) for x in part)
+
+    def learn(self, words) -> None:
+        """Remember the ids of ``words``; in order, so that each goes on from what it shares with the one before."""
+        before, last, back = "", [None], [0]
+        for w in sorted(words):
+            if self.merges:
+                kept, most = 0, min(len(w), len(before))
+                while kept < most and w[kept] == before[kept]:
+                    kept += 1
+                before, (last, back) = w, self._finite(w, kept, last, back)
+            else:
+                last, back = self._cheapest(w)
+            ids = self._ids(w, last, back)
+            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian in 32 bits. Texts go in turns of bounded size."""
+        out, turn, size = [], [], 0
+        for t in texts:
+            own = self.normalise(t)
+            turn.append([own] * bool(own) if self.crosses else _words.findall(own))
+            size += len(t)
+            if size > 2_000_000:
+                out += self._turn(turn)
+                turn, size = [], 0
+        return out + self._turn(turn)
+
+    def _turn(self, words: list[list[str]]) -> list[bytes]:
+        every = set().union(*words)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > MEMORY:
+            self.known, new = {}, every
+        self.learn(new)
+        get = self.known.__getitem__
+        return [b"".join(map(get, w)) for w in words]
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.output.get, np.frombuffer(ids, "<u4").tolist(), _nothing))
@@ -182,7 +276,7 @@ def encode(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
             for a in range(0, b.num_rows, 500):
                 part = b.slice(a, 500)
                 texts = text_column(part)
-                found = [own.encode(t) for t in texts]
+                found = own.encode(texts)
                 back = [own.decode(x) for x in found]
                 cols = [
                     column(part, "doc_id").cast(pa.int64()),

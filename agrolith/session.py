@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +30,14 @@ def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a local one only where that is unset (tests, local mode)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     return named.rstrip("/") if named else "file://" + tempfile.mkdtemp(prefix="agrolith-")
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster gets it by ``--py-files`` or an image; this serves sessions started from another folder.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrolith.functions.expressions import is_error, number, parse_time
+from agrolith.session import ship
 from agrolith.sources.parsing import cells_of
 
 CELLS = "file string, sheet string, serial string, model string, row int, ts_raw string, source string, channel string, base_var string, rep int, raw string, problem string"
@@ -21,6 +22,7 @@ _NAMES = [x.split()[0] for x in CELLS.split(", ")]
 
 def cells(spark: SparkSession, paths: str | list[str], overrides: dict[str, str] | None = None) -> DataFrame:
     """Every cell of every file (``CELLS``), batch by batch; problems have null cells."""
+    ship(spark)
     files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else paths)
 
     def run(batches):
