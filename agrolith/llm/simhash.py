@@ -15,8 +15,15 @@ d(x, v) > m - t outside (t: the band's radius). By the triangle inequality two f
 within t of each other never take only different branches: at least one shard gets both. The
 overlap, d in (m - t, m], is what is held twice.
 
+**Similarity.** ``deduplicated`` asks for a word-shingle similarity s (0.8 at five words by default). Two
+sets of that similarity have the cosine c = 2s / (1 + s), and a SimHash bit differs between them with
+chance acos(c) / pi, 0.15 at 0.8. On 64 bits that is 10 bits give or take 3, so it takes a wider fingerprint of
+``WORDS`` words of 64 bits, from as many mixes of each shingle's hash. Each word has three bands with trees of
+radius 1. Not every pair that far apart is within 1 bit in some band: the search is exact only up to twice
+the number of bands less 1, and beyond that has the recall that the tests measure.
+
 **Shards.** Each leaf is one shard, and each shard compares its fingerprints exactly on all
-64 bits and returns only a spanning forest, at most one link a member, so groups of copies never
+bits (of wide ones, those within its tree's radius on the band, so that the sample never bears on results) and returns only a spanning forest, at most one link a member, so groups of copies never
 become all pairs. Copies were already merged: shards hold distinct fingerprints.
 
 **Components** of the links come from alternating large-star and small-star steps, each written
@@ -30,6 +37,8 @@ gives an empty result. Further columns are passed over.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from itertools import accumulate
 
 import numpy as np
@@ -44,42 +53,71 @@ from agrolith.llm.common import column, materialise, text_column
 BITS = 64
 SHINGLE = 4
 MAX_DISTANCE = 4
-#: Fingerprints that the trees are built from, at most. They go to the driver: 8 bytes each.
+#: Words of a wide fingerprint.
+WORDS = 6
+#: Fingerprints that the trees are built from, at most. They go to the driver: 8 bytes a word each.
 SAMPLE = 131_072
 #: Fingerprints aimed at in a shard.
 SHARD = 4096
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of one text: A-Z lower-cased, words split at ASCII white space."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
+def sketch(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """The SimHash of one text in ``words`` words of 64 bits: A-Z lower-cased, words split at ASCII white space."""
+    own = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    n = len(own)
     if not n:
-        return 0
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+        return np.zeros(words, np.uint64)
+    joined, digest = b" ".join(own), xxhash.xxh64_intdigest
     if n <= shingle:
         hashes = [digest(joined, 42)]
     else:
-        ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
+        ends = list(accumulate(map(len, own), lambda a, b: a + b + 1))
         starts = [0, *(e + 1 for e in ends[: n - shingle])]
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :], strict=True)]
-    counts = np.zeros(BITS, np.int64)
     values = np.array(hashes, np.uint64)
-    for at in range(0, len(values), 65536):
-        part = values[at : at + 65536].view(np.uint8)
-        counts += np.unpackbits(part, bitorder="little").reshape(-1, BITS).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(values), bitorder="little").view(np.uint64)[0])
+    counts = np.zeros((words, BITS), np.int64)
+    for at in range(0, n, 65536):
+        for w in range(words):
+            part = _mixed(values[at : at + 65536], w).view(np.uint8)
+            counts[w] += np.unpackbits(part, bitorder="little").reshape(-1, BITS).sum(0, dtype=np.int64)
+    return np.packbits(2 * counts > len(values), axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def _mixed(hashes: np.ndarray, w: int) -> np.ndarray:
+    """The hashes of word ``w``: for the first as they are, else multiplied and shifted anew."""
+    if not w:
+        return hashes
+    x = hashes + np.uint64(w * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of one text."""
+    return int(sketch(text, shingle)[0])
+
+
+def columns(words: int) -> list[str]:
+    """The columns of a fingerprint, each a word as a signed long."""
+    return ["fp", *(f"fp{w}" for w in range(1, words))]
+
 
+def _words(batch: pa.RecordBatch | pa.Table, names: list[str]) -> np.ndarray:
+    """The fingerprints of a batch, a row each."""
+    return np.stack([np.asarray(batch[c], np.int64) for c in names], axis=1).view(np.uint64)
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """``doc_id`` and the fingerprint in ``columns(words)``."""
+    names = columns(words)
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in text_column(b)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), pa.array(fp)], names=["doc_id", "fp"])
+            fp = np.array([sketch(t, shingle, words) for t in text_column(b)], np.uint64).reshape(-1, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), *(pa.array(fp[:, w]) for w in range(words))], names=["doc_id", *names])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", *names]))
 
 
 def bands(max_distance: int) -> list[tuple[int, int]]:
@@ -89,6 +127,13 @@ def bands(max_distance: int) -> list[tuple[int, int]]:
     return [(((1 << (b - a)) - 1) << a, max_distance // n) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def bands_of(words: int, max_distance: int) -> list[tuple[int, int, int]]:
+    """Word, mask and radius of each tree: for one word so that no pair is missed, else three bands a word of radius 1."""
+    if words == 1:
+        return [(0, mask, radius) for mask, radius in bands(max_distance)]
+    return [(w, mask, 1) for w in range(words) for mask, _ in bands(5)]
+
+
 class Tree:
     """A vantage-point tree over the bits of ``mask``: arrays of nodes, and a shard number for each leaf."""
 
@@ -146,59 +191,78 @@ class Tree:
         return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def forest(points: np.ndarray, max_distance: int) -> np.ndarray:
+def forest(points: np.ndarray, max_distance: int, key: np.ndarray | None = None, radius: int = 0) -> np.ndarray:
     """For each point the first position of its component, all pairs compared in blocks.
 
-    A tile of 512 x 4096 pairs is held at once, and links found are merged at once.
+    ``points``: a row of words each. With ``key``, only pairs within ``radius`` on it are compared in full.
+    A tile of 512 x 4096 pairs is held at once, and links found are merged at once: what is
+    joined already is not compared again.
     """
     root = np.arange(len(points))
+    key, radius = (points[:, 0], max_distance) if key is None else (key, radius)
+    whole = points.shape[1] == 1 and radius == max_distance
     for a in range(0, len(points), 512):
-        left = points[a : a + 512, None]
+        left = key[a : a + 512, None]
         for b in range(a, len(points), 4096):
-            i, j = np.nonzero(np.bitwise_count(left ^ points[None, b : b + 4096]) <= max_distance)
+            i, j = np.nonzero(np.bitwise_count(left ^ key[None, b : b + 4096]) <= radius)
             i, j = i + a, j + b
-            while True:
-                x, y = root[i], root[j]
-                open_ = x != y
-                if not open_.any():
-                    break
-                i, j, x, y = i[open_], j[open_], x[open_], y[open_]
-                np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-                while (again := root[root]).tobytes() != root.tobytes():
-                    root = again
+            if whole:
+                _merge(root, i, j)
+                continue
+            for at in range(0, len(i), 65536):
+                x, y = i[at : at + 65536], j[at : at + 65536]
+                apart = root[x] != root[y]
+                x, y = x[apart], y[apart]
+                near = np.bitwise_count(points[x] ^ points[y]).sum(1, dtype=np.int64) <= max_distance
+                _merge(root, x[near], y[near])
     return root
 
 
-def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
-    """``a > b``: links that join all fingerprints within ``max_distance`` bits, directly or through others.
+def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of ``i`` and ``j``, pair by pair."""
+    while True:
+        x, y = root[i], root[j]
+        open_ = x != y
+        if not open_.any():
+            return
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (again := root[root]).tobytes() != root.tobytes():
+            root[:] = again
+
 
-    ``points``: ``id`` and ``fp``, each fingerprint once. At most one link a fingerprint and shard.
+def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
+    """``a > b``: links that join fingerprints within ``max_distance`` bits, directly or through others.
+
+    ``points``: ``id`` and ``columns(words)``, each fingerprint once. At most one link a fingerprint and shard.
     """
-    spark = points.sparkSession
+    spark, names = points.sparkSession, columns(words)
     n = points.count()
-    seen = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
-    known = np.array([r.fp for r in seen], np.int64).view(np.uint64)
-    leaf, trees, shards = max(8, int(shard * len(known) / max(n, 1))), [], 0
-    for mask, radius in bands(max_distance):
-        trees.append(Tree(known, mask, radius, leaf, shards))
-        shards += trees[-1].shards
+    known = _words(points.select(names).orderBy(F.xxhash64(*names), *names).limit(sample).toArrow(), names)
+    leaf, trees, shards, plan = max(8, int(shard * len(known) / max(n, 1))), [], [0], bands_of(words, max_distance)
+    for word, mask, radius in plan:
+        trees.append(Tree(known[:, word], mask, radius, leaf, shards[-1]))
+        shards.append(shards[-1] + trees[-1].shards)
     sent = spark.sparkContext.broadcast(trees)
 
     def deal(batches):
         for b in batches:
-            ids, fps = column(b, "id").to_numpy(zero_copy_only=False), column(b, "fp").to_numpy(zero_copy_only=False)
-            for tree in sent.value:
-                at, to = tree.visits(fps.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids[at]), pa.array(fps[at])], names=["shard", "id", "fp"])
+            ids, fps = np.asarray(column(b, "id")), _words(b, names)
+            for tree, (word, _, _) in zip(sent.value, plan, strict=True):
+                at, to = tree.visits(fps[:, word])
+                own = fps[at].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids[at]), *(pa.array(own[:, w]) for w in range(words))], names=["shard", "id", *names])
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, fps = group["id"].to_numpy(), group["fp"].to_numpy()
+        ids, fps = np.asarray(group["id"]), _words(group, names)
         order = np.argsort(ids)
-        ids, root = ids[order], forest(fps[order].view(np.uint64), max_distance)
+        ids, fps = ids[order], fps[order]
+        word, mask, radius = plan[bisect_right(shards, group["shard"][0].as_py()) - 1]
+        root = forest(fps, max_distance) if words == 1 else forest(fps, max_distance, fps[:, word] & np.uint64(mask), radius)
         linked = root != np.arange(len(root))
         return pa.table({"a": ids[linked], "b": ids[root[linked]]})
 
-    dealt = points.select("id", "fp").mapInArrow(deal, "shard long, id long, fp long")
+    dealt = points.select("id", *names).mapInArrow(deal, ", ".join(f"{c} long" for c in ["shard", "id", *names]))
     return dealt.groupBy("shard").applyInArrow(compare, "a long, b long")
 
 
@@ -224,23 +288,36 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (the least doc_id reachable)."""
-    prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    points = materialise(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "points")
-    root = components(links(points, max_distance, sample, shard))
-    named = points.join(root, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits a word), ``component_id`` (the least doc_id reachable)."""
+    names = columns(words)
+    prints = materialise(fingerprints(docs, shingle, words), "fingerprints")
+    points = materialise(prints.where("doc_id is not null").groupBy(*names).agg(F.min("doc_id").alias("id")), "points")
+    root = components(links(points, max_distance, sample, shard, words))
+    named = points.join(root, "id", "left").select(*names, F.coalesce("root", "id").alias("component_id"))
     named = materialise(named, "roots")
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    return prints.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component)
+    shown = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint")
+    return prints.join(named, names, "left").select("doc_id", shown, component)
+
+
+def distance_for(similarity: float, words: int = WORDS) -> int:
+    """Bits in which texts of that similarity differ on average, and one standard deviation more."""
+    bits, p = words * BITS, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * p + math.sqrt(bits * p * (1 - p)))
+
+
+def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:
+    """``near_duplicates`` of texts whose shingles are that similar, by wide fingerprints."""
+    return near_duplicates(docs, distance_for(similarity, words), shingle, words=words)
 
 
-def deduplicated(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs``, of each component only that with the least ``doc_id``.
+def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs``, of each group of similar texts only that with the least ``doc_id``.
 
     Rows with a null ``doc_id`` stay. Of rows that repeat the kept id, one stays, the first by the hash of its text.
     """
-    found = near_duplicates(docs, max_distance, shingle)
+    found = similar(docs, similarity, shingle, words)
     gone = found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
     kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left").where("_gone is null").drop("_gone")
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())

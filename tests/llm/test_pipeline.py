@@ -20,7 +20,7 @@ def test_stages_against_their_own_rules(spark):
     assert two.columns == columns and ids(two) == ids(toxicity.score(one, model).where("score < 0.5"))
 
     three = materialise(C.STAGES[2][1](spark, two, sf), "t")
-    groups = simhash.near_duplicates(two)
+    groups = simhash.similar(two)
     assert three.columns == columns and ids(three) == {r.component_id for r in groups.collect()}
 
     four = materialise(C.STAGES[3][1](spark, three, sf), "t")

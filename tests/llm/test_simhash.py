@@ -82,6 +82,45 @@ def test_triangle_bounds_hold():
         assert all(x & y for x, y in zip(a, b, strict=True))
 
 
+def test_similar_texts_are_found(spark):
+    """Against the exact similarity of all pairs with a shingle in common, and planted edits of each strength."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    texts, twins = [], []
+    for i in range(300):
+        own = [word() for _ in range(rng.randint(120, 400))]
+        copy = list(own)
+        for at in rng.sample(range(len(own)), max(1, len(own) // (60 if i % 2 else 12))):
+            copy[at] = word()
+        twins.append((len(texts), len(texts) + 1))
+        texts += [" ".join(own), " ".join(copy)]
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    likeness = [len(grams[a] & grams[b]) / len(grams[a] | grams[b]) for a, b in twins]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    root = {r.doc_id: r.component_id for r in S.similar(docs).collect()}
+    hit = [root[a] == root[b] for a, b in twins]
+    near = [h for h, s in zip(hit, likeness, strict=True) if s >= 0.8]
+    assert len(near) > 100 and sum(near) >= 0.9 * len(near)
+    assert not any(h for h, s in zip(hit, likeness, strict=True) if s < 0.5)
+    assert all(root[a] in (a, a - a % 2) for a in root)  # nothing joins texts that are not alike
+
+
+def test_wide_forest_is_all_pairs_near_on_the_band():
+    rng = np.random.default_rng(3)
+    points = np.repeat(rng.integers(0, 1 << 63, (40, 6), np.uint64), 5, axis=0)
+    points ^= np.uint64(1) << rng.integers(0, 60, points.shape, np.uint64)
+    key = points[:, 2] & np.uint64(S.bands(5)[1][0])
+    root = S.forest(points, 20, key, 1)
+    near = lambda i, j: (int(key[i]) ^ int(key[j])).bit_count() <= 1 and sum((int(a) ^ int(b)).bit_count() for a, b in zip(points[i], points[j], strict=True)) <= 20
+    want = list(range(len(points)))
+    for i in range(len(points)):
+        for j in range(i):
+            if near(i, j) and want[i] != want[j]:
+                a, b = sorted((want[i], want[j]))
+                want = [a if x == b else x for x in want]
+    assert root.tolist() == want
+
+
 def test_odd_rows(odd):
     out = S.near_duplicates(odd).collect()
     assert len(out) == odd.count()
