@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import column, materialise, text_column
+from agrolith.llm.common import column, hash_sample, materialise, text_column
 
 BITS = 64
 SHINGLE = 4
@@ -238,7 +238,7 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAM
     """
     spark, names = points.sparkSession, columns(words)
     n = points.count()
-    known = _words(points.select(names).orderBy(F.xxhash64(*names), *names).limit(sample).toArrow(), names)
+    known = _words(hash_sample(points, names, n, sample).toArrow(), names)
     leaf, trees, shards, plan = max(8, int(shard * len(known) / max(n, 1))), [], [0], bands_of(words, max_distance)
     for word, mask, radius in plan:
         trees.append(Tree(known[:, word], mask, radius, leaf, shards[-1]))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import buckets_for, column, text_column
+from agrolith.llm.common import buckets_for, column, hash_sample, text_column
 
 K = 25
 WINDOW = 76
@@ -124,7 +124,7 @@ def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_buck
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
     seen = ids.agg(F.count(F.lit(1)), F.max("doc_id")).first()
     n = min(buckets_for(seen[0], per_bucket), most // 4)
-    known = sorted(r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()) if n > 1 else []
+    known = sorted(r.doc_id for r in hash_sample(ids, ["doc_id"], seen[0], most).collect()) if n > 1 else []
     bounds = np.unique([known[len(known) * i // n] for i in range(1, n)] + [seen[1]] * (seen[0] > 0)).astype(np.int64) if seen[0] else np.zeros(0, np.int64)
     sent = spark.sparkContext.broadcast(bounds)
 
