@@ -18,9 +18,11 @@ overlap, d in (m - t, m], is what is held twice.
 **Similarity.** ``deduplicated`` asks for a word-shingle similarity s (0.8 at five words by default). Two
 sets of that similarity have the cosine c = 2s / (1 + s), and a SimHash bit differs between them with
 chance acos(c) / pi, 0.15 at 0.8. On 64 bits that is 10 bits give or take 3, so it takes a wider fingerprint of
-``WORDS`` words of 64 bits, from as many mixes of each shingle's hash. Each word has three bands with trees of
-radius 1. Not every pair that far apart is within 1 bit in some band: the search is exact only up to twice
-the number of bands less 1, and beyond that has the recall that the tests measure.
+``WORDS`` words of 64 bits, from as many mixes of the hash of each shingle of the set. Each word has three bands with trees of
+radius 1. Fingerprints give only candidates, up to three deviations beyond the mean; a link counts
+if the sets themselves are that similar (``confirmed``). Where the check refuses a candidate, the point's further ones are
+checked, until none is left, so no candidate that is truly alike is lost. Not every pair is
+within 1 bit in some band: what the bands miss is the recall that the tests measure.
 
 **Shards.** Each leaf is one shard, and each shard compares its fingerprints exactly on all
 bits (of wide ones, those within its tree's radius on the band, so that the sample never bears on results) and returns only a spanning forest, at most one link a member, so groups of copies never
@@ -61,12 +63,12 @@ SAMPLE = 131_072
 SHARD = 4096
 
 
-def sketch(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
-    """The SimHash of one text in ``words`` words of 64 bits: A-Z lower-cased, words split at ASCII white space."""
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hash of each shingle of a text: A-Z lower-cased, words split at ASCII white space."""
     own = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(own)
     if not n:
-        return np.zeros(words, np.uint64)
+        return np.zeros(0, np.uint64)
     joined, digest = b" ".join(own), xxhash.xxh64_intdigest
     if n <= shingle:
         hashes = [digest(joined, 42)]
@@ -74,15 +76,24 @@ def sketch(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarr
         ends = list(accumulate(map(len, own), lambda a, b: a + b + 1))
         starts = [0, *(e + 1 for e in ends[: n - shingle])]
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :], strict=True)]
-    values = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def majority(values: np.ndarray, words: int = 1) -> np.ndarray:
+    """At each bit of ``words`` words of 64 bits, what most of the hashes have."""
     counts = np.zeros((words, BITS), np.int64)
-    for at in range(0, n, 65536):
+    for at in range(0, len(values), 65536):
         for w in range(words):
             part = _mixed(values[at : at + 65536], w).view(np.uint8)
             counts[w] += np.unpackbits(part, bitorder="little").reshape(-1, BITS).sum(0, dtype=np.int64)
     return np.packbits(2 * counts > len(values), axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def sketch(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """The SimHash of one text in ``words`` words of 64 bits."""
+    return majority(shingles(text, shingle), words)
+
+
 def _mixed(hashes: np.ndarray, w: int) -> np.ndarray:
     """The hashes of word ``w``: for the first as they are, else multiplied and shifted anew."""
     if not w:
@@ -120,6 +131,22 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> Dat
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", *names]))
 
 
+def shingled(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """``doc_id``, the fingerprint of the set of shingles, ``set`` (the set's hash) and ``grams``, its members' hashes."""
+    names = columns(words)
+
+    def run(batches):
+        for b in batches:
+            sets = [np.unique(shingles(t, shingle)) for t in text_column(b)]
+            fp = np.array([majority(s, words) for s in sets], np.uint64).reshape(-1, words).view(np.int64)
+            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64)
+            grams = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), *(pa.array(fp[:, w]) for w in range(words)), pa.array(keys), grams], names=["doc_id", *names, "set", "grams"])
+
+    longs = ", ".join(f"{c} long" for c in ["doc_id", *names, "set"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{longs}, grams array<long>")
+
+
 def bands(max_distance: int) -> list[tuple[int, int]]:
     """The mask of each band of bits, and the radius that a linked pair keeps in one of them."""
     n = max_distance // 2 + 1
@@ -231,27 +258,39 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             root[:] = again
 
 
-def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
-    """``a > b``: links that join fingerprints within ``max_distance`` bits, directly or through others.
-
-    ``points``: ``id`` and ``columns(words)``, each fingerprint once. At most one link a fingerprint and shard.
-    """
-    spark, names = points.sparkSession, columns(words)
+def _grown(points: DataFrame, names: list[str], plan: list[tuple[int, int, int]], sample: int, shard: int) -> tuple[list[Tree], list[int]]:
+    """The tree of each band, and the first shard number of each."""
     n = points.count()
     known = _words(hash_sample(points, names, n, sample).toArrow(), names)
-    leaf, trees, shards, plan = max(8, int(shard * len(known) / max(n, 1))), [], [0], bands_of(words, max_distance)
+    leaf, trees, shards = max(8, int(shard * len(known) / max(n, 1))), [], [0]
     for word, mask, radius in plan:
         trees.append(Tree(known[:, word], mask, radius, leaf, shards[-1]))
         shards.append(shards[-1] + trees[-1].shards)
-    sent = spark.sparkContext.broadcast(trees)
+    return trees, shards
+
+
+def _dealt(points: DataFrame, names: list[str], plan: list[tuple[int, int, int]], trees: list[Tree], carried: list[str]) -> DataFrame:
+    """``shard``, ``carried`` and the fingerprint: a row for each shard that a point belongs to."""
+    sent = points.sparkSession.sparkContext.broadcast(trees)
 
     def deal(batches):
         for b in batches:
-            ids, fps = np.asarray(column(b, "id")), _words(b, names)
+            with_it, fps = [np.asarray(column(b, c)) for c in carried], _words(b, names)
             for tree, (word, _, _) in zip(sent.value, plan, strict=True):
                 at, to = tree.visits(fps[:, word])
                 own = fps[at].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(ids[at]), *(pa.array(own[:, w]) for w in range(words))], names=["shard", "id", *names])
+                yield pa.RecordBatch.from_arrays([pa.array(to), *(pa.array(x[at]) for x in with_it), *(pa.array(own[:, w]) for w in range(len(names)))], names=["shard", *carried, *names])
+
+    return points.select(*carried, *names).mapInArrow(deal, ", ".join(f"{c} long" for c in ["shard", *carried, *names]))
+
+
+def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
+    """``a > b``: links that join fingerprints within ``max_distance`` bits, directly or through others.
+
+    ``points``: ``id`` and ``columns(words)``, each fingerprint once. At most one link a fingerprint and shard.
+    """
+    names, plan = columns(words), bands_of(words, max_distance)
+    trees, shards = _grown(points, names, plan, sample, shard)
 
     def compare(group: pa.Table) -> pa.Table:
         ids, fps = np.asarray(group["id"]), _words(group, names)
@@ -262,8 +301,84 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAM
         linked = root != np.arange(len(root))
         return pa.table({"a": ids[linked], "b": ids[root[linked]]})
 
-    dealt = points.select("id", *names).mapInArrow(deal, ", ".join(f"{c} long" for c in ["shard", "id", *names]))
-    return dealt.groupBy("shard").applyInArrow(compare, "a long, b long")
+    return _dealt(points, names, plan, trees, ["id"]).groupBy("shard").applyInArrow(compare, "a long, b long")
+
+
+def nearest(points: np.ndarray, key: np.ndarray, radius: int, max_distance: int, root: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Direct candidate pairs of different ``root``: of each point those with the ``most`` nearest points before it.
+
+    Returns both positions of each pair, which points have any candidate, and which have more before them than were returned.
+    """
+    n = len(points)
+    met, more, left, right = np.zeros(n, bool), np.zeros(n, bool), [], []
+    for a in range(0, n, 512):
+        seen, held = np.zeros(512, np.int64), np.zeros(0, np.int64)  # held: row, bits and how far before it, in one number
+        for b in range(0, min(n, a + 512), 4096):
+            i, j = np.nonzero(np.bitwise_count(key[a : a + 512, None] ^ key[None, b : min(b + 4096, a + 512)]) <= radius)
+            open_ = (j + b < i + a) & (root[i + a] != root[j + b])
+            i, j = i[open_], j[open_] + b
+            for at in range(0, len(i), 262144):
+                x, y = i[at : at + 262144], j[at : at + 262144]
+                bits = np.bitwise_count(points[x + a] ^ points[y]).sum(1, dtype=np.int64)
+                near = bits <= max_distance
+                x, y, bits = x[near], y[near], bits[near]
+                met[x + a] = met[y] = True
+                seen += np.bincount(x, minlength=512)
+                held = np.sort(np.concatenate([held, x << 50 | bits << 36 | (x + a - y)]))
+                row = held >> 50
+                held = held[np.arange(len(held)) - np.searchsorted(row, row) < most]
+        x = (held >> 50) + a
+        left.append(x)
+        right.append(x - (held & (1 << 36) - 1))
+        more[a : a + 512] = (seen > most)[: n - a]
+    return np.concatenate(left), np.concatenate(right), met, more
+
+
+def candidates(points: DataFrame, max_distance: int, most: int, sample: int = SAMPLE, shard: int = SHARD, words: int = WORDS) -> DataFrame:
+    """``x, y, a, b, more``: sets and ids of pairs that may be alike; without ``y``, a point that has candidates.
+
+    ``points``: ``set, id, root`` and ``columns(words)``; pairs of one root are passed over. ``more``: ``x`` has further ones.
+    """
+    names, plan, carried = columns(words), bands_of(words, max_distance), ["set", "id", "root"]
+    trees, shards = _grown(points, names, plan, sample, shard)
+
+    def compare(group: pa.Table) -> pa.Table:
+        keys, ids, root = (np.asarray(group[c]) for c in carried)
+        order = np.argsort(keys)
+        keys, ids, root, fps = keys[order], ids[order], root[order], _words(group, names)[order]
+        word, mask, radius = plan[bisect_right(shards, group["shard"][0].as_py()) - 1]
+        i, j, met, more = nearest(fps, fps[:, word] & np.uint64(mask), radius, max_distance, root, most)
+        none = pa.nulls(int(met.sum()), pa.int64())
+        cols = (keys[i], keys[met]), (keys[j], none), (ids[i], ids[met]), (ids[j], none), (more[i], more[met])
+        return pa.table({c: pa.concat_arrays([pa.array(u), pa.array(v)]) for c, (u, v) in zip(("x", "y", "a", "b", "more"), cols, strict=True)})
+
+    return _dealt(points, names, plan, trees, carried).groupBy("shard").applyInArrow(compare, "x long, y long, a long, b long, more boolean")
+
+
+def confirmed(points: DataFrame, grams: DataFrame, similarity: float, words: int = WORDS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """``id`` and ``root`` of components whose every link is between sets of that exact similarity.
+
+    ``grams``: ``set`` and its shingles' hashes. Each round checks of each point the nearest candidates that are not yet
+    joined with it, eight times as many as the round before, until no point has unchecked ones: where the check
+    refuses a link, further ones follow, and large groups of true copies are joined by the first link of each.
+    """
+    distance, most, active, found = distance_for(similarity, words), 1, points.withColumn("root", F.col("id")), None
+    while True:
+        near = materialise(candidates(active, distance, most, sample, shard, words), "candidates")
+        pairs = near.where("y is not null").select("x", "y", "a", "b").distinct()
+        asked = near.select(F.explode(F.array("x", "y")).alias("set")).where("set is not null").distinct()
+        own = materialise(grams.join(asked, "set", "left_semi").groupBy("set").agg(F.first("grams").alias("grams")), "grams")
+        both = pairs.join(own.toDF("x", "_x"), "x").join(own.toDF("y", "_y"), "y")
+        common, total = F.size(F.array_intersect("_x", "_y")), F.size("_x") + F.size("_y")
+        alike = both.where((total == 0) | (common / (total - common) >= similarity))
+        new = alike.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
+        found = materialise(new if found is None else found.unionByName(new), "links")
+        root = components(found)
+        if near.where("more").isEmpty():
+            return root
+        met = near.select(F.col("x").alias("set")).distinct()
+        active = points.join(met, "set", "left_semi").join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        active, most = materialise(active, "active"), 8 * most
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -302,14 +417,22 @@ def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle:
 
 
 def distance_for(similarity: float, words: int = WORDS) -> int:
-    """Bits in which texts of that similarity differ on average, and one standard deviation more."""
+    """Bits in which texts of that similarity differ on average, and three standard deviations more: candidates, all but one in a thousand."""
     bits, p = words * BITS, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + math.sqrt(bits * p * (1 - p)))
+    return round(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:
-    """``near_duplicates`` of texts whose shingles are that similar, by wide fingerprints."""
-    return near_duplicates(docs, distance_for(similarity, words), shingle, words=words)
+    """Columns of ``near_duplicates``: components of texts whose sets of shingles are that similar, each link checked exactly."""
+    names = columns(words)
+    prints = materialise(shingled(docs, shingle, words), "shingled")
+    points = prints.where("doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in names])
+    points = materialise(points, "points")
+    root = confirmed(points, prints.select("set", "grams"), similarity, words)
+    named = materialise(points.join(root, "id", "left").select("set", F.coalesce("root", "id").alias("component_id")), "roots")
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    shown = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint")
+    return prints.drop("grams").join(named, "set", "left").select("doc_id", shown, component)
 
 
 def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:

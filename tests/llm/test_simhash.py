@@ -137,3 +137,46 @@ def test_dedup_keeps_one_of_each(make, odd):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
     ids = [r.doc_id for r in S.deduplicated(odd).collect()]
     assert ids.count(100) == 1 and ids.count(None) == 1 and 5 not in ids
+
+
+def test_links_are_checked_exactly(spark):
+    """Groups at 0.6 to 0.97, chains and texts of one repeated passage, against the exact similarity of all pairs."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    texts = []
+    for g in range(40):
+        base = [word() for _ in range(300)]
+        for _ in range(8):
+            own = list(base)
+            for at in rng.sample(range(300), 1 + g % 8):
+                own[at] = word()
+            texts.append(" ".join(own))
+    texts += [" ".join(["again"] * 3000 + [word() for _ in range(200)]) for _ in range(5)]  # one fingerprint by counts, unlike as sets
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if want[i] != want[j] and 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j]):
+                a, b = sorted((want[i], want[j]))
+                want = [a if x == b else x for x in want]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    root = {r.doc_id: r.component_id for r in S.similar(docs).collect()}
+    assert all(want[a] == want[root[a]] for a in root)  # no link below 0.8
+    split = sum(want[i] == want[j] and root[i] != root[j] for i in root for j in root if j < i)
+    assert split <= 0.1 * sum(want[i] == want[j] for i in root for j in root if j < i)
+
+
+def test_nearest_is_all_pairs_of_other_roots():
+    rng = np.random.default_rng(5)
+    points = np.repeat(rng.integers(0, 1 << 63, (150, 2), np.uint64), 8, axis=0)
+    points ^= np.uint64(1) << rng.integers(0, 60, points.shape, np.uint64)
+    key, root = points[:, 0] & np.uint64(0x1FFFFF), np.arange(len(points)) // 2
+    bits = np.bitwise_count(points[:, None] ^ points[None]).sum(2, dtype=np.int64)
+    near = (np.bitwise_count(key[:, None] ^ key[None]) <= 1) & (bits <= 4) & (root[:, None] != root[None])
+    below = near & np.tri(len(points), k=-1, dtype=bool)
+    for most in (1, 3, 10):
+        i, j, met, more = S.nearest(points, key, 1, 4, root, most)
+        assert met.tolist() == near.any(1).tolist() and more.tolist() == (below.sum(1) > most).tolist()
+        assert below[i, j].all() and np.bincount(i, minlength=len(points)).tolist() == np.minimum(below.sum(1), most).tolist()
+        for r in set(i.tolist()):
+            assert sorted(bits[r, j[i == r]]) == sorted(bits[r, below[r]])[:most]
