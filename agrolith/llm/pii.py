@@ -50,8 +50,10 @@ _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _digit = "zero|one|two|three|four|five|six|seven|eight|nine"
 _spelled = re.compile(rf"(?<![A-Za-z])(?:plus[ -]+)?(?:{_digit})(?:[ ,.-]+(?:dot[ ]+|point[ ]+|dash[ ]+|hyphen[ ]+)?(?:{_digit}))+(?![A-Za-z])", re.I)
 _word = re.compile(r"[A-Za-z]+")
-_bracketed = re.compile(r"\s*[(\[{<]\s*(at|dot|@|\.)\s*[)\]}>]\s*", re.I)
-_worded = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:[.]|\s+dot\s+)[A-Za-z0-9_%+-]+)*(?:\s+at\s+|@)[A-Za-z0-9-]+(?:(?:[.]|\s+dot\s+)[A-Za-z0-9-]+)*(?:[.]|\s+dot\s+)(?:{ENDINGS})(?![A-Za-z0-9-])", re.I)
+_bracketed = re.compile(r"[(\[{<]\s*(at|dot|@|\.)\s*[)\]}>]", re.I)
+_asked = re.compile(r"@|\sat\s", re.I)
+_chain = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:[.]|\s+dot\s+)[A-Za-z0-9_%+-]++)*+", re.I)
+_worded = re.compile(rf"(?:\s+at\s+|@)[A-Za-z0-9-]+(?:(?:[.]|\s+dot\s+)[A-Za-z0-9-]+)*(?:[.]|\s+dot\s+)(?:{ENDINGS})(?![A-Za-z0-9-])", re.I)
 _sign = re.compile(r"\s+(at|dot)\s+", re.I)
 
 
@@ -178,12 +180,25 @@ def spelled_digits(t: Rewritten) -> Rewritten:
 
 
 def at_and_dot(t: Rewritten) -> Rewritten:
-    low = t.text.lower()
-    if "at)" in low or "dot" in low or "at]" in low or any(x in low for x in ("(@", "[@", "(.)", "[.]", "at}", "at>")):
-        say = {"at": "@", "dot": "."}
-        t = t.edit([(m.start(), m.end(), say.get(m[1].lower(), m[1])) for m in _bracketed.finditer(t.text)])
-        return t.edit([(m.start(), m.end(), say[m[1].lower()]) for x in _worded.finditer(t.text) for m in _sign.finditer(t.text, x.start(), x.end())] if "dot" in low else [])
-    return t
+    say, changes, done, text = {"at": "@", "dot": "."}, [], 0, t.text
+    for m in _bracketed.finditer(text):
+        a, b = m.span()
+        while a > done and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        changes.append((a, b, say.get(m[1].lower(), m[1])))
+        done = b
+    t = t.edit(changes)
+    if not _asked.search(t.text):
+        return t
+    changes, done = [], 0
+    for local in _chain.finditer(t.text):  # each once, whatever follows it, so that long runs of "x dot x" stay linear
+        found = _worded.match(t.text, local.end()) if local.start() >= done else None
+        if found:
+            done = found.end()
+            changes += [(m.start(), m.end(), say[m[1].lower()]) for m in _sign.finditer(t.text, local.start(), done)]
+    return t.edit(changes)
 
 
 TRANSDUCERS = (lookalikes, spelled_digits, at_and_dot)

@@ -72,3 +72,23 @@ def test_query_and_redaction(spark, sf, corpus, odd):
     assert P.redact(odd).where("doc_id = 0").first().text is None
     assert P.detect(odd.where("false")).count() == 0
     assert P.masked("a@b.cd, +1 (974) 555-3436.") == "[EMAIL], [PHONE]."
+
+
+@pytest.mark.parametrize("text, shown", [
+    ("mail jane at example.com", "jane at example.com"),
+    ("anecdote: mail jane at example.com", "jane at example.com"),
+    ("to jane ( at ) example.com", "jane ( at ) example.com"),
+    ("to jane {@} example.com", "jane {@} example.com"),
+    ("to jane@host{.}com", "jane@host{.}com"),
+    ("to jane < AT > host < . > org", "jane < AT > host < . > org"),
+    ("a at b dot com at c dot com", "a at b dot com"),
+])
+def test_disguises_do_not_depend_on_other_words(text, shown):
+    at = text.index(shown)
+    assert P.find(text)[1] == [("email", at, at + len(shown))]
+    assert P.find("a dotted line: " + text)[1] == [("email", at + 15, at + 15 + len(shown))]
+
+
+def test_white_space_and_chains_are_linear():
+    for t in (" " * 300_000, "( " * 100_000, "(" + " " * 300_000, "x dot " * 50_000 + " at ", "a at b" + " " * 300_000, "x at y dot " * 30_000, "x." * 100_000 + " at "):
+        P.find(t)
