@@ -83,3 +83,10 @@ def test_odd_rows(odd, make):
     assert W.compare_in_order(odd.where("false")).count() == 0
     assert W.compare_in_order(make(["a", "b"], [None, None])).count() == 2
     assert W.fingerprints(odd).count() == odd.count()
+
+
+def test_kept_half_of_a_short_text_leaves_a_pick():
+    rng = random.Random(9)
+    for n in range(50, 200):
+        text, following = ("".join(rng.choices("abcdefgh ", k=n)) for _ in range(2))
+        assert W.likeness(W.fingerprint(text)[0], W.fingerprint(W.edited(text, following))[0]) > 0
