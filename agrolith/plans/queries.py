@@ -462,13 +462,14 @@ def ols(spark, sf):
 
 @query
 def stream_daily(spark, sf):
-    """Readings as a stream, in days that close two days after their end."""
+    """Readings as a stream, in days, those still open too."""
     import uuid
 
     from agrolith.session import shared_root
     from agrolith.streaming import live
 
-    events = live.read(spark, f"{sf}/events.parquet", I.table(spark, sf, "events").schema)
+    # As a pattern, since a stream takes no single file as its folder.
+    events = live.read(spark, f"{sf}/event[s].parquet", I.table(spark, sf, "events").schema)
     r = events.select((F.col("user_id") % 4).cast("string").alias("zone"), I.variable().alias("channel"), "ts", "value")
     token = uuid.uuid4().hex
-    return live.drained(live.daily(r), f"stream_daily_{token}", f"{shared_root(spark)}/stream-{token}")
+    return live.kept(live.daily(r), f"{shared_root(spark)}/days-{token}", f"{shared_root(spark)}/stream-{token}")

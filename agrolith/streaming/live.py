@@ -58,3 +58,16 @@ def drained(df: DataFrame, name: str, checkpoint: str, mode: str = "append") ->
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def kept(days: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All days that a stream has so far, open ones too, as a table under ``path``: of each zone, channel and day the latest update."""
+    spark, values = days.sparkSession, ["n", "mean", "min", "max"]
+    spark.createDataFrame([], days.schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    days.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    latest = spark.read.parquet(path).groupBy("zone", "channel", "date").agg(F.max_by(F.struct(*values), "epoch").alias("v"))
+    return latest.select("zone", "channel", "date", *[F.col(f"v.{c}").alias(c) for c in values])

@@ -47,3 +47,12 @@ def test_lost_contact(spark, tmp_path):
     spark.createDataFrame(rows, "zone string, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/in")
     out = live.drained(live.offline(live.read(spark, f"{tmp_path}/in", "zone string, ts timestamp_ntz")), "off_t", f"{tmp_path}/cp")
     assert (out.orderBy("last_seen").first().records, out.orderBy("last_seen").first().last_seen) == (6, t0 + timedelta(minutes=50))
+
+
+def test_daily_query_has_the_open_days(spark, sf):
+    from agrolith.plans import inputs
+    from agrolith.plans.queries import QUERIES
+
+    got = {(r.zone, r.channel, str(r.date)): r.n for r in QUERIES["stream_daily"](spark, sf).collect()}
+    rows = inputs.raw(spark, sf).selectExpr("zone", "base_var as channel", "to_date(ts) as date", "v").groupBy("zone", "channel", "date").agg({"v": "count"}).collect()
+    assert got == {(r[0], r[1], str(r[2])): r[3] for r in rows}
