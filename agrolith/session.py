@@ -6,19 +6,35 @@ import os
 import tempfile
 from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
+_local: dict[str, str] = {}
+
+
+def session(name: str = "agrolith") -> SparkSession:
+    """The session of a job. Its master comes from spark-submit or the environment; one without any runs locally."""
+    if "spark.master" in dict(SparkConf().getAll()) or os.environ.get("SPARK_REMOTE") or SparkSession.getActiveSession():
+        return _settings(SparkSession.builder.appName(name)).getOrCreate()
+    return local_session(name=name)
+
+
+def _settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """What the engine assumes: UTC, AQE, Arrow."""
+    return (
+        builder.config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    )
+
+
 def local_session(cpus: int | None = None, partitions: int | None = None, name: str = "agrolith") -> SparkSession:
-    """A ``local[n]`` session with the settings that the engine assumes: UTC, AQE, Arrow."""
+    """A ``local[n]`` session, for tests and the bench."""
     n = cpus or os.cpu_count() or 4
     return (
-        SparkSession.builder.master(f"local[{n}]")
-        .appName(name)
+        _settings(SparkSession.builder.master(f"local[{n}]").appName(name))
         .config("spark.sql.shuffle.partitions", str(partitions or n))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("AGROLITH_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -27,9 +43,17 @@ def local_session(cpus: int | None = None, partitions: int | None = None, name:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one only where that is unset (tests, local mode)."""
+    """The folder in ``spark.checkpoint.dir``. Where that is unset, a local one in local mode (tests), an error on a cluster."""
+    ship(spark)
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else "file://" + tempfile.mkdtemp(prefix="agrolith-")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = "file://" + tempfile.mkdtemp(prefix="agrolith-")
+    return _local[app]
 
 
 def ship(spark: SparkSession) -> None:
