@@ -2,29 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.session import ship
+from agrolith.session import shared_root, ship
 
-_own: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests, local mode)."""
-    ship(spark)
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="agrolith-")
-    return _own[app]
+#: Rows of a side of two longs or so that are sent to every task, at most; larger ones are shuffled.
+SENT = 1_000_000
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -54,6 +41,28 @@ def hash_sample(df: DataFrame, names: list[str], rows: int, most: int) -> DataFr
     return df.select(names).where(F.pmod(F.xxhash64(*names), F.lit(fine)) < share).orderBy(F.xxhash64(*names), *names).limit(most)
 
 
+def sendable(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a narrow table of ``rows`` rows, broadcast where it is small enough."""
+    return F.broadcast(df) if rows <= SENT else df
+
+
+def spread(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which has a key once; the rows of a hot key are dealt over several tasks.
+
+    A key is hot with over 1 of 256 rows of ``left``, so there are 256 at most and their parts are under 512; the
+    rows of ``right`` are repeated for the parts alone. ``left`` is read twice: it should be a table.
+    """
+    rows = left.count()
+    fair = max(rows // 256, 1000)
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > fair)
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_n") / fair).cast("int").alias("_parts"))
+    same = lambda df: df.join(F.broadcast(hot), [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left").drop(*[f"_hot_{k}" for k in keys])
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = same(left).withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+    each = same(right).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.drop("_parts").join(each.drop("_parts"), [*keys, "_part"], how).drop("_part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,128 +1,157 @@
 """Documents scored by cross-entropy difference (operator 10).
 
-Two interpolated trigram models share one closed vocabulary, the bytes of UTF-8 text: that of the target
+Two bigram models share one vocabulary, the words that the corpus has (A-Z lower-cased): that of the target
 (documents labelled good, or any others) and that of the background (all documents). A document's score
-is the mean over its tokens of the loss under the target less that under the background; lower means
-nearer to the target.
+is the mean over its words of the loss under the target less that under the background; lower means
+nearer to the target. A document's own counts are left out of both models, so none is scored by itself.
 
-Each task counts all tokens of its documents in dense arrays and sends its non-zero counts to a shuffle that
-sums them. The number of distinct trigrams, so what comes to the driver and goes out with the models, is
-bounded by the vocabulary (256 cubed, and in text far fewer), however large the corpus.
+Both models smooth by Dirichlet priors: a word after another by its share alone, and that by an even share of the
+vocabulary: p(w) = (c(w) + PRIOR_1 / V) / (N + PRIOR_1), p(w | v) = (c(v w) + PRIOR_2 p(w)) / (c(v) + PRIOR_2).
 
-Defined results: a null or empty text has no tokens and a score of 0. Without target rows the target
-model is uniform. Repeated rows count and are scored each. Further columns are passed over.
+No table of counts is ever held whole. Documents are dealt to blocks of bounded size by a hash of id and text. A block
+asks once for each distinct word and pair that it has (``asked``), in a row for each bucket of hashes; a bucket sums what
+all blocks have and answers each in its own order (``answered``); the block's documents meet the answers (``score``).
+Only three totals come to the driver. Words and pairs are told apart by 32 bits of their hash within a
+bucket, and the number of buckets grows with the corpus.
+
+Defined results: a null or empty text has no words and a score of 0. Without target rows the target
+model is even over the vocabulary. Repeated rows count and are scored each. Further columns are passed over.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import column, text_column
-
-#: Weights of trigram, bigram, unigram and uniform shares.
-MIX = (0.7, 0.2, 0.09, 0.01)
-_CHUNK = 8_000_000
-
-
-def trigrams(text: bytes) -> np.ndarray:
-    """The code of each byte with the two before it; the text starts after two line ends."""
-    b = np.frombuffer(b"\n\n" + text, np.uint8).astype(np.uint32)
-    return b[:-2] << 16 | b[1:-1] << 8 | b[2:]
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """``code`` and ``n``: how often each trigram occurs."""
-
-    def run(batches):
-        sums = np.zeros(1 << 24, np.int32)
-
-        def add(texts):
-            code, n = np.unique(np.concatenate([trigrams(t) for t in texts]), return_counts=True)
-            sums[code] += n.astype(np.int32)
-
-        for b in batches:
-            held, size = [], 0
-            for t in text_column(b):
-                held.append(t.encode("utf-8", "surrogatepass"))
-                size += len(held[-1])
-                if size > _CHUNK:
-                    add(held)
-                    held, size = [], 0
-            if held:
-                add(held)
-        code = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(sums[code].astype(np.int64))], names=["code", "n"])
-
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-class Models:
-    """Losses in bits by trigram, for both models, over the bytes that the corpus has and one for all others."""
-
-    def __init__(self, background: tuple[np.ndarray, np.ndarray], target: tuple[np.ndarray, np.ndarray], mix=MIX):
-        """``background`` and ``target``: codes and counts."""
-        code = np.concatenate([background[0], target[0]])
-        used = np.unique(np.concatenate([code >> 16, code >> 8 & 255, code & 255]))
-        self.place = np.full(256, len(used), np.uint32)
-        self.place[used] = np.arange(len(used))
-        self.width = len(used) + 1
-        self.background, self.target = (self._losses(*x, mix) for x in (background, target))
-
-    def _losses(self, code: np.ndarray, n: np.ndarray, mix) -> np.ndarray:
-        w, p = self.width, self.place
-        full = np.zeros(w**3)
-        full[self._index(p[code >> 16], p[code >> 8 & 255], p[code & 255])] = n
-        full = full.reshape(w, w, w)
-        two, one = full.sum(0), full.sum((0, 1))
-
-        def share(x):
-            total = x.sum(-1, keepdims=True)
-            return np.divide(x, total, out=np.full_like(x, 1 / 256), where=total > 0)
-
-        share_1 = share(one)
-        return -np.log2(mix[0] * share(full) + mix[1] * share(two) + mix[2] * share_1 + mix[3] / 256).astype(np.float32).ravel()
-
-    def _index(self, a, b, c):
-        return (a.astype(np.int64) * self.width + b) * self.width + c
-
-    def losses(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of tokens, and mean losses in bits under target and background, of each text."""
-        n, out = np.zeros(len(texts), np.int64), np.zeros((2, len(texts)))
-        for i, t in enumerate(texts):
-            b = self.place[np.frombuffer(b"\n\n" + t.encode("utf-8", "surrogatepass"), np.uint8)]
-            n[i] = len(b) - 2
-            if n[i]:
-                at = self._index(b[:-2], b[1:-1], b[2:])
-                out[:, i] = self.target[at].mean(dtype=float), self.background[at].mean(dtype=float)
-        return n, out[0], out[1]
-
-
-def train(docs: DataFrame, target: DataFrame) -> Models:
-    """Models of all rows of ``docs`` and of those of ``target``."""
-    seen = [counts(df).toArrow() for df in (docs, target)]
-    return Models(*((t["code"].to_numpy(), t["n"].to_numpy()) for t in seen))
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """``doc_id, n_tokens, target_bits, background_bits, score``."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+from agrolith.llm.common import materialise, sendable
 
-    def run(batches):
-        for b in batches:
-            n, t, g = sent.value.losses(text_column(b))
-            cols = [column(b, "doc_id").cast(pa.int64()), *map(pa.array, (n, t, g, t - g))]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
+PRIOR_1, PRIOR_2 = 1000.0, 20.0
+#: Bytes of text in a block, and bytes of text of the corpus for each bucket.
+BLOCK, BUCKET = 4 << 20, 16 << 20
+_START = xxhash.xxh64_intdigest(b" ", 42)  # no word holds a blank
+_MEMORY = 500_000
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
 
+def words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
-def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that any label gives quality 1.
 
-    Labels grow with the documents, so they are never sent whole to each task: both sides are dealt by id.
-    """
-    ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+class Coder:
+    """Texts to codes of their words (even) and pairs (odd), the start of a text included; hashes of words are remembered."""
+
+    def __init__(self, bits: int):
+        self.bits, self.known = bits, {}
+
+    def _code(self, hashes: np.ndarray, pair: int) -> np.ndarray:
+        """Bucket, then 32 bits, the last of which tells pairs from words."""
+        low = hashes & np.uint64(0xFFFFFFFE) | np.uint64(pair)
+        return (hashes >> np.uint64(64 - self.bits) << np.uint64(32) | low).astype(np.int64)
+
+    def codes(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of the start and each word, and of each word with what stands before it."""
+        own, known = words(text), self.known
+        for w in set(own).difference(known):
+            known[w] = xxhash.xxh64_intdigest(w, 42)
+        ids = np.array([_START, *map(known.__getitem__, own)], np.uint64)
+        if len(known) > _MEMORY:
+            known.clear()
+        return self._code(_mixed(ids), 0), self._code(_mixed(ids[:-1] * np.uint64(0x9E3779B97F4A7C15) + ids[1:]), 1)
+
+
+def dealt(docs: DataFrame, target: DataFrame) -> tuple[DataFrame, int]:
+    """``doc_id, text, good, block`` of every row, and the number of bits of a bucket. ``target``: distinct ``_id``."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sendable(target.withColumn("_good", F.lit(True)), target.count()), F.col("doc_id") == F.col("_id"), "left")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1)).cast("long")
+    return known.select("doc_id", "text", F.coalesce("_good", F.lit(False)).alias("good"), block.alias("block")), max(1, (size // BUCKET).bit_length())
+
+
+def asked(rows: DataFrame, bits: int) -> DataFrame:
+    """``bucket, block, codes, n, t``: the distinct words and pairs of a block, and how often it has them in all and in good documents."""
+    ints = pa.list_(pa.int32())
+
+    def run(group: pa.Table) -> pa.Table:
+        coder = Coder(bits)
+        each = [np.concatenate(coder.codes(t)) for t in group["text"].to_pylist()]
+        code, place = np.unique(np.concatenate(each), return_inverse=True)
+        good = np.repeat(group["good"].to_numpy(), [len(x) for x in each])
+        n, t = np.bincount(place, minlength=len(code)), np.bincount(place[good], minlength=len(code))
+        bucket = code >> 32
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        ends = pa.array(np.append(starts, len(code)), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.uint32).view(np.int32))) for x in (code & 0xFFFFFFFF, n, t)]
+        return pa.table([pa.array(bucket[starts]), pa.array(np.full(len(starts), group["block"][0].as_py())), *(x.cast(ints) for x in lists)], names=["bucket", "block", "codes", "n", "t"])
+
+    return rows.groupBy("block").applyInArrow(run, "bucket long, block long, codes array<int>, n array<int>, t array<int>")
+
+
+def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists as one array, and where each list ends."""
+    lists = pa.concat_arrays(table[name].chunks) if table[name].num_chunks != 1 else table[name].chunk(0)
+    return np.asarray(lists.flatten()), np.cumsum(np.asarray(lists.value_lengths()), dtype=np.int64)
+
+
+def answered(requests: DataFrame) -> DataFrame:
+    """``block, bucket, n, t``: the corpus's counts in the order that the block asked for; in a row with a null block a bucket's
+    number of words, and the sums of their counts."""
+
+    def run(group: pa.Table) -> pa.Table:
+        codes, ends = _lists(group, "codes")
+        code, place = np.unique(codes, return_inverse=True)
+        sums = [np.bincount(place, _lists(group, c)[0], len(code)).astype(np.int64) for c in ("n", "t")]
+        single = code & 1 == 0
+        totals = pa.array([[int(single.sum()), int(sums[0][single].sum())]], pa.list_(pa.int64())), pa.array([[int(sums[1][single].sum())]], pa.list_(pa.int64()))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        n, t = (pa.concat_arrays([pa.ListArray.from_arrays(offsets, pa.array(s[place])), own]) for s, own in zip(sums, totals, strict=True))
+        bucket = group["bucket"][0].as_py()
+        return pa.table({"block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "bucket": pa.array([bucket] * len(n), pa.int64()), "n": n, "t": t})
+
+    return requests.groupBy("bucket").applyInArrow(run, "block long, bucket long, n array<long>, t array<long>")
+
+
+def losses(n: np.ndarray, pair: np.ndarray, before: np.ndarray, total: float, vocabulary: float) -> np.ndarray:
+    """Bits of each word from the counts of itself, of the pair and of the word before it."""
+    alone = (n + PRIOR_1 / vocabulary) / (total + PRIOR_1)
+    return -np.log2((pair + PRIOR_2 * alone) / (before + PRIOR_2))
+
+
+def score(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, target_bits, background_bits, score``. ``target``: ``good``, or distinct ids as ``_id``."""
+    rows, bits = dealt(docs, target)
+    answers = materialise(answered(asked(rows, bits)), "answers")
+    sums = answers.where("block is null").agg(F.sum(F.col("n")[0]), F.sum(F.col("n")[1]), F.sum(F.col("t")[0])).first()
+    vocabulary, total, good_total = (float(x or 0) for x in sums)
+
+    def run(group: pa.Table, found: pa.Table) -> pa.Table:
+        found, coder = found.sort_by("bucket"), Coder(bits)
+        each = [coder.codes(t) for t in group["text"].to_pylist()]
+        code = np.unique(np.concatenate([x for both in each for x in both]))
+        n, t = (_lists(found, c)[0] for c in "nt")
+        out = np.zeros((len(each), 2))
+        for i, ((own, pairs), good) in enumerate(zip(each, group["good"].to_pylist(), strict=True)):
+            if not len(pairs):
+                continue
+            (one, first, often), (two, second, pair_often) = (np.unique(x, return_inverse=True, return_counts=True) for x in (own, pairs))
+            at, pair_at = np.searchsorted(code, one), np.searchsorted(code, two)
+            for k, (counts, all_, left) in enumerate(((t, good_total, good), (n, total, True))):
+                c, p = counts[at] - left * often, counts[pair_at] - left * pair_often
+                out[i, k] = losses(c[first[1:]], p[second], c[first[:-1]], all_ - left * len(own), vocabulary).mean()
+        cols = [group["doc_id"].combine_chunks(), pa.array([len(p) for _, p in each], pa.int64()), pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 0] - out[:, 1])]
+        return pa.table(cols, names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
+
+    both = rows.groupBy("block").cogroup(answers.where("block is not null").groupBy("block"))
+    return both.applyInArrow(run, "doc_id long, n_tokens long, target_bits double, background_bits double, score double")
+
+
+def good(labels: DataFrame) -> DataFrame:
+    """``_id``: the documents that any label gives quality 1."""
+    return labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()

@@ -67,9 +67,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    models = lm.train(docs, lm.good(docs.select("doc_id", "text"), table(spark, sf_dir, "labels")))
-    return lm.score(docs, models)
+    return lm.score(table(spark, sf_dir, "documents"), lm.good(table(spark, sf_dir, "labels")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
