@@ -1,8 +1,9 @@
 """K-d tree partitioning of documents into shards of nearly equal bytes (operator 6, native).
 
-Points are groups of equal texts, weighted by their bytes, so copies lie in one shard. A group over
-``1 / PART`` of a shard is cut by a hash of its ids into small parts: it cannot lie whole
-in one shard and leave the sizes near equal, nor in one task.
+Points are groups of equal texts, weighted by their bytes, so copies lie in one shard. Groups over
+``1 / PART`` of a shard's even share are few (under shards x ``PART``): they are placed first, the largest first, each whole into
+the shard with the most room, and the tree deals all others to the room that is left. A group that no shard can take without
+passing the even share by over ``1 / PART`` of it, as one larger than a shard, is cut by a hash of its ids into small parts that the tree deals.
 
 The tree is grown on the driver from aggregates alone. At each level one pass finds, for every
 open node, the widest metadata dimension (size, bytes per character, language, source), and two passes of
@@ -18,15 +19,17 @@ table gives an empty result. With fewer groups than shards some shards stay empt
 
 from __future__ import annotations
 
+from heapq import heapify, heapreplace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import materialise, row_numbers
+from agrolith.llm.common import materialise, row_numbers, spread
 
 SHARDS = 40
-#: Groups of equal texts stay whole up to this part of a shard's bytes.
-PART = 25
-#: A group over that is cut into so many parts for each such share: once it is cut, small parts balance best.
+#: The part of a shard's even share from which groups are placed before the tree, and by which a whole group may pass it.
+PART = 50
+#: A group that is cut has so many parts for each such share: small parts balance best.
 FINE = 16
 BINS = 4096
 BITS, TIE = 20, 43
@@ -85,8 +88,26 @@ def _leaf(node: _Node, label) -> Column:
     return F.when(F.col(node.dimension) < node.cut, _leaf(node.low, label)).otherwise(_leaf(node.high, label))
 
 
-def grow(points: DataFrame, shards: int, bins: int = BINS) -> _Node:
-    """``points``: a column for each dimension, and ``weight``. Read three times a level."""
+def settle(groups: list[tuple[int, int]], shards: int, even: float, part: int = PART) -> tuple[list[int | None], list[float]]:
+    """The shard of each large group, None where it must be cut, and the room that is left in each shard.
+
+    ``groups``: bytes and rows, in any order. A single row is never cut.
+    """
+    rooms, out = [(-even, i) for i in range(shards)], [None] * len(groups)
+    heapify(rooms)
+    for i in sorted(range(len(groups)), key=lambda i: (-groups[i][0], i)):
+        weight, rows = groups[i]
+        room, at = rooms[0]
+        if rows == 1 or weight <= -room + even / part:
+            heapreplace(rooms, (room + weight, at))
+            out[i] = at
+    return out, [max(0.0, -room) for room, _ in sorted(rooms, key=lambda x: x[1])]
+
+
+def grow(points: DataFrame, shards: int, bins: int = BINS, room: list[float] | None = None) -> _Node:
+    """``points``: a column for each dimension, and ``weight``. ``room``: of each shard, equal by default. Read three times a level."""
+    room = room or [1.0] * shards
+    share = lambda a, n: sum(room[a : a + n])
     root, names = _Node(shards, 0), list(DIMENSIONS)
     spread = points.agg(*[F.max(F.shiftright(d, TIE)) - F.min(F.shiftright(d, TIE)) for d in names]).first()
     scale = {d: max(int(x or 0), 1) for d, x in zip(names, spread, strict=True)}
@@ -103,7 +124,8 @@ def grow(points: DataFrame, shards: int, bins: int = BINS) -> _Node:
             width = lambda d, r=seen[i]: ((r[f"{d}_max"] >> TIE) - (r[f"{d}_min"] >> TIE)) / scale[d]
             n.dimension = max(names, key=width)
             span[i] = seen[i][f"{n.dimension}_min"], seen[i][f"{n.dimension}_max"] + 1
-            goal[i] = seen[i]["weight"] * (n.shards // 2) / n.shards
+            whole = share(n.first, n.shards)
+            goal[i] = seen[i]["weight"] * (share(n.first, n.shards // 2) / whole if whole else 0.5)
         for _ in range(2):  # the bins of the span, then those of one of its bins
             step = {i: max(1, -(-(b - a) // bins)) for i, (a, b) in span.items()}
             place = lambda f: F.element_at(F.create_map(*[F.lit(y) for i in span for y in (i, f(i))]), F.col("_node"))
@@ -139,20 +161,25 @@ def shard(docs: DataFrame, shards: int = SHARDS, part: int = PART, bins: int = B
     groups = rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"), F.min("_lang").alias("_lang"), F.min("_source").alias("_source"), F.min("_chars").alias("_chars"))
     groups = materialise(groups, "groups")
     n, total = groups.agg(F.sum("n"), F.sum(F.col("size") * F.col("n"))).first()
-    limit = max(1, (total or 0) // (shards * part))
-    # Groups over the limit number at most shards * part, so this side is bounded by the parameters.
-    hot = groups.where(F.col("size") * F.col("n") > limit).select(*_GROUP, F.ceil(F.col("size") * F.col("n") * FINE / limit).alias("_parts"))
+    even = (total or 0) / shards
+    limit = max(1, int(even / part))
+    weight = F.col("size") * F.col("n")
+    large = groups.where(weight > limit).select(*_GROUP, "n").orderBy(*_GROUP).collect()  # under shards * part rows
+    to, room = settle([(r["size"] * r["n"], r["n"]) for r in large], shards, even, part)
+    values = [f"({r['_hash']}L, {r['size']}L, {r['text_crc32']}L, {'null' if i is None else i}, {-(-r['size'] * r['n'] * FINE // limit)}L)" for r, i in zip(large, to, strict=True)]
+    known_large = rows.sparkSession.sql(f"select * from values {', '.join(values or ['(0L, -1L, 0L, 0, 0L)'])} as t(_hash, size, text_crc32, _to, _parts)")
     piece = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")), F.lit(0)).cast("int").alias("_piece")
-    cut = lambda df: df.join(F.broadcast(hot), _GROUP, "left")
-    hot_rows = rows.join(F.broadcast(hot), _GROUP).groupBy(*_GROUP, piece).agg(F.count(F.lit(1)).alias("n"))
-    pieces = cut(groups).where("_parts is null").select(*_GROUP, F.lit(0).alias("_piece"), "n").unionByName(hot_rows)
+    with_large = lambda df: df.join(F.broadcast(known_large), _GROUP, "left")
+    cut_rows = rows.join(F.broadcast(known_large.where("_to is null")), _GROUP).groupBy(*_GROUP, piece).agg(F.count(F.lit(1)).alias("n"))
+    pieces = with_large(groups).where("_parts is null").select(*_GROUP, F.lit(0).alias("_piece"), "n").unionByName(cut_rows)
     tie = F.shiftrightunsigned(F.xxhash64("_hash", "_piece"), 64 - TIE)
     keys = [(F.shiftleft(e, TIE) + tie).alias(d) for d, e in _dimensions().items()]
     known = pieces.join(groups.drop("n"), _GROUP)
-    points = materialise(known.select(*[F.col(c).alias("_size" if c == "size" else c) for c in _GROUP], "_piece", *keys, (F.col("size") * F.col("n")).alias("weight")), "points")
-    root = grow(points, shards, bins)
-    placed = points.select("_hash", F.col("_size").alias("_bytes"), F.col("text_crc32").alias("_crc"), F.col("_piece").alias("_p"), _leaf(root, lambda x: x.first).alias("shard"))
-    at = cut(rows).withColumn("_piece", piece)
-    same = (F.col("r._hash") == F.col("p._hash")) & (F.col("size") == F.col("_bytes")) & (F.col("text_crc32") == F.col("_crc")) & (F.col("_piece") == F.col("_p"))
-    dealt = at.alias("r").join(placed.alias("p"), same).select("doc_id", "size", "text_crc32", "shard")
-    return row_numbers(materialise(dealt, "dealt"), ["shard"], ["doc_id", "text_crc32", "size"], BUCKET, n or 0, "slot")
+    points = materialise(known.select(*[F.col(c).alias("_size" if c == "size" else c) for c in _GROUP], "_piece", *keys, weight.alias("weight")), "points")
+    root = grow(points, shards, bins, room)
+    placed = points.select("_hash", F.col("_size").alias("size"), "text_crc32", "_piece", _leaf(root, lambda x: x.first).alias("_at"))
+    keyed = materialise(with_large(rows).withColumn("_piece", F.when(F.col("_to").isNull(), piece).otherwise(0)), "keyed")
+    settled = keyed.where("_to is not null").select("doc_id", "size", "text_crc32", F.col("_to").alias("shard"))
+    spread_out = spread(keyed.where("_to is null").drop("_to", "_parts"), placed, [*_GROUP, "_piece"]).select("doc_id", "size", "text_crc32", F.col("_at").alias("shard"))
+    dealt = materialise(settled.unionByName(spread_out), "dealt")
+    return row_numbers(dealt, ["shard"], ["doc_id", "text_crc32", "size"], BUCKET, n or 0, "slot")
