@@ -6,8 +6,8 @@ over ``SLACK`` of its bin empty is cut once more, at capacity // (k + 1), which
 class k + 1; rests of up to the root of the capacity fill theirs anyhow.
 A bin of class k takes exactly k pieces, so packing needs no look at other pieces: each worker
 numbers its own pieces of a class, the running sum of the workers' counts gives its first number,
-and number // k is the bin. Only the last bin of each class may stay open. Those pieces, under k a
-class and so bounded by the capacity alone, are packed first-fit by falling length.
+and number // k is the bin. Only the last bin of each class may stay open. Open bins, one a class and so under
+twice the root of the capacity, are put together whole, first-fit by falling length; their pieces stay where they are.
 
 Ids are made per blank-separated chunk of a text and remembered for the next one, in a memory of
 bounded size: the tokenizer drops white space, so no token reaches over a blank.
@@ -136,36 +136,33 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long" + ", ids array<int>" * ids)
 
 
-def _first_fit(capacity: int):
-    def fit(pdf):
-        pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], ignore_index=True)
-        free, bins, offsets = [], [], []
-        for size in pdf["length"]:
-            i = next((i for i, f in enumerate(free) if f >= size), len(free))
-            if i == len(free):
-                free.append(capacity)
-            bins.append(i)
-            offsets.append(capacity - free[i])
-            free[i] -= size
-        return pdf.assign(sequence_id=bins, offset=offsets).drop(columns="_one")
-
-    return fit
+def first_fit(sizes: dict[int, int], capacity: int) -> dict[int, tuple[int, int]]:
+    """The sequence and the offset of each open bin, by class: the longest first, each into the first sequence with room."""
+    used, out = [], {}
+    for k, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        i = next((i for i, u in enumerate(used) if u + size <= capacity), len(used))
+        if i == len(used):
+            used.append(0)
+        out[k] = i, used[i]
+        used[i] += size
+    return out
 
 
 def packed(found: DataFrame, capacity: int = CAPACITY, bucket: int = BUCKET) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``. ``found`` is read several times: it should be a table."""
     n = found.count()
-    order = ["doc_id", "start", "length", "ids_crc32"]
-    ranked = row_numbers(found, ["k"], order, bucket, n)
-    totals = found.groupBy("k").agg(F.count(F.lit(1)).alias("_all"))  # a row for each class: at most ``capacity``
+    ranked = row_numbers(found, ["k"], ["doc_id", "start", "length", "ids_crc32"], bucket, n)
+    totals = found.groupBy("k").agg(F.count(F.lit(1)).alias("_all"))  # a row for each class
     ranked = ranked.join(F.broadcast(totals), "k").withColumn("_bin", F.floor(F.col("rank") / F.col("k")))
-    is_open = F.col("rank") >= F.col("_all") - F.col("_all") % F.col("k")
+    ranked = materialise(ranked.withColumn("_open", F.col("rank") >= F.col("_all") - F.col("_all") % F.col("k")), "ranked")
     inside = W.partitionBy("k", "_bin").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
-    cols = [c for c in found.columns if c != "k"]
-    full = ranked.where(~is_open).select(*cols, (F.col("k") * F.lit(1 << 40) + F.col("_bin")).alias("sequence_id"), F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long").alias("offset"))
-    rest = ranked.where(is_open).select(*cols, F.lit(1).alias("_one"))
-    schema = rest.drop("_one").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
-    return full.unionByName(rest.groupBy("_one").applyInPandas(_first_fit(capacity), schema))
+    before = F.coalesce(F.sum("length").over(inside), F.lit(0))
+    open_ = {r.k: r.n for r in ranked.where("_open").groupBy("k").agg(F.sum("length").alias("n")).collect()}
+    places = first_fit(open_, capacity)
+    at = lambda i: F.element_at(F.create_map(*[F.lit(x) for k in sorted(places) for x in (k, places[k][i])]), F.col("k")) if places else F.lit(0)
+    sequence = F.when(F.col("_open"), at(0)).otherwise(F.col("k") * F.lit(1 << 40) + F.col("_bin")).cast("long")
+    offset = (before + F.when(F.col("_open"), at(1)).otherwise(0)).cast("long")
+    return ranked.select(*[c for c in found.columns if c != "k"], sequence.alias("sequence_id"), offset.alias("offset"))
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSING, ids: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from agrolith.llm import packing as P
-from agrolith.llm.queries import tokenizer
+from agrolith.llm.queries import QUERIES, tokenizer
 
 PATH = tokenizer("word_bpe_49k.json")
 
@@ -66,6 +66,21 @@ def test_cuts_are_whole_and_fit_their_class():
         assert at == n
 
 
+def test_open_bins_are_put_together():
+    sizes = {k: 1 + 997 * k % P.CAPACITY for k in range(2, 90)}
+    at = P.first_fit(sizes, P.CAPACITY)
+    ends = {}
+    for k, (i, a) in sorted(at.items(), key=lambda x: x[1]):
+        assert a == ends.get(i, 0)
+        ends[i] = a + sizes[k]
+    assert set(at) == set(sizes) and max(ends.values()) <= P.CAPACITY
+    assert len(ends) < 1.2 * sum(sizes.values()) / P.CAPACITY + 1 and P.first_fit({}, 8) == {}
+
+
+def test_query(spark, sf, corpus):
+    assert check(corpus.collect(), QUERIES["op5_packing"](spark, sf)) < 0.05
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="aBcé .,'s!?\n\t<|>1ﬁ́Σσ😀", max_size=40), max_size=5), st.sampled_from(["", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]))
 def test_chunks_give_the_ids_of_whole_texts(texts, mark):
