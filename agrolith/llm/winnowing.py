@@ -114,19 +114,20 @@ def edited(text: str, following: str) -> str:
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_bucket: int = 4000, most: int = 20_000) -> DataFrame:
+def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_bucket: int = 4000) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document by falling id.
 
-    Ids are cut into ranges at quantiles of a bounded sample (``most`` ids). Texts are dealt to the ranges once
-    and streamed through each in order; the first document of a range also goes to the range before it, so
-    no range waits for another. Nulls come last; equal ids go by the hash of their text.
+    Ids are cut into ranges of about ``per_bucket`` rows at quantiles of a sample, two ids a range, so their number
+    follows the rows (8 bytes for each 2000 rows go to the driver). Texts are dealt to the ranges once, ranges to
+    tasks by size, and streamed through each in order; the first document of a range also goes to the range before it, so
+    no range waits for another. Nulls come last; equal ids go by the hash of their text and lie in one range.
     """
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
     seen = ids.agg(F.count(F.lit(1)), F.max("doc_id")).first()
-    n = min(buckets_for(seen[0], per_bucket), most // 4)
-    known = sorted(r.doc_id for r in hash_sample(ids, ["doc_id"], seen[0], most).collect()) if n > 1 else []
-    bounds = np.unique([known[len(known) * i // n] for i in range(1, n)] + [seen[1]] * (seen[0] > 0)).astype(np.int64) if seen[0] else np.zeros(0, np.int64)
+    n, none = buckets_for(seen[0], per_bucket), np.zeros(0, np.int64)
+    known = np.sort(hash_sample(ids, ["doc_id"], seen[0], 2 * n).toArrow()["doc_id"].to_numpy()) if n > 1 else none
+    bounds = np.unique(np.append(known[len(known) * np.arange(1, n) // n], seen[1])).astype(np.int64) if seen[0] else none
     sent = spark.sparkContext.broadcast(bounds)
 
     def deal(batches):
@@ -181,5 +182,5 @@ def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_buck
             yield batch()
 
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(deal, "doc_id long, text string, _at long, _tail byte")
-    ordered = dealt.repartition("_at").sortWithinPartitions("_at", "_tail", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    ordered = dealt.repartitionByRange("_at").sortWithinPartitions("_at", "_tail", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     return ordered.mapInArrow(stream, RESULT)
