@@ -31,12 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import column, materialise, text_column
+from agrolith.llm.common import column, hash_sample, materialise, text_column
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 30_000
-#: Terms and stems, the strongest first, at most: what the model holds in memory.
-TERMS = 5_000
 #: Verdicts that a worker remembers.
 MEMORY = 500_000
 WINDOW = 80
@@ -194,8 +192,11 @@ def _tail(k: int, n: int, p: float) -> float:
     return n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0)) / math.log(10)
 
 
-def learn_lexicon(train: DataFrame, terms: int = TERMS) -> Lexicon:
-    """``train``: ``text`` and ``toxic``, a bounded table. Only words of toxic documents are counted in the others."""
+def learn_lexicon(train: DataFrame) -> Lexicon:
+    """All terms and stems that pass the test. ``train``: ``text`` and ``toxic``, a bounded table, which bounds them too.
+
+    Only words of toxic documents are counted in the others.
+    """
     spark = train.sparkSession
 
     def counts(wanted):
@@ -223,11 +224,12 @@ def learn_lexicon(train: DataFrame, terms: int = TERMS) -> Lexicon:
 
     toxic, other = train.where("toxic = 1"), train.where("toxic = 0")
     count = lambda rows, wanted: rows.select("text").mapInArrow(counts(wanted), "key string, like long").distinct().groupBy("key").count()
-    found = {r["key"]: r["count"] for r in count(toxic, None).where("count >= 2").orderBy(F.desc("count"), "key").limit(20 * terms).collect()}
+    table = lambda df: dict(zip(*(df.toArrow()[c].to_pylist() for c in ("key", "count")), strict=True))
+    found = table(materialise(count(toxic, None).where("count >= 2"), "terms"))
     n1, n0 = max(1, toxic.count()), max(1, other.count())
     words, stems = frozenset(w for w in found if w[-1] != "*"), frozenset(w for w in found if w[-1] == "*")
     sent = spark.sparkContext.broadcast((words, stems))
-    also = {r["key"]: r["count"] for r in count(other, sent).collect()} if found else {}
+    also = table(materialise(count(other, sent), "others")) if found else {}
     p, chosen, under = n1 / (n0 + n1), {}, Counter()
     for w, k in found.items():
         weight = math.log((k + 0.5) / (n1 + 1)) - math.log((also.get(w, 0) + 0.5) / (n0 + 1))
@@ -241,8 +243,7 @@ def learn_lexicon(train: DataFrame, terms: int = TERMS) -> Lexicon:
         if under[s] >= 3 and not longer and not any(s[:-1].startswith(x) for x in kept_stems):
             kept_stems[s[:-1]] = chosen[s]
     alone = {w: v for w, v in chosen.items() if w[-1] != "*" and not any(w.startswith(s) for s in kept_stems)}
-    strongest = lambda d: dict(sorted(d.items(), key=lambda x: (-found.get(x[0], found.get(x[0] + "*", 0)), x[0]))[:terms])
-    return Lexicon(strongest(alone), strongest(kept_stems))
+    return Lexicon(alone, kept_stems)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.003) -> np.ndarray:
@@ -277,7 +278,7 @@ def held_out():
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    known = hash_sample(known, ["_id", "toxic"], known.count(), sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "toxic")  # at most ``sample`` small rows are sent
     rows = materialise(rows, "labelled")
     lexicon = learn_lexicon(rows)

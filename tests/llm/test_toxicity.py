@@ -2,8 +2,10 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from agrolith.llm import toxicity as T
+from agrolith.llm.queries import QUERIES
 
 
 def distance(a, b):
@@ -67,3 +69,27 @@ def test_odd_rows_and_no_labels(trained, odd, make):
     assert {r.score < 0.5 for r in T.score(odd, bare).collect()} == {True}
     assert T.score(odd.where("false"), bare).count() == 0
     assert T.train(odd.where("false"), labels.where("false")).lexicon.terms == {}
+
+
+def test_query_and_its_fold(spark):
+    """The query's columns against the operator's scores; labels of the held-out fold change no score."""
+    sf = "/root/testdata/sf0.01"
+    out = QUERIES["op4_toxicity"](spark, sf)
+    assert [(n, t) for n, t in out.dtypes] == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    turned = labels.withColumn("toxic", F.when(T.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = {r.doc_id: r.score for r in T.score(docs, T.train(docs, turned)).collect()}
+    rows = out.collect()
+    assert len(rows) == len(again) == docs.count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert r.score == again[r.doc_id] and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+
+
+def test_repeated_rows_and_ties_in_the_sample(spark):
+    """A bounded sample of equal rows is the same whatever their order."""
+    rows = [(i, ("you vile grobnik " if i % 3 == 0 else "a fine day ") + f"word{i % 7}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows] * 2, "doc_id long, toxic int")
+    models = [T.train(docs.repartition(n), labels.repartition(n), sample=100) for n in (1, 5)]
+    assert models[0].lexicon.terms == models[1].lexicon.terms and abs(models[0].weights - models[1].weights).max() < 1e-9
