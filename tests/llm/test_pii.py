@@ -92,3 +92,20 @@ def test_disguises_do_not_depend_on_other_words(text, shown):
 def test_white_space_and_chains_are_linear():
     for t in (" " * 300_000, "( " * 100_000, "(" + " " * 300_000, "x dot " * 50_000 + " at ", "a at b" + " " * 300_000, "x at y dot " * 30_000, "x." * 100_000 + " at "):
         P.find(t)
+
+
+def test_blanks_and_long_chains_take_time_in_proportion():
+    """A million characters each of what made patterns start again and again; twice the text takes about twice as long."""
+    import time
+
+    def seconds(text):
+        start = time.perf_counter()
+        P.find(text)
+        return time.perf_counter() - start
+
+    n = 500_000
+    for unit in ("a dot ", "one ", "x at a dot ", "a@", "+1 ", "(at) ", "1.", "plus ", "a@b dot "):
+        short, long_ = seconds(unit * (n // len(unit))), seconds(unit * (2 * n // len(unit)))
+        assert long_ < 20 and long_ < 4 * short + 0.5, unit
+    for head, tail in (("dot", ""), ("a at", "b dot com"), ("one", "two"), ("(", "at)"), ("@", ""), ("a", " at b.com")):
+        assert seconds(head + " " * 1_000_000 + tail) < 5, head
