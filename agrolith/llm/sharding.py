@@ -6,7 +6,7 @@ the shard with the most room, and the tree deals all others to the room that is
 passing the even share by over ``1 / PART`` of it, as one larger than a shard, is cut by a hash of its ids into small parts that the tree deals.
 
 The tree is grown on the driver from aggregates alone. At each level one pass finds, for every
-open node, the widest metadata dimension (size, bytes per character, language, source), and two passes of
+open node, the widest metadata dimension (size, bytes per character, language, source), and passes of
 histograms find the weighted median along it (or the split that the numbers of shards on both sides
 ask for). Dimensions are scaled to 20 bits; ties are ordered by text hash, so that any node can be cut
 where its weight demands. What comes to the driver is bounded by nodes x ``BINS``. The finished tree is one
@@ -126,15 +126,14 @@ def grow(points: DataFrame, shards: int, bins: int = BINS, room: list[float] | N
             span[i] = seen[i][f"{n.dimension}_min"], seen[i][f"{n.dimension}_max"] + 1
             whole = share(n.first, n.shards)
             goal[i] = seen[i]["weight"] * (share(n.first, n.shards // 2) / whole if whole else 0.5)
-        for _ in range(2):  # the bins of the span, then those of one of its bins
+        while span:  # the bins of the span, then those of one of its bins, until that weighs little
             step = {i: max(1, -(-(b - a) // bins)) for i, (a, b) in span.items()}
             place = lambda f: F.element_at(F.create_map(*[F.lit(y) for i in span for y in (i, f(i))]), F.col("_node"))
-            if not span:
-                break
             key = F.element_at(F.create_map(*[y for i in span for y in (F.lit(i), F.col(open_[i].dimension))]), F.col("_node"))
             low, high, wide = place(lambda i: span[i][0]), place(lambda i: span[i][1]), place(lambda i: step[i])
             inside = at.where(F.col("_node").isin(list(span))).withColumn("_key", key).where((F.col("_key") >= low) & (F.col("_key") < high))
             found = inside.groupBy("_node", F.floor((F.col("_key") - low) / wide).cast("long").alias("bin")).agg(F.sum("weight").alias("w")).collect()
+            done = []
             for i in span:
                 (a, b), left = span[i], goal[i]
                 for bin_, w in sorted((r["bin"], r["w"]) for r in found if r["_node"] == i):
@@ -144,6 +143,10 @@ def grow(points: DataFrame, shards: int, bins: int = BINS, room: list[float] | N
                         break
                     left -= w
                 open_[i].cut = span[i][0] if 2 * goal[i] < last else span[i][1]  # the nearer end of the bin
+                if step[i] == 1 or last * open_[i].shards * 200 <= seen[i]["weight"]:
+                    done.append(i)
+            for i in done:
+                del span[i]
         todo = []
         for n in open_:
             half = n.shards // 2
