@@ -7,27 +7,30 @@ directly or through others, form a component.
 **Search.** Distances between whole 64-bit fingerprints crowd around 32, so the triangle
 inequality on them prunes little. The bits are therefore cut into ``max_distance // 2 + 1``
 bands. A pair within ``max_distance`` is within ``max_distance // bands`` (1 for a distance of 4)
-in at least one band, and the Hamming distance on a band is a metric of its own. One
-vantage-point tree is built for each band from a bounded sample of fingerprints; the tree says
+in at least one band, and the Hamming distance on a band, its key, is a metric of its own. One
+vantage-point tree is built for each key from a bounded sample of fingerprints; the tree says
 only where fingerprints are cut apart, so the sample bears on balance, never on results. At a
 node with vantage point v and radius m, fingerprints with d(x, v) <= m go inside, and those with
-d(x, v) > m - t outside (t: the band's radius). By the triangle inequality two fingerprints
+d(x, v) > m - t outside (t: the key's radius). By the triangle inequality two fingerprints
 within t of each other never take only different branches: at least one shard gets both. The
 overlap, d in (m - t, m], is what is held twice.
 
+**Shards.** Each leaf is one shard. A shard grows the tree on with its own fingerprints, down to leaves of ``LEAF``,
+so what it compares does not follow its size squared; there, all pairs within the radius on the key are
+compared on all bits. For links it returns a spanning forest, at most one link a member, so groups of copies never
+become all pairs. Copies were already merged: shards hold distinct fingerprints.
+
 **Similarity.** ``deduplicated`` asks for a word-shingle similarity s (0.8 at five words by default). Two
 sets of that similarity have the cosine c = 2s / (1 + s), and a SimHash bit differs between them with
 chance acos(c) / pi, 0.15 at 0.8. On 64 bits that is 10 bits give or take 3, so it takes a wider fingerprint of
-``WORDS`` words of 64 bits, from as many mixes of the hash of each shingle of the set. Each word has three bands with trees of
-radius 1. Fingerprints give only candidates, up to three deviations beyond the mean; a link counts
-if the sets themselves are that similar (``confirmed``). Where the check refuses a candidate, the point's further ones are
-checked, until none is left, so no candidate that is truly alike is lost. Not every pair is
+``WORDS`` words of 64 bits, from as many mixes of the hash of each shingle of the set. Each word has three trees on a band of
+21 or 22 bits with radius 1. Fingerprints give only candidates, up to three deviations beyond the mean, of sets whose sizes
+allow the similarity, and of these a spanning forest again: its components are clusters, outside of which no pair is a candidate.
+Within each cluster the sets themselves are compared, all pairs by numbers of common hashes in one matrix, and a link counts
+if the sets are that similar (``confirmed``); no pair is ever a row. A cluster of over ``BLOCK`` hashes is dealt
+in blocks, and each two blocks meet in a group of their own, so no group grows with the cluster. Not every pair is
 within 1 bit in some band: what the bands miss is the recall that the tests measure.
 
-**Shards.** Each leaf is one shard, and each shard compares its fingerprints exactly on all
-bits (of wide ones, those within its tree's radius on the band, so that the sample never bears on results) and returns only a spanning forest, at most one link a member, so groups of copies never
-become all pairs. Copies were already merged: shards hold distinct fingerprints.
-
 **Components** of the links come from alternating large-star and small-star steps, each written
 to the shared folder.
 
@@ -41,6 +44,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_right
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -50,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import column, hash_sample, materialise, text_column
+from agrolith.llm.common import column, hash_sample, materialise, sendable, spread, text_column
 
 BITS = 64
 SHINGLE = 4
@@ -59,8 +63,12 @@ MAX_DISTANCE = 4
 WORDS = 6
 #: Fingerprints that the trees are built from, at most. They go to the driver: 8 bytes a word each.
 SAMPLE = 131_072
-#: Fingerprints aimed at in a shard.
+#: Fingerprints aimed at in a shard, and in a leaf of the tree that a shard grows itself.
 SHARD = 4096
+LEAF = 256
+#: Hashes of shingles in a block of a cluster; a set counts as ``LEAST`` of them at least, so blocks have 2048 sets at most.
+BLOCK = 1 << 20
+LEAST = 512
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -132,33 +140,75 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> Dat
 
 
 def shingled(docs: DataFrame, shingle: int, words: int) -> DataFrame:
-    """``doc_id``, the fingerprint of the set of shingles, ``set`` (the set's hash) and ``grams``, its members' hashes."""
+    """``doc_id``, the fingerprint of the set of shingles, ``set`` (the set's hash) and ``size``, how many it has."""
     names = columns(words)
 
     def run(batches):
         for b in batches:
             sets = [np.unique(shingles(t, shingle)) for t in text_column(b)]
             fp = np.array([majority(s, words) for s in sets], np.uint64).reshape(-1, words).view(np.int64)
-            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64)
-            grams = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), *(pa.array(fp[:, w]) for w in range(words)), pa.array(keys), grams], names=["doc_id", *names, "set", "grams"])
+            size = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").cast(pa.int64()), *(pa.array(fp[:, w]) for w in range(words)), _keys(sets), pa.array(size)], names=["doc_id", *names, "set", "size"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", *names, "set", "size"]))
+
+
+def grams(docs: DataFrame, shingle: int) -> DataFrame:
+    """``set`` and ``grams``, the hashes of its shingles, of each row."""
+
+    def run(batches):
+        for b in batches:
+            sets = [np.unique(shingles(t, shingle)) for t in text_column(b)]
+            yield pa.RecordBatch.from_arrays([_keys(sets), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set", "grams"])
+
+    return docs.select("text").mapInArrow(run, "set long, grams array<long>")
+
 
-    longs = ", ".join(f"{c} long" for c in ["doc_id", *names, "set"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"{longs}, grams array<long>")
+def _keys(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64))
 
 
-def bands(max_distance: int) -> list[tuple[int, int]]:
-    """The mask of each band of bits, and the radius that a linked pair keeps in one of them."""
+def bands(max_distance: int) -> list[int]:
+    """The mask of each of ``max_distance // 2 + 1`` bands of bits."""
     n = max_distance // 2 + 1
     cuts = [round(i * BITS / n) for i in range(n + 1)]
-    return [(((1 << (b - a)) - 1) << a, max_distance // n) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def bands_of(words: int, max_distance: int) -> list[tuple[int, int, int]]:
+def keys_of(words: int, max_distance: int) -> list[tuple[int, int, int]]:
     """Word, mask and radius of each tree: for one word so that no pair is missed, else three bands a word of radius 1."""
-    if words == 1:
-        return [(0, mask, radius) for mask, radius in bands(max_distance)]
-    return [(w, mask, 1) for w in range(words) for mask, _ in bands(5)]
+    if words > 1:
+        return [(w, mask, 1) for w in range(words) for mask in bands(5)]
+    masks = bands(max_distance)
+    return [(0, mask, max_distance // len(masks)) for mask in masks]
+
+
+def cut(own: np.ndarray, radius: int, rng) -> tuple | None:
+    """Of a few vantage points and all radii, what leaves the least to compare; None if nothing parts the points."""
+    best, n = (0.9 * len(own) ** 2, None), len(own)
+    for v in own[rng.integers(0, n, 6)]:
+        count = np.bincount(np.bitwise_count(own ^ v), minlength=BITS + 1)
+        inside = np.cumsum(count)
+        outside = n - np.concatenate([np.zeros(radius, np.int64), inside])[: BITS + 1]
+        cost = inside.astype(float) ** 2 + outside.astype(float) ** 2
+        m = int(cost.argmin())
+        if cost[m] < best[0]:
+            best = (cost[m], (v, m))
+    return best[1]
+
+
+def leaves(points: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[np.ndarray]:
+    """Positions of the points in each leaf of a tree grown over all of them: any two within ``radius`` share one."""
+    rng, todo = np.random.default_rng(42), [np.arange(len(points))]
+    while todo:
+        at = todo.pop()
+        own = points[at]
+        split = cut(own, radius, rng) if len(at) > leaf else None
+        if split is None:
+            yield at
+            continue
+        d = np.bitwise_count(own ^ split[0]).astype(np.int64)
+        todo += [at[d <= split[1]], at[d > split[1] - radius]]
 
 
 class Tree:
@@ -171,14 +221,15 @@ class Tree:
         todo = [(points & self.mask, self._node())]
         while todo:
             own, at = todo.pop()
-            split = self._split(own, rng) if len(own) > leaf else None
+            split = cut(own, radius, rng) if len(own) > leaf else None
             if split is None:
                 self.shard[at] = first_shard + self.shards
                 self.shards += 1
                 continue
-            v, m, inside, outside = split
+            v, m = split
+            d = np.bitwise_count(own ^ v).astype(np.int64)
             self.point[at], self.cut[at], self.inner[at], self.outer[at] = v, m, self._node(), self._node()
-            todo += [(inside, self.inner[at]), (outside, self.outer[at])]
+            todo += [(own[d <= m], self.inner[at]), (own[d > m - radius], self.outer[at])]
         self.point = np.array(self.point, np.uint64)
         self.cut, self.inner, self.outer, self.shard = (np.array(x, np.int64) for x in (self.cut, self.inner, self.outer, self.shard))
 
@@ -187,23 +238,6 @@ class Tree:
             x.append(v)
         return len(self.shard) - 1
 
-    def _split(self, own: np.ndarray, rng) -> tuple | None:
-        """Of a few vantage points and all radii, what leaves the least to compare; None if nothing parts them."""
-        best, n = (0.9 * len(own) ** 2, None), len(own)
-        for v in own[rng.integers(0, n, 6)]:
-            count = np.bincount(np.bitwise_count(own ^ v), minlength=BITS + 1)
-            inside = np.cumsum(count)
-            outside = n - np.concatenate([np.zeros(self.radius, np.int64), inside])[: BITS + 1]
-            cost = inside.astype(float) ** 2 + outside.astype(float) ** 2
-            m = int(cost.argmin())
-            if cost[m] < best[0]:
-                best = (cost[m], (v, m))
-        if best[1] is None:
-            return None
-        v, m = best[1]
-        d = np.bitwise_count(own ^ v).astype(np.int64)
-        return v, m, own[d <= m], own[d > m - self.radius]
-
     def visits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All (position in ``points``, shard) that the points belong to."""
         own = points & self.mask
@@ -218,30 +252,71 @@ class Tree:
         return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def forest(points: np.ndarray, max_distance: int, key: np.ndarray | None = None, radius: int = 0) -> np.ndarray:
-    """For each point the first position of its component, all pairs compared in blocks.
+def forest(points: np.ndarray, max_distance: int, key: np.ndarray, radius: int, size: np.ndarray | None = None, similarity: float = 0.0, leaf: int = LEAF) -> np.ndarray:
+    """For each point the first position of its component, by the links of pairs within ``radius`` on ``key``.
 
-    ``points``: a row of words each. With ``key``, only pairs within ``radius`` on it are compared in full.
-    A tile of 512 x 4096 pairs is held at once, and links found are merged at once: what is
-    joined already is not compared again.
+    ``points``: a row of words each. With ``size``, only pairs whose sizes allow the similarity link. Pairs are
+    compared leaf by leaf, in tiles of 512 x 4096; links found are merged at once: what is joined is not compared again.
     """
     root = np.arange(len(points))
-    key, radius = (points[:, 0], max_distance) if key is None else (key, radius)
-    whole = points.shape[1] == 1 and radius == max_distance
-    for a in range(0, len(points), 512):
-        left = key[a : a + 512, None]
-        for b in range(a, len(points), 4096):
-            i, j = np.nonzero(np.bitwise_count(left ^ key[None, b : b + 4096]) <= radius)
-            i, j = i + a, j + b
-            if whole:
-                _merge(root, i, j)
-                continue
-            for at in range(0, len(i), 65536):
-                x, y = i[at : at + 65536], j[at : at + 65536]
-                apart = root[x] != root[y]
-                x, y = x[apart], y[apart]
-                near = np.bitwise_count(points[x] ^ points[y]).sum(1, dtype=np.int64) <= max_distance
-                _merge(root, x[near], y[near])
+    for at in leaves(key, radius, leaf):
+        own, keys = points[at], key[at]
+        for a in range(0, len(at), 512):
+            for b in range(a, len(at), 4096):
+                i, j = np.nonzero(np.bitwise_count(keys[a : a + 512, None] ^ keys[None, b : b + 4096]) <= radius)
+                i, j = i + a, j + b
+                for k in range(0, len(i), 65536):
+                    x, y = i[k : k + 65536], j[k : k + 65536]
+                    apart = root[at[x]] != root[at[y]]
+                    x, y = x[apart], y[apart]
+                    near = np.bitwise_count(own[x] ^ own[y]).sum(1, dtype=np.int64) <= max_distance
+                    x, y = at[x[near]], at[y[near]]
+                    if size is not None:
+                        fits = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])
+                        x, y = x[fits], y[fits]
+                    _merge(root, x, y)
+    return root
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members any two of the sets share.
+
+    Members of few sets are counted pair by pair, those of many by a product of matrices.
+    """
+    n = len(sets)
+    flat, row = np.concatenate(sets), np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    often = np.diff(np.append(starts, len(flat)))
+    column_of, many = np.repeat(np.arange(len(starts)), often), np.repeat(often > 32, often)
+    out = np.zeros((n, n), np.float32)
+    few, where = row[~many], column_of[~many]
+    for step in range(1, 32):
+        same = np.flatnonzero(where[step:] == where[:-step])
+        if not len(same):
+            break
+        np.add.at(out, (few[same], few[same + step]), 1)  # rows rise within a member, as the order is stable
+    out += out.T
+    place = np.cumsum(often > 32) - 1
+    place, row = place[column_of[many]], row[many]
+    for a in range(0, int(place[-1]) + 1 if len(place) else 0, 2048):
+        x, y = np.searchsorted(place, (a, a + 2048))
+        part = np.zeros((n, 2048), np.float32)
+        part[row[x:y], place[x:y] - a] = 1
+        out += part @ part.T
+    return out
+
+
+def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each set the first position of its component, by the links of all pairs of that exact similarity."""
+    root, size, both = np.arange(len(sets)), np.array([len(x) for x in sets], float), common(sets)
+    for a in range(0, len(sets), 512):
+        i, j = np.nonzero(both[a : a + 512] >= similarity / (1 + similarity) * (size[a : a + 512, None] + size[None]) - 0.5)
+        i = i + a
+        shared, total = both[i, j].astype(float), size[i] + size[j]
+        sure = (i < j) & ((total == 0) | (shared / np.maximum(total - shared, 1) >= similarity))
+        _merge(root, i[sure], j[sure])
     return root
 
 
@@ -259,7 +334,7 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 
 def _grown(points: DataFrame, names: list[str], plan: list[tuple[int, int, int]], sample: int, shard: int) -> tuple[list[Tree], list[int]]:
-    """The tree of each band, and the first shard number of each."""
+    """The tree of each key, and the first shard number of each."""
     n = points.count()
     known = _words(hash_sample(points, names, n, sample).toArrow(), names)
     leaf, trees, shards = max(8, int(shard * len(known) / max(n, 1))), [], [0]
@@ -284,105 +359,60 @@ def _dealt(points: DataFrame, names: list[str], plan: list[tuple[int, int, int]]
     return points.select(*carried, *names).mapInArrow(deal, ", ".join(f"{c} long" for c in ["shard", *carried, *names]))
 
 
-def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
+def links(points: DataFrame, max_distance: int = MAX_DISTANCE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1, similarity: float = 0.0, leaf: int = LEAF) -> DataFrame:
     """``a > b``: links that join fingerprints within ``max_distance`` bits, directly or through others.
 
-    ``points``: ``id`` and ``columns(words)``, each fingerprint once. At most one link a fingerprint and shard.
+    ``points``: ``id`` and ``columns(words)``, each fingerprint once; with a similarity also ``size``, and sizes
+    must allow it. At most one link a fingerprint and shard.
     """
-    names, plan = columns(words), bands_of(words, max_distance)
+    names, plan, carried = columns(words), keys_of(words, max_distance), ["id", "size"] if similarity else ["id"]
     trees, shards = _grown(points, names, plan, sample, shard)
 
     def compare(group: pa.Table) -> pa.Table:
         ids, fps = np.asarray(group["id"]), _words(group, names)
         order = np.argsort(ids)
         ids, fps = ids[order], fps[order]
+        size = np.asarray(group["size"])[order] if similarity else None
         word, mask, radius = plan[bisect_right(shards, group["shard"][0].as_py()) - 1]
-        root = forest(fps, max_distance) if words == 1 else forest(fps, max_distance, fps[:, word] & np.uint64(mask), radius)
+        root = forest(fps, max_distance, fps[:, word] & np.uint64(mask), radius, size, similarity, leaf)
         linked = root != np.arange(len(root))
         return pa.table({"a": ids[linked], "b": ids[root[linked]]})
 
-    return _dealt(points, names, plan, trees, ["id"]).groupBy("shard").applyInArrow(compare, "a long, b long")
+    return _dealt(points, names, plan, trees, carried).groupBy("shard").applyInArrow(compare, "a long, b long")
 
 
-def nearest(points: np.ndarray, key: np.ndarray, radius: int, max_distance: int, root: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Direct candidate pairs of different ``root``: of each point those with the ``most`` nearest points before it.
+def confirmed(docs: DataFrame, points: DataFrame, similarity: float, shingle: int, words: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """``id`` and ``root`` of components whose every link is between sets of that exact similarity.
 
-    Returns both positions of each pair, which points have any candidate, and which have more before them than were returned.
-    """
-    n = len(points)
-    met, more, left, right = np.zeros(n, bool), np.zeros(n, bool), [], []
-    for a in range(0, n, 512):
-        seen, held = np.zeros(512, np.int64), np.zeros(0, np.int64)  # held: row, bits and how far before it, in one number
-        for b in range(0, min(n, a + 512), 4096):
-            i, j = np.nonzero(np.bitwise_count(key[a : a + 512, None] ^ key[None, b : min(b + 4096, a + 512)]) <= radius)
-            open_ = (j + b < i + a) & (root[i + a] != root[j + b])
-            i, j = i[open_], j[open_] + b
-            for at in range(0, len(i), 262144):
-                x, y = i[at : at + 262144], j[at : at + 262144]
-                bits = np.bitwise_count(points[x + a] ^ points[y]).sum(1, dtype=np.int64)
-                near = bits <= max_distance
-                x, y, bits = x[near], y[near], bits[near]
-                met[x + a] = met[y] = True
-                seen += np.bincount(x, minlength=512)
-                held = np.sort(np.concatenate([held, x << 50 | bits << 36 | (x + a - y)]))
-                row = held >> 50
-                held = held[np.arange(len(held)) - np.searchsorted(row, row) < most]
-        x = (held >> 50) + a
-        left.append(x)
-        right.append(x - (held & (1 << 36) - 1))
-        more[a : a + 512] = (seen > most)[: n - a]
-    return np.concatenate(left), np.concatenate(right), met, more
-
-
-def candidates(points: DataFrame, max_distance: int, most: int, sample: int = SAMPLE, shard: int = SHARD, words: int = WORDS) -> DataFrame:
-    """``x, y, a, b, more``: sets and ids of pairs that may be alike; without ``y``, a point that has candidates.
-
-    ``points``: ``set, id, root`` and ``columns(words)``; pairs of one root are passed over. ``more``: ``x`` has further ones.
+    ``points``: ``set, id, size`` and ``columns(words)``. The sets of shingles are made again for texts with candidates alone.
     """
-    names, plan, carried = columns(words), bands_of(words, max_distance), ["set", "id", "root"]
-    trees, shards = _grown(points, names, plan, sample, shard)
+    cluster = components(links(points, distance_for(similarity, words), words=words, similarity=similarity))
+    cluster = cluster.unionAll(cluster.select("root", "root").distinct())
+    asked = materialise(points.join(cluster, "id").select("set", "id", F.col("root").alias("cluster"), "size"), "asked")
+    weight = asked.groupBy("cluster").agg(F.sum(F.greatest("size", F.lit(LEAST))).alias("_w"))
+    blocks = F.ceil(F.col("_w") / block).cast("int").alias("_blocks")
+    members = spread(asked, weight, ["cluster"]).select("set", "id", "cluster", blocks)
+    rows = docs.join(sendable(asked.select(F.col("id").alias("_id")), asked.count()), F.col("doc_id") == F.col("_id"), "left_semi")
+    own = grams(rows, shingle).groupBy("set").agg(F.first("grams").alias("grams"))
+    here = F.pmod(F.xxhash64("set"), F.col("_blocks")).cast("int")
+    there = F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda x: (x != F.col("_here")) | (F.col("_blocks") == 1))
+    dealt = members.join(own, "set").withColumn("_here", here).withColumn("_there", F.explode(there))
+    dealt = dealt.select("cluster", F.least("_here", "_there").alias("i"), F.greatest("_here", "_there").alias("j"), "id", "grams")
 
     def compare(group: pa.Table) -> pa.Table:
-        keys, ids, root = (np.asarray(group[c]) for c in carried)
-        order = np.argsort(keys)
-        keys, ids, root, fps = keys[order], ids[order], root[order], _words(group, names)[order]
-        word, mask, radius = plan[bisect_right(shards, group["shard"][0].as_py()) - 1]
-        i, j, met, more = nearest(fps, fps[:, word] & np.uint64(mask), radius, max_distance, root, most)
-        none = pa.nulls(int(met.sum()), pa.int64())
-        cols = (keys[i], keys[met]), (keys[j], none), (ids[i], ids[met]), (ids[j], none), (more[i], more[met])
-        return pa.table({c: pa.concat_arrays([pa.array(u), pa.array(v)]) for c, (u, v) in zip(("x", "y", "a", "b", "more"), cols, strict=True)})
-
-    return _dealt(points, names, plan, trees, carried).groupBy("shard").applyInArrow(compare, "x long, y long, a long, b long, more boolean")
-
-
-def confirmed(points: DataFrame, grams: DataFrame, similarity: float, words: int = WORDS, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
-    """``id`` and ``root`` of components whose every link is between sets of that exact similarity.
+        ids = np.asarray(group["id"])
+        order = np.argsort(ids)
+        ids, grams_ = ids[order], group["grams"].combine_chunks().take(pa.array(order))
+        ends, flat = np.asarray(grams_.offsets), np.asarray(grams_.values)
+        root = alike([flat[a:b] for a, b in zip(ends, ends[1:], strict=False)], similarity)
+        linked = root != np.arange(len(root))
+        return pa.table({"a": ids[linked], "b": ids[root[linked]]})
 
-    ``grams``: ``set`` and its shingles' hashes. Each round checks of each point the nearest candidates that are not yet
-    joined with it, eight times as many as the round before, until no point has unchecked ones: where the check
-    refuses a link, further ones follow, and large groups of true copies are joined by the first link of each.
-    """
-    distance, most, active, found = distance_for(similarity, words), 1, points.withColumn("root", F.col("id")), None
-    while True:
-        near = materialise(candidates(active, distance, most, sample, shard, words), "candidates")
-        pairs = near.where("y is not null").select("x", "y", "a", "b").distinct()
-        asked = near.select(F.explode(F.array("x", "y")).alias("set")).where("set is not null").distinct()
-        own = materialise(grams.join(asked, "set", "left_semi").groupBy("set").agg(F.first("grams").alias("grams")), "grams")
-        both = pairs.join(own.toDF("x", "_x"), "x").join(own.toDF("y", "_y"), "y")
-        common, total = F.size(F.array_intersect("_x", "_y")), F.size("_x") + F.size("_y")
-        alike = both.where((total == 0) | (common / (total - common) >= similarity))
-        new = alike.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-        found = materialise(new if found is None else found.unionByName(new), "links")
-        root = components(found)
-        if near.where("more").isEmpty():
-            return root
-        met = near.select(F.col("x").alias("set")).distinct()
-        active = points.join(met, "set", "left_semi").join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        active, most = materialise(active, "active"), 8 * most
+    return components(dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``id`` and ``root``, the least id of its component, for each id that has a link.
+    """``id`` and ``root``, the least id of its component, for each id that is not the least itself.
 
     ``edges``: ``a > b``. Alternating large-star and small-star steps, until nothing changes.
     """
@@ -392,10 +422,10 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = spread(now.select(F.col("b").alias("u"), "a"), least, ["u"]).select("a", F.col("m").alias("b"))
         large = materialise(large.unionAll(least.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "large")
         least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
-        rest = large.join(least, F.col("a") == F.col("u")).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        rest = spread(large.select(F.col("a").alias("u"), "b"), least, ["u"]).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialise(rest.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "small")
         before, state = state, mark(now)
         if before == state:
@@ -403,17 +433,19 @@ def components(edges: DataFrame) -> DataFrame:
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE, sample: int = SAMPLE, shard: int = SHARD, words: int = 1) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits a word), ``component_id`` (the least doc_id reachable)."""
-    names = columns(words)
-    prints = materialise(fingerprints(docs, shingle, words), "fingerprints")
-    points = materialise(prints.where("doc_id is not null").groupBy(*names).agg(F.min("doc_id").alias("id")), "points")
-    root = components(links(points, max_distance, sample, shard, words))
-    named = points.join(root, "id", "left").select(*names, F.coalesce("root", "id").alias("component_id"))
-    named = materialise(named, "roots")
+def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (the least doc_id reachable)."""
+    prints = materialise(fingerprints(docs, shingle), "fingerprints")
+    points = materialise(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "points")
+    return _named(prints, points, components(links(points, max_distance, sample, shard)), ["fp"], ["fp"])
+
+
+def _named(prints: DataFrame, points: DataFrame, root: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Each row of ``prints`` with its component's least id."""
+    named = materialise(points.join(root, "id", "left").select(*keys, F.coalesce("root", "id").alias("component_id")), "roots")
     component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     shown = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint")
-    return prints.join(named, names, "left").select("doc_id", shown, component)
+    return spread(prints, named, keys, "left").select("doc_id", shown, component)
 
 
 def distance_for(similarity: float, words: int = WORDS) -> int:
@@ -426,13 +458,9 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: i
     """Columns of ``near_duplicates``: components of texts whose sets of shingles are that similar, each link checked exactly."""
     names = columns(words)
     prints = materialise(shingled(docs, shingle, words), "shingled")
-    points = prints.where("doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in names])
+    points = prints.where("doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), *[F.first(c).alias(c) for c in names])
     points = materialise(points, "points")
-    root = confirmed(points, prints.select("set", "grams"), similarity, words)
-    named = materialise(points.join(root, "id", "left").select("set", F.coalesce("root", "id").alias("component_id")), "roots")
-    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    shown = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names]).alias("fingerprint")
-    return prints.drop("grams").join(named, "set", "left").select("doc_id", shown, component)
+    return _named(prints, points, confirmed(docs, points, similarity, shingle, words), ["set"], names)
 
 
 def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:
@@ -440,9 +468,12 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, wor
 
     Rows with a null ``doc_id`` stay. Of rows that repeat the kept id, one stays, the first by the hash of its text.
     """
-    found = similar(docs, similarity, shingle, words)
-    gone = found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left").where("_gone is null").drop("_gone")
+    found = materialise(similar(docs, similarity, shingle, words).select("doc_id", "component_id"), "components")
+    gone = materialise(found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(sendable(gone, gone.count()), F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
+    if again.isEmpty():  # ids are unique: no row needs to meet another
+        return kept
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     first = W.partitionBy("doc_id", "_alone").orderBy(F.xxhash64("text"))
     return kept.withColumn("_alone", alone).withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)

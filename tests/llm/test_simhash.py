@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from agrolith.llm import simhash as S
 
@@ -61,7 +62,7 @@ def test_planted_fingerprints(spark, shard):
     fps += [fps[0] ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)]
     fps = list(dict.fromkeys(fps))
     rows = [(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)]
-    edges = S.links(spark.createDataFrame(rows, "id long, fp long"), shard=shard)
+    edges = S.links(spark.createDataFrame(rows, "id long, fp long"), shard=shard, leaf=shard // 2)
     root = {r.id: r.root for r in S.components(edges).collect()}
     assert {i: root.get(i, i) for i in range(len(fps))} == closure(list(range(len(fps))), fps)
 
@@ -69,7 +70,7 @@ def test_planted_fingerprints(spark, shard):
 def test_triangle_bounds_hold():
     rng = np.random.default_rng(1)
     points = rng.integers(0, 1 << 63, 3000, np.uint64)
-    for mask, radius in S.bands(4):
+    for _, mask, radius in S.keys_of(1, 4):
         tree = S.Tree(points, mask, radius, 20, 0)
         flips = np.uint64(1) << rng.integers(0, 64, 3000, np.uint64)
         at, shard = tree.visits(points)
@@ -105,20 +106,13 @@ def test_similar_texts_are_found(spark):
     assert all(root[a] in (a, a - a % 2) for a in root)  # nothing joins texts that are not alike
 
 
-def test_wide_forest_is_all_pairs_near_on_the_band():
+def test_lower_trees_part_no_pair():
     rng = np.random.default_rng(3)
-    points = np.repeat(rng.integers(0, 1 << 63, (40, 6), np.uint64), 5, axis=0)
-    points ^= np.uint64(1) << rng.integers(0, 60, points.shape, np.uint64)
-    key = points[:, 2] & np.uint64(S.bands(5)[1][0])
-    root = S.forest(points, 20, key, 1)
-    near = lambda i, j: (int(key[i]) ^ int(key[j])).bit_count() <= 1 and sum((int(a) ^ int(b)).bit_count() for a, b in zip(points[i], points[j], strict=True)) <= 20
-    want = list(range(len(points)))
-    for i in range(len(points)):
-        for j in range(i):
-            if near(i, j) and want[i] != want[j]:
-                a, b = sorted((want[i], want[j]))
-                want = [a if x == b else x for x in want]
-    assert root.tolist() == want
+    key = np.repeat(rng.integers(0, 1 << 21, 400, np.uint64), 3) ^ np.uint64(1) << rng.integers(0, 21, 1200, np.uint64)
+    together = np.zeros((len(key), len(key)), bool)
+    for at in S.leaves(key, 1, 16):
+        together[np.ix_(at, at)] = True
+    assert together[np.bitwise_count(key[:, None] ^ key[None]) <= 1].all() and not together.all()
 
 
 def test_odd_rows(odd):
@@ -166,17 +160,51 @@ def test_links_are_checked_exactly(spark):
     assert split <= 0.1 * sum(want[i] == want[j] for i in root for j in root if j < i)
 
 
-def test_nearest_is_all_pairs_of_other_roots():
-    rng = np.random.default_rng(5)
-    points = np.repeat(rng.integers(0, 1 << 63, (150, 2), np.uint64), 8, axis=0)
+def test_wide_forest_is_all_pairs_near_on_the_band():
+    rng = np.random.default_rng(3)
+    points = np.repeat(rng.integers(0, 1 << 63, (40, 6), np.uint64), 5, axis=0)
     points ^= np.uint64(1) << rng.integers(0, 60, points.shape, np.uint64)
-    key, root = points[:, 0] & np.uint64(0x1FFFFF), np.arange(len(points)) // 2
+    key, size = points[:, 2] & np.uint64(S.bands(5)[1]), rng.integers(80, 110, len(points))
+    root = S.forest(points, 20, key, 1, size, 0.8, leaf=16)
     bits = np.bitwise_count(points[:, None] ^ points[None]).sum(2, dtype=np.int64)
-    near = (np.bitwise_count(key[:, None] ^ key[None]) <= 1) & (bits <= 4) & (root[:, None] != root[None])
-    below = near & np.tri(len(points), k=-1, dtype=bool)
-    for most in (1, 3, 10):
-        i, j, met, more = S.nearest(points, key, 1, 4, root, most)
-        assert met.tolist() == near.any(1).tolist() and more.tolist() == (below.sum(1) > most).tolist()
-        assert below[i, j].all() and np.bincount(i, minlength=len(points)).tolist() == np.minimum(below.sum(1), most).tolist()
-        for r in set(i.tolist()):
-            assert sorted(bits[r, j[i == r]]) == sorted(bits[r, below[r]])[:most]
+    near = (np.bitwise_count(key[:, None] ^ key[None]) <= 1) & (bits <= 20) & (np.minimum(size[:, None], size[None]) >= 0.8 * np.maximum(size[:, None], size[None]))
+    want = list(range(len(points)))
+    for i, j in zip(*np.nonzero(near), strict=True):
+        if want[i] != want[j]:
+            a, b = sorted((want[i], want[j]))
+            want = [a if x == b else x for x in want]
+    assert root.tolist() == want
+
+
+def test_common_members_and_similarity():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 60 if i < 80 else 4000, rng.integers(0, 50))) for i in range(160)] + [np.zeros(0, np.int64)] * 2
+    both = S.common(sets)
+    assert all(both[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i))
+    for s in (0.3, 0.8, 1.0):
+        want = list(range(len(sets)))
+        for i in range(len(sets)):
+            for j in range(i):
+                n = len(np.intersect1d(sets[i], sets[j]))
+                if want[i] != want[j] and n >= s * (len(sets[i]) + len(sets[j]) - n) - 1e-12:
+                    a, b = sorted((want[i], want[j]))
+                    want = [a if x == b else x for x in want]
+        assert S.alike(sets, s).tolist() == want
+
+
+def test_hot_groups_and_repeated_ids(spark):
+    """Copies, near copies of one text and a repeated id that hold most rows: all joined, one row of each kept."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    near = []
+    for i in range(120):
+        own = list(base)
+        own[i] = "edited"
+        near.append(" ".join(own))
+    rows = [(i, "the same text of six words") for i in range(3000)] + [(5000 + i, t) for i, t in enumerate(near)] + [(9000, "a repeated identifier with words")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted(r.doc_id for r in S.deduplicated(docs).collect()) == [0, 5000, 9000]
+    assert {r.component_id for r in S.near_duplicates(docs).where("doc_id < 3000").collect()} == {0}
+    points = S.shingled(docs, 5, S.WORDS).groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), *[F.first(c).alias(c) for c in S.columns(S.WORDS)])
+    parts = {r.id: r.root for r in S.confirmed(docs, points, 0.8, 5, block=20_000).collect()}  # three blocks
+    assert set(parts.values()) == {5000} and len(parts) == 119
