@@ -30,7 +30,7 @@ from agrolith.llm.common import materialise, sendable
 
 PRIOR_1, PRIOR_2 = 1000.0, 20.0
 #: Bytes of text in a block, and bytes of text of the corpus for each bucket.
-BLOCK, BUCKET = 4 << 20, 16 << 20
+BLOCK, BUCKET = 4 << 20, 8 << 20
 _START = xxhash.xxh64_intdigest(b" ", 42)  # no word holds a blank
 _MEMORY = 500_000
 
@@ -133,19 +133,21 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     def run(group: pa.Table, found: pa.Table) -> pa.Table:
         found, coder = found.sort_by("bucket"), Coder(bits)
-        each = [coder.codes(t) for t in group["text"].to_pylist()]
-        code = np.unique(np.concatenate([x for both in each for x in both]))
+        each = [np.concatenate(coder.codes(t)) for t in group["text"].to_pylist()]
+        ends = np.cumsum([len(x) for x in each])
+        place = np.unique(np.concatenate(each), return_inverse=True)[1].astype(np.int32)  # in the order of the answers
+        sizes = [len(x) // 2 for x in each]
+        del each
         n, t = (_lists(found, c)[0] for c in "nt")
-        out = np.zeros((len(each), 2))
-        for i, ((own, pairs), good) in enumerate(zip(each, group["good"].to_pylist(), strict=True)):
-            if not len(pairs):
+        out = np.zeros((len(sizes), 2))
+        for i, (size, end, good) in enumerate(zip(sizes, ends, group["good"].to_pylist(), strict=True)):
+            if not size:
                 continue
-            (one, first, often), (two, second, pair_often) = (np.unique(x, return_inverse=True, return_counts=True) for x in (own, pairs))
-            at, pair_at = np.searchsorted(code, one), np.searchsorted(code, two)
+            one, back, often = np.unique(place[end - 2 * size - 1 : end], return_inverse=True, return_counts=True)
             for k, (counts, all_, left) in enumerate(((t, good_total, good), (n, total, True))):
-                c, p = counts[at] - left * often, counts[pair_at] - left * pair_often
-                out[i, k] = losses(c[first[1:]], p[second], c[first[:-1]], all_ - left * len(own), vocabulary).mean()
-        cols = [group["doc_id"].combine_chunks(), pa.array([len(p) for _, p in each], pa.int64()), pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 0] - out[:, 1])]
+                c = (counts[one] - left * often)[back]  # of the start and each word, then of each pair
+                out[i, k] = losses(c[1 : size + 1], c[size + 1 :], c[:size], all_ - left * (size + 1), vocabulary).mean()
+        cols = [group["doc_id"].combine_chunks(), pa.array(sizes, pa.int64()), pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 0] - out[:, 1])]
         return pa.table(cols, names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
 
     both = rows.groupBy("block").cogroup(answers.where("block is not null").groupBy("block"))
