@@ -7,9 +7,9 @@ import sys
 from datetime import datetime
 
 from agrolith import config
-from agrolith.operators import alerts, store
+from agrolith.operators import alerts, archive, store
 from agrolith.plans import flows
-from agrolith.session import local_session
+from agrolith.session import session
 from agrolith.sources import logger_files
 
 
@@ -27,13 +27,15 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--out", default="out")
     p.add_argument("--now", type=datetime.fromisoformat, default=None)
     a = p.parse_args(args)
-    spark, cfg, now = local_session(), config.load(a.config), a.now or datetime.now().replace(microsecond=0)
+    spark, cfg, now = session(), config.load(a.config), a.now or datetime.now().replace(microsecond=0)
     if a.flow == "build":
         told = flows.update_archive(spark, a.files, a.archive, store.load_registry(a.registry), cfg)
         told["summary"].show(truncate=False)
         told["problems"].show(truncate=False)
         return 0
-    master = spark.read.parquet(a.archive).withColumn("zone", spark.read.parquet(a.archive)["zone"].cast("string"))
+    master = archive.read(spark, a.archive)
+    if master is None:
+        p.error(f"no archive at {a.archive}")
     if a.flow == "monitor":
         found, state = flows.monitor(master, cfg, now)
         found = found.persist()

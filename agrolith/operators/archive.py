@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agrolith.operators.grid import interval_minutes, keep_first, on_grid, snapped
+from agrolith.operators.grid import interval_minutes, on_grid, snapped
 
 KEYS = ["zone", "ts", "channel"]
 
@@ -90,34 +90,57 @@ def build(spark: SparkSession, batches: list[DataFrame], master: DataFrame | Non
     return upsert(renamed_collisions(every), ["zone", "ts", "channel", "base_var", "rep"])
 
 
-def lost_serials(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Loggers of the old master that the new one lacks."""
-    each = lambda df: df.select(F.explode(F.split(F.col("serial").cast("string"), r"\+")).alias("serial")).distinct()
-    return each(before).join(each(after), "serial", "left_anti")
+SCHEMA = "ts timestamp_ntz, channel string, base_var string, rep int, serial string, value double, zone string"
 
 
-def replace_guarded(spark: SparkSession, master: DataFrame, path: str, staging: str) -> None:
-    """Write to ``staging`` and put it in the old master's place, unless a logger would vanish.
+def _paths(spark: SparkSession, *names: str):
+    found = [spark._jvm.org.apache.hadoop.fs.Path(n) for n in names]
+    return found[0].getFileSystem(spark._jsc.hadoopConfiguration()), found
+
 
-    The old table stays under ``<path>.before`` until the new one is in place.
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The master at ``path``, None where there is none; one that cannot be read raises.
+
+    Zones are texts, however they look. A replacement that was cut short is first brought to its end or undone.
     """
-    master.repartition("zone").sortWithinPartitions("zone", "channel", "ts").write.mode("overwrite").partitionBy("zone").parquet(staging)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staging, f"{path}.before"))
-    fs = here.getFileSystem(conf)
-    if fs.exists(here):
-        lost = [r.serial for r in lost_serials(spark.read.parquet(path), spark.read.parquet(staging)).limit(20).collect()]
-        if lost:
-            raise ValueError(f"refused: the new archive lacks loggers {lost}")
-        fs.delete(old, True)
-        fs.rename(here, old)
-    fs.rename(new, here)
-    fs.delete(old, True)
+    fs, (here, old) = _paths(spark, path, f"{path}.before")
+    if not fs.exists(here) and fs.exists(old):
+        _moved(fs, old, here)
+    return spark.read.schema(SCHEMA).parquet(path) if fs.exists(here) else None
+
+
+def _moved(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
 
 
-def first_by_load(readings: DataFrame, keys: list[str]) -> DataFrame:
-    return keep_first(readings, keys, ["load_ord"])
+def shrunk(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Loggers of the old master of which the new one has fewer readings, or a shorter period."""
 
+    def each(df: DataFrame, p: str) -> DataFrame:
+        own = df.select(F.explode(F.split(F.col("serial").cast("string"), r"\+")).alias("serial"), "zone", "channel", "ts", "value")
+        return own.groupBy("serial").agg(F.count("value").alias(f"{p}n"), F.min("ts").alias(f"{p}from"), F.max("ts").alias(f"{p}to"))
 
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+    both = each(before, "old_").join(each(after, "new_"), "serial", "left")
+    return both.where("new_n is null or new_n < old_n or new_from > old_from or new_to < old_to")
+
+
+def replace_guarded(spark: SparkSession, master: DataFrame, path: str, staging: str) -> None:
+    """Write to ``staging`` and put it in the old master's place, unless a logger would vanish or shrink.
+
+    Rows are dealt by ranges of zone and time, so a large zone is no single task. The old table stays under
+    ``<path>.before`` until the new one is in place; ``read`` takes it back if the move between was cut short.
+    """
+    before = read(spark, path)
+    cols = SCHEMA.split(", ")
+    typed = master.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in cols])
+    typed.repartitionByRange("zone", "ts").sortWithinPartitions("zone", "channel", "ts").write.mode("overwrite").partitionBy("zone").parquet(staging)
+    fs, (here, new, old) = _paths(spark, path, staging, f"{path}.before")
+    if before is not None:
+        lost = [r.serial for r in shrunk(before, spark.read.schema(SCHEMA).parquet(staging)).limit(20).collect()]
+        if lost:
+            raise ValueError(f"refused: the new archive lacks loggers or readings of them: {lost}")
+        fs.delete(old, True)
+        _moved(fs, here, old)
+    _moved(fs, new, here)
+    fs.delete(old, True)

@@ -37,10 +37,9 @@ def unknown(files: DataFrame, log: DataFrame) -> DataFrame:
 
 def save_uploads(spark: SparkSession, paths: list[str], log_path: str, now: datetime) -> DataFrame:
     """Log new contents; returns them. Copies of known contents are passed over."""
-    try:
-        log = spark.read.parquet(log_path)
-    except Exception:
-        log = spark.createDataFrame([], LOG)
+    at = spark._jvm.org.apache.hadoop.fs.Path(log_path)
+    known = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    log = spark.read.schema(LOG).parquet(log_path) if known else spark.createDataFrame([], LOG)
     new = unknown(first_of_each(uploads(spark, paths), "path"), log).drop("copies").withColumn("uploaded", F.lit(now).cast("timestamp_ntz"))
     new.select("fingerprint", "name", "bytes", "uploaded", "path").write.mode("append").parquet(log_path)
     return spark.read.parquet(log_path).where(F.col("uploaded") == F.lit(now).cast("timestamp_ntz"))

@@ -36,13 +36,10 @@ def update_archive(spark: SparkSession, paths: list[str], path: str, registry: d
     fresh, report, problems = ingest(spark, paths)
     names = store.registry_table(spark, registry).select("serial", "zone")
     seconds = round(interval_of(fresh, cfg, ["serial"]) * 60)
-    try:
-        master = spark.read.parquet(path)
-    except Exception:
-        master = None
+    master = archive.read(spark, path)
     new = archive.build(spark, [fresh.select("serial", "ts", "channel", "base_var", "rep", "value")], master, names, seconds)
     archive.replace_guarded(spark, new, path, f"{path}.staging")
-    kept = spark.read.parquet(path).withColumn("zone", F.col("zone").cast("string"))
+    kept = archive.read(spark, path)
     return {"summary": archive.summary(kept), "report": report, "problems": problems, "serials": archive.serials(kept, ["zone"])}
 
 
@@ -123,7 +120,7 @@ def weekly(spark: SparkSession, paths: list[str], root: str, cfg: dict, registry
     """New uploads into the archive, alerts of the whole archive, and a stored run of the preprocessed tables."""
     new = [r.path for r in store.save_uploads(spark, paths, f"{root}/uploads", now).select("path").collect()]  # names of new files
     told = update_archive(spark, new, f"{root}/archive", registry, cfg) if new else {}
-    master = spark.read.parquet(f"{root}/archive").withColumn("zone", F.col("zone").cast("string"))
+    master = archive.read(spark, f"{root}/archive")
     found, state = monitor(master, cfg, now)
     tables = preprocess(master, cfg, surveys=surveys)
     run = store.save_result({"alerts": found, "health": state, **tables}, f"{root}/results", "weekly", now)

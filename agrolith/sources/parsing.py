@@ -17,7 +17,8 @@ from agrolith.functions.expressions import ERROR_TOKENS, MISSING_TOKENS, NUMBER,
 
 ENCODINGS = ("utf-8-sig", "cp949", "euc-kr", "utf-16", "latin1")
 # Words that name a time column.
-TIME_NAMES = ("timestamp", "datetime", "date time", "date", "time", "일시", "날짜", "시각", "시간", "측정시간")
+TIME_NAMES = ("timestamp", "datetime", "date time", "date_time", "date", "time", "일시", "날짜", "시각", "시간", "측정시간", "수집시간")
+# How dates and times are written in exports.
 _DATE = re.compile(r"\d{4}[-/.]\s?\d{1,2}[-/.]\s?\d{1,2}|\d{1,2}[-/.]\s?\d{1,2}[-/.]\s?\d{2,4}|\d{1,4}년\s?\d{1,2}월\s?\d{1,2}일")
 _TIME = re.compile(r"\d{1,2}:\d{2}|\d{1,2}시\s?\d{1,2}분")
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agrolith import config
-from agrolith.operators import alerts
+from agrolith.operators import alerts, archive
 from agrolith.plans import flows
 
 
@@ -74,3 +74,26 @@ def test_treatments(spark, week):
     out = flows.preprocess(spark.read.parquet(path).where("zone = 'L-2002'"), cfg, growth.withColumn("zone", F.lit("L-2002")), sensor_map=m)
     got = {r.trt: (r.temp_mean is not None, r.dli_sum is not None, r.rh_mean is not None) for r in out["matched"].collect()}
     assert got == {"t1": (True, False, True), "t2": (False, True, True), "t3": (False, False, False)}
+
+
+def test_the_archive_loses_nothing(spark, tmp_path):
+    """Zones that look like numbers, a move cut short, a master that cannot be read, and fewer readings of a logger."""
+    path = f"{tmp_path}/archive"
+    rows = [(datetime(2026, 4, d), "temp", "temp", 0, "L-1", float(d), z) for d in range(1, 6) for z in ("007", "1e3")]
+    master = spark.createDataFrame(rows, archive.SCHEMA)
+    assert archive.read(spark, path) is None
+    archive.replace_guarded(spark, master, path, f"{path}.staging")
+    assert {r.zone for r in archive.read(spark, path).collect()} == {"007", "1e3"}
+
+    (tmp_path / "archive").rename(tmp_path / "archive.before")
+    assert archive.read(spark, path).count() == 10 and not (tmp_path / "archive.before").exists()
+
+    for less in (master.where("ts < '2026-04-05'"), master.where("zone = '007'"), master.where("false")):
+        with pytest.raises(ValueError):
+            archive.replace_guarded(spark, less, path, f"{path}.staging")
+        assert archive.read(spark, path).count() == 10
+    for f in (tmp_path / "archive").rglob("*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception):  # noqa: B017
+        flows.update_archive(spark, [f"{tmp_path}/none.csv"], path, REGISTRY)
+    assert (tmp_path / "archive").exists()
