@@ -36,7 +36,7 @@ ALL = _FULL[: _FULL.rindex(" union all select")] + f" union all {_OFF} union all
 
 DAILY = """env as (select l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean, max(l_quantity) as temp_max, min(l_quantity) as temp_min, least(count(*) / 2.0, 1.0) as completeness, count(*) >= 2 as is_complete from lineitem group by 1)"""
 DAILY_T = """env as (select l_returnflag as trt, l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean from lineitem group by 1, 2)"""
-SURVEYS = "sv as (select distinct o_orderdate::date as d from orders where o_orderkey % 50 = 0)"
+SURVEYS = "sv as (select distinct o_orderdate::date as d from orders)"
 FIXED = f"{SURVEYS}, iv as (select row_number() over (order by d) as interval_id, d as growth_date, d - 13 as a, d as b, 14::bigint as days_expected from sv)"
 AGG = f"""{DAILY}, {FIXED}, ag as (select interval_id, growth_date, days_expected, count(date) as days_used, round_even(count(date) / days_expected, 3) as day_coverage, round_even(avg(completeness), 3) as record_completeness,
     sum(case when not is_complete then 1 else 0 end) filter (date is not null) as n_incomplete_days, case when count(date) > 0 then coalesce(sum(dli), 0.0) end as dli_sum, avg(dli) as dli_mean, avg(temp_mean) as temp_mean, max(temp_max) as temp_max, min(temp_min) as temp_min, avg(temp_max) as temp_max_mean
