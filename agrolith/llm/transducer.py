@@ -1,18 +1,24 @@
 """Encoding and decoding with a SentencePiece model as a weighted transducer (operator 8).
 
-Three transducers are compiled from the model file: the normaliser (blanks to their mark, with one before
-the text), the pieces (a trie whose arcs read characters and write ids) and the byte fallback (a
-character in no piece writes its UTF-8 bytes' pieces). They are composed with each input
+Three transducers are compiled from the model file: the normaliser (rules of its character map, the longest first,
+blanks to their mark, with one before the text, and runs of blanks to one where the model says so), the pieces (a
+trie whose arcs read characters and write ids) and the byte fallback (a character in no piece writes its UTF-8
+bytes' pieces, or is unknown; a run of unknown characters is one id). They are composed with each input
 lazily, and the shortest path in the tropical semiring (min, +) gives the ids.
 
-Weights: in a unigram model an arc weighs minus its piece's score. In a BPE model merges decide, not sums;
+User-defined pieces pass the normaliser as they are. In a BPE model they part the text, in a unigram model
+they are arcs of their own weight.
+
+Weights: in a unigram model an arc weighs minus its piece's score, and an unknown character 10 more than the dearest
+piece; sums are rounded to 32 bits from the start of the text on, as ties depend on it. In a BPE model merges decide, not sums;
 there an arc weighs 0 if the piece may follow the one before it and infinity if not. Two
 neighbours may stand together if merging their joint text gives exactly these two; a chain of such
-neighbours is what merging the whole text gives, and only one path into each position is finite. Verdicts
+neighbours is what merging the whole text gives, and only one path into each position is finite. (This holds where
+a piece scores below those it is made of, as in every model that was made by merging.) Verdicts
 on neighbours are made by the merges at their seam, once, and remembered.
 
-As no piece has a blank mark after another character, no path crosses from a word into the
-next blank, so words are composed one at a time and remembered, in bounded memory.
+In a BPE model where no piece has a blank mark after another character, no path crosses from a word into the
+next blank, so words are composed one at a time and remembered, in bounded memory. Unigram models compose whole texts.
 
 Decoding runs the transducer backwards: pieces to characters, byte pieces to bytes, marks to blanks.
 
@@ -25,6 +31,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from functools import lru_cache
 from math import inf
 
 import numpy as np
@@ -38,15 +45,110 @@ MARK = "▁"
 #: Words and neighbours that a worker remembers.
 MEMORY = 1_000_000
 _words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_blanks = re.compile("  +")
+_LEAST_32, _MOST_32 = float(np.finfo(np.float32).tiny), float(np.finfo(np.float32).max)
+
+
+def _to_32(x: float) -> float:
+    return float(np.float32(x))
+
+
+@lru_cache(4)
+def character_map(blob: bytes) -> dict[str, str]:
+    """The rules of a compiled character map: a double array over UTF-8 bytes, then its targets, each ended by a zero."""
+    if not blob:
+        return {}
+    size = struct.unpack_from("<I", blob)[0]
+    units, targets = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64), blob[4 + size :]
+    offset = (units >> 10) << ((units & 512) >> 6)
+    every, rules = np.arange(256), {}
+    at, read = offset[:1], [b""]
+    while len(at):
+        child = at[:, None] ^ every
+        inside = child < len(units)
+        label = units[np.where(inside, child, 0)] & 0x800000FF
+        row, byte = np.nonzero(inside & (label == every) & (child > 0))
+        found = child[row, byte]
+        read = [read[r] + bytes([b]) for r, b in zip(row.tolist(), byte.tolist(), strict=True)]
+        at = found ^ offset[found]
+        for key, node, ends in zip(read, at.tolist(), (units[found] & 256).tolist(), strict=True):
+            if ends:
+                a = int(units[node]) & 0x7FFFFFFF
+                rules[key.decode()] = targets[a : targets.index(b"\0", a)].decode()
+    return rules
+
+
+class Normaliser:
+    """Rewrites a text from the left, at each place by the longest rule; texts of ``kept`` go before rules and stay."""
+
+    def __init__(self, rules: dict[str, str], kept: set[str]):
+        self.steps: dict[str, list[tuple[int, dict[str, str]]]] = {}  # lengths to try by first character
+        for table in ({k: k for k in kept}, rules):
+            lengths: dict[str, set[int]] = {}
+            for k in table:
+                lengths.setdefault(k[0], set()).add(len(k))
+            for c, found in lengths.items():
+                self.steps.setdefault(c, []).extend((n, table) for n in sorted(found, reverse=True))
+        every = kept | set(rules)
+        single, later = {k for k in every if len(k) == 1}, {c for k in every for c in k[1:]}
+        first = {k[0] for k in every if len(k) > 1}
+        some = [x for x in (f"{_any(first)}(?={_any(later)})" if first else "", _any(single | later) if single | later else "") if x]
+        # Every character that a rule can read lies in such a run, and no rule reads across its ends.
+        self.runs = re.compile(f"(?:{'|'.join(some)})+") if some else None
+
+    def __call__(self, text: str) -> str:
+        return self.runs.sub(self._rewritten, text) if self.runs else text
+
+    def _rewritten(self, run: re.Match) -> str:
+        text, at, out = run[0], 0, []
+        while at < len(text):
+            for n, table in self.steps.get(text[at], ()):
+                if (found := table.get(text[at : at + n])) is not None and at + n <= len(text):
+                    out.append(found)
+                    at += n
+                    break
+            else:
+                out.append(text[at])
+                at += 1
+        return "".join(out)
+
+
+def _any(characters: set[str]) -> str:
+    return "[" + "".join(map(re.escape, sorted(characters))) + "]"
 
 
 class Transducer:
     _by_path: dict[str, Transducer] = {}
 
-    def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int] | None, unknown: int, merges: bool, prefix: bool = True):
-        """``pieces``: id and score by text. ``byte_ids``: ids of the 256 byte pieces. ``merges``: a BPE model."""
+    def __init__(
+        self,
+        pieces: dict[str, tuple[int, float]],
+        byte_ids: list[int] | None,
+        unknown: int,
+        merges: bool,
+        prefix: bool = True,
+        own: dict[str, int] | None = None,
+        rules: dict[str, str] | None = None,
+        squeeze: bool = False,
+        surface: str = "",
+    ):
+        """``pieces``: id and score by text. ``byte_ids``: ids of the 256 byte pieces. ``merges``: a BPE model.
+
+        ``own``: ids of user-defined pieces. ``rules``: the character map. ``squeeze``: runs of blanks are one, and none is at
+        an end. ``surface``: what an unknown id decodes to.
+        """
         self.pieces, self.byte_ids, self.unknown, self.merges, self.prefix = pieces, byte_ids, unknown, merges, prefix
-        self.crosses = any(MARK in p.lstrip(MARK) for p in pieces)
+        self.own, self.squeeze = own or {}, squeeze
+        self.normal = Normaliser(rules or {}, set(self.own))
+        self.parted = re.compile("(" + "|".join(map(re.escape, sorted(self.own, key=len, reverse=True))) + ")") if self.own else None
+        scores = [x for _, x in pieces.values()]
+        most, least = max([*scores, _LEAST_32]), min([*scores, _MOST_32])
+        self.weight = {p: -x for p, (_, x) in pieces.items()}
+        self.unknown_weight = -_to_32(least - 10.0)
+        if not merges:
+            self.weight |= {p: -_to_32(len(p.encode()) * most - 0.1) for p in self.own}
+            pieces = self.pieces = pieces | {p: (i, 0.0) for p, i in self.own.items()}
+        self.whole = not merges or any(MARK in p.lstrip(MARK) for p in pieces)
         self.text = {i: p for p, (i, _) in pieces.items()}
         self.trie: list = [{}, None]  # pieces from their ends on: followers by character, and the piece that is complete
         for p in pieces:
@@ -57,8 +159,8 @@ class Transducer:
         self.known: dict[str, bytes] = {}
         self.beside: dict[tuple[str | None, str], bool] = {}
         self.edges: dict[tuple[str, int], list[tuple[str, float]]] = {}
-        self.output = {i: p.replace(MARK, " ").encode() for p, (i, _) in pieces.items()}
-        self.output |= {i: bytes([b]) for b, i in enumerate(byte_ids or [])}
+        self.output = {i: p.replace(MARK, " ").encode() for p, i in [*((p, i) for p, (i, _) in pieces.items()), *self.own.items()]}
+        self.output |= {i: bytes([b]) for b, i in enumerate(byte_ids or [])} | {unknown: surface.encode()}
 
     @classmethod
     def load(cls, path: str) -> Transducer:
@@ -70,16 +172,25 @@ class Transducer:
             own = pb.ModelProto()
             own.ParseFromString(sp.SentencePieceProcessor(model_file=path).serialized_model_proto())
             n, t = own.normalizer_spec, own.trainer_spec
-            if n.precompiled_charsmap or n.remove_extra_whitespaces or not n.escape_whitespaces or t.model_type not in (1, 2):
-                raise ValueError("only models with the identity normaliser, and unigram or BPE ones, are compiled")
             kinds = {p.type for p in own.pieces}
-            normal = {p.piece: (i, p.score) for i, p in enumerate(own.pieces) if p.type in (1, 4)}
+            user = {p.piece: i for i, p in enumerate(own.pieces) if p.type == 4}
+            if t.model_type not in (1, 2) or t.treat_whitespace_as_suffix or not n.escape_whitespaces or (t.model_type == 2 and 5 in kinds) or any("  " in p for p in user):
+                raise ValueError("only unigram and BPE models are compiled, with blanks as marks before words and no unused merges")
+            normal = {p.piece: (i, p.score) for i, p in enumerate(own.pieces) if p.type == 1}
             byte_ids = [i for i, p in enumerate(own.pieces) if p.type == 6] if 6 in kinds else None
-            cls._by_path[path] = cls(normal, byte_ids, t.unk_id, t.model_type == 2, n.add_dummy_prefix)
+            unknown = next(i for i, p in enumerate(own.pieces) if p.type == 2)
+            rules = character_map(n.precompiled_charsmap)
+            cls._by_path[path] = cls(normal, byte_ids, unknown, t.model_type == 2, n.add_dummy_prefix, user, rules, n.remove_extra_whitespaces, t.unk_surface)
         return cls._by_path[path]
 
     def normalise(self, text: str) -> str:
-        return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
+        if not text:
+            return ""
+        own = self.normal(text)
+        if self.squeeze:
+            own = _blanks.sub(" ", own).lstrip(" ")
+        own = MARK * self.prefix + own.replace(" ", MARK)
+        return own.rstrip(MARK) if self.squeeze else own
 
     def _fallback(self, c: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")) if self.byte_ids else (self.unknown,)
@@ -160,11 +271,13 @@ class Transducer:
         n = len(word)
         cost, back, last = [0.0] + [inf] * n, [0] * (n + 1), [None] * (n + 1)
         for j in range(1, n + 1):
-            for i, piece in self._arcs(word, j):
-                if (c := cost[i] - self.pieces[piece][1]) < cost[j]:
-                    cost[j], back[j], last[j] = c, i, piece
-            if word[j - 1] not in self.pieces and (c := cost[j - 1] + 20.0) < cost[j]:
-                cost[j], back[j], last[j] = c, j - 1, None
+            best = inf
+            for i, piece in reversed(self._arcs(word, j)):
+                if (c := _to_32(cost[i] + self.weight[piece])) < best:
+                    best, back[j], last[j] = c, i, piece
+            if word[j - 1] not in self.pieces and (c := _to_32(cost[j - 1] + self.unknown_weight)) < best:
+                best, back[j], last[j] = c, j - 1, None
+            cost[j] = best
         return last, back
 
     def _arcs(self, word: str, j: int) -> list[tuple[int, str]]:
@@ -216,6 +329,9 @@ class Transducer:
         """Remember the ids of ``words``; in order, so that each goes on from what it shares with the one before."""
         before, last, back = "", [None], [0]
         for w in sorted(words):
+            if w in self.own and self.merges:
+                self.known[w] = struct.pack("<I", self.own[w])
+                continue
             if self.merges:
                 kept, most = 0, min(len(w), len(before))
                 while kept < most and w[kept] == before[kept]:
@@ -231,13 +347,18 @@ class Transducer:
         out, turn, size = [], [], 0
         for t in texts:
             own = self.normalise(t)
-            turn.append([own] * bool(own) if self.crosses else _words.findall(own))
+            turn.append(self._words(own))
             size += len(t)
             if size > 2_000_000:
                 out += self._turn(turn)
                 turn, size = [], 0
         return out + self._turn(turn)
 
+    def _words(self, text: str) -> list[str]:
+        """What is composed one at a time; user-defined pieces of a BPE model are words of their own."""
+        parts = self.parted.split(text) if self.parted and self.merges else [text]
+        return [w for p in parts if p for w in ([p] if self.whole or p in self.own else _words.findall(p))]
+
     def _turn(self, words: list[list[str]]) -> list[bytes]:
         every = set().union(*words)
         new = every.difference(self.known)
@@ -245,11 +366,30 @@ class Transducer:
             self.known, new = {}, every
         self.learn(new)
         get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        out = [b"".join(map(get, w)) for w in words]
+        if self.whole:
+            self.known = {}  # whole texts seldom come again
+        return out if self.byte_ids else [self._one_unknown(x) for x in out]
+
+    def _one_unknown(self, ids: bytes) -> bytes:
+        """A run of unknown characters is one id."""
+        x = np.frombuffer(ids, "<u4")
+        again = (x[1:] == self.unknown) & (x[:-1] == self.unknown)
+        return x[np.r_[True, ~again]].tobytes() if again.any() else ids
 
     def decode(self, ids: bytes) -> str:
-        raw = b"".join(map(self.output.get, np.frombuffer(ids, "<u4").tolist(), _nothing))
-        text = raw.decode("utf-8", "replace")
+        parts = list(map(self.output.get, np.frombuffer(ids, "<u4").tolist(), _nothing))
+        if self.squeeze:  # blanks before the first character go, but not those of an unknown one
+            for i, own in enumerate(np.frombuffer(ids, "<u4").tolist()):
+                if own == self.unknown or not parts[i].startswith(b" "):
+                    break
+                if parts[i] != b" ":
+                    parts[i] = parts[i][1:]
+                    break
+                parts[i] = b""
+        text = b"".join(parts).decode("utf-8", "replace")
+        if self.squeeze:
+            return text
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
