@@ -34,8 +34,9 @@ def mark_sent(state: DataFrame, sent: DataFrame, now) -> DataFrame:
 
 
 def summary(alerts: DataFrame) -> DataFrame:
-    """Alerts by level and rule."""
-    return alerts.groupBy("level", "rule").agg(F.count(F.lit(1)).alias("alerts"), F.count_distinct("variable").alias("variables"))
+    """Alerts by level and rule, with their variables sorted; variables are the channels of the configuration, so few."""
+    found = alerts.groupBy("level", "rule").agg(F.count(F.lit(1)).alias("alerts"), F.sort_array(F.collect_set("variable")).alias("_v"))
+    return found.select("level", "rule", "alerts", F.size("_v").cast("long").alias("variables"), F.array_join("_v", ", ").alias("variable_names"))
 
 
 def by_zone(alerts: DataFrame) -> DataFrame:

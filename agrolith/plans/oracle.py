@@ -134,7 +134,7 @@ SQL: dict[str, str] = {
     "r13_heat": f"with {G}, {_R13} {_A13}",
     "transmittance_ratio": f"with {R} select zone, ts::date as date, median(p / (s * 2.057)) as ratio from (select zone, ts, max(value) filter (channel = 'ppfd') as p, max(value) filter (channel = 'solar') as s from r where hour(ts) >= 10 and hour(ts) < 15 group by all) where p is not null and s > 50 group by all",
     "rule_union_sorted": f"with {ALL} select zone, rule, level, variable, start, value, key from a",
-    "alert_summary": f"with {ALL} select level, rule, count(*) as alerts, count(distinct variable) as variables from a group by level, rule",
+    "alert_summary": f"with {ALL} select level, rule, count(*) as alerts, count(distinct variable) as variables, coalesce(string_agg(distinct variable, ', ' order by variable), '') as variable_names from a group by level, rule",
     "alerts_by_zone": f"with {ALL} select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
     "alerts_cooldown": f"with {ALL} select key, level from a where level = 'CRITICAL' and zone <> '0'",
     "health_table": f"""with {R}, {SPECS}, e as (select zone, max(ts) - interval 7 day as edge from r group by zone), s as (select zone, channel, count(value) as valid, count(*) filter (value < lo or value > hi) as oor, arg_max(value, ts) as lv, max(ts) as ls, avg(value) as m, min(value) as mn, max(value) as mx from r join e using (zone) left join specs using (channel) where ts > edge group by all),
