@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 from datetime import datetime
+from pathlib import Path
 
 from agrolith import config
 from agrolith.operators import alerts, archive, store
@@ -13,6 +14,12 @@ from agrolith.session import session
 from agrolith.sources import logger_files
 
 
+def _yaml(path: str | None) -> dict | None:
+    import yaml
+
+    return yaml.safe_load(Path(path).read_text(encoding="utf-8")) if path else None
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="agrolith", description=__doc__)
     p.add_argument("flow", choices=["build", "monitor", "preprocess"])
@@ -24,12 +31,15 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--surveys", nargs="*")
     p.add_argument("--lag-days", type=int, default=0)
     p.add_argument("--window-days", type=int)
+    p.add_argument("--alerts", help="folder of a log of alerts that are due, and of the cool-down's state")
+    p.add_argument("--sensor-map", help="YAML: loggers, their treatments and shared channels")
+    p.add_argument("--overrides", help="YAML: variables of column names")
     p.add_argument("--out", default="out")
     p.add_argument("--now", type=datetime.fromisoformat, default=None)
     a = p.parse_args(args)
     spark, cfg, now = session(), config.load(a.config), a.now or datetime.now().replace(microsecond=0)
     if a.flow == "build":
-        told = flows.update_archive(spark, a.files, a.archive, store.load_registry(a.registry), cfg)
+        told = flows.update_archive(spark, a.files, a.archive, store.load_registry(a.registry), cfg, _yaml(a.overrides))
         told["summary"].show(truncate=False)
         told["problems"].show(truncate=False)
         return 0
@@ -38,12 +48,14 @@ def main(args: list[str] | None = None) -> int:
         p.error(f"no archive at {a.archive}")
     if a.flow == "monitor":
         found, state = flows.monitor(master, cfg, now)
-        found = found.persist()
         print(alerts.text(found, a.archive))
+        if a.alerts:
+            _, outcome = flows.send(found, cfg, now, f"{a.alerts}/state", {"log": lambda df: alerts.to_json(df, f"{a.alerts}/log", now)})
+            print(outcome)
         store.save_result({"alerts": found, "health": state}, a.out, "monitor", now)
         return alerts.exit_code(found)
     growth = logger_files.growth(spark, a.growth) if a.growth else None
-    tables = flows.preprocess(master, cfg, growth, a.surveys, lag_days=a.lag_days, window_days=a.window_days)
+    tables = flows.preprocess(master, cfg, growth, a.surveys, _yaml(a.sensor_map), lag_days=a.lag_days, window_days=a.window_days)
     print(store.save_result(tables, a.out, "preprocess", now))
     return 0
 

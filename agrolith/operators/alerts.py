@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from agrolith.config import LEVELS
 from agrolith.operators.rules import by_severity, severity
+from agrolith.session import written
 
 STATE = "key string, last_sent timestamp_ntz, level string, rule string, message string"
 
@@ -27,12 +28,32 @@ def due(alerts: DataFrame, state: DataFrame, now, min_level: str = "WARN", coold
 
 def mark_sent(state: DataFrame, sent: DataFrame, now) -> DataFrame:
     """The state after ``sent`` went out at ``now``: a row for each key, the latest."""
-    new = sent.select("key", F.lit(now).cast("timestamp_ntz").alias("last_sent"), "level", "rule", "message")
+    return _latest(state.unionByName(_noted(sent, now)))
+
+
+def _noted(sent: DataFrame, now) -> DataFrame:
+    return sent.select("key", F.lit(now).cast("timestamp_ntz").alias("last_sent"), "level", "rule", "message")
+
+
+def _latest(state: DataFrame) -> DataFrame:
     rest = [c for c in state.columns if c != "key"]
-    last = state.unionByName(new).groupBy("key").agg(F.max_by(F.struct(*rest), "last_sent").alias("_s"))
+    last = state.groupBy("key").agg(F.max_by(F.struct(*rest), "last_sent").alias("_s"))
     return last.select("key", *[F.col(f"_s.{c}").alias(c) for c in rest])
 
 
+def load_state(spark, path: str) -> DataFrame:
+    """The alerts noted under ``path``, the latest of each key; none where nothing was noted yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return empty_state(spark)
+    return _latest(spark.read.schema(STATE).parquet(path))
+
+
+def note_sent(sent: DataFrame, path: str, now) -> None:
+    """Append what went out at ``now``; a run that is repeated notes the same again, which changes nothing."""
+    _noted(sent, now).write.mode("append").parquet(path)
+
+
 def summary(alerts: DataFrame) -> DataFrame:
     """Alerts by level and rule, with their variables sorted; variables are the channels of the configuration, so few."""
     found = alerts.groupBy("level", "rule").agg(F.count(F.lit(1)).alias("alerts"), F.sort_array(F.collect_set("variable")).alias("_v"))
@@ -78,7 +99,7 @@ def dispatch(alerts: DataFrame, state: DataFrame, now: datetime, sinks: dict[str
 
     Alerts count as sent if at least one sink took them.
     """
-    new = due(alerts, state, now, min_level, cooldown_hours)
+    new = written(due(alerts, state, now, min_level, cooldown_hours), "due")  # each sink gets the same rows, whatever is noted meanwhile
     outcome = {}
     for name, sink in ({} if dry_run else sinks).items():
         try:

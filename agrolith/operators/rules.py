@@ -6,6 +6,9 @@ times are those of any of its channels. Each rule returns the columns of ``ALERT
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from agrolith.operators import grid as G
 from agrolith.operators.clean import outside, with_specs
 from agrolith.operators.daily import expected_per_day
 from agrolith.operators.ordered import islands, with_previous
+from agrolith.session import written
 
 ALERT = ["zone", "rule", "level", "variable", "start", "end", "value", "detail", "message", "key"]
 CHANNEL = ["zone", "channel"]
@@ -226,25 +230,28 @@ RULES = (r01_gaps, r02_missing, r03_out_of_range, r04_flatline, r05_spike, r06_d
 def run_all(grid: DataFrame, cfg: dict, minutes: float, lookback_days: int | None = 7, now=None, report: DataFrame | None = None, rules=RULES) -> DataFrame:
     """All rules' alerts, the worst first, then by start with empty ones last.
 
-    No rows give no alerts. A rule that cannot be planned gives an ``R00_rule_error`` row and leaves the others alone.
+    No rows give no alerts. The window is written once and each rule's alerts are written by themselves, four rules at a time,
+    so a rule that fails, planned or running, gives an ``R00_rule_error`` row and leaves the others alone.
     """
-    recent = G.window_of(grid, ["zone"], lookback_days, now).persist()  # read once for all rules
+    recent = written(G.window_of(grid, ["zone"], lookback_days, now), "window")
     plans = [(f.__name__, lambda f=f: f(recent, cfg, minutes)) for f in rules]
     plans.append(("r11_transmittance", lambda: r11_transmittance(grid, cfg)))
     if now is not None:
         plans.append(("r09_offline", lambda: r09_offline(grid, cfg, now)))
     if report is not None:
         plans.append(("r12_errors", lambda: r12_errors(report, cfg)))
-    out = None
-    for name, plan in plans:
+
+    def run(named) -> DataFrame:
+        name, plan = named
         try:
-            found = plan()
-            _ = found.schema
+            return written(plan(), name)
         except Exception as e:  # one rule's fault is reported as such
             one = grid.sparkSession.createDataFrame([("-", "INFO")], "zone string, level string")
-            found = alert(one, "R00_rule_error", "-", None, None, F.lit(0.0), F.lit(f"{name}: {str(e)[:200]}"))
-        out = found if out is None else out.unionByName(found)
-    return by_severity(out)
+            return alert(one, "R00_rule_error", "-", None, None, F.lit(0.0), F.lit(f"{name}: {str(e)[:200]}"))
+
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(run, plans))
+    return by_severity(reduce(DataFrame.unionByName, found))
 
 
 def severity(c: str = "level") -> Column:

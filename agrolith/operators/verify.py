@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolith.config import LIGHT
 from agrolith.functions.expressions import between_hours
+from agrolith.operators.stats import correlation, slope
 
 LOG = "date date, logger_id string, sensor_id string, sensor_type string, variable string, check_type string, reference_value double, sensor_value double, deviation double, rel_deviation double, result string, operator string, action string, note string"
 LEAST_PAIRS = 6
@@ -28,26 +29,17 @@ def pairs(readings: DataFrame, reference: str, test: str, keys: list[str], start
     return both.where("ref is not null and test is not null")
 
 
-def guarded(f, y: str, x: str) -> Column:
-    """``f(y, x)``, null where either side is constant."""
-    varies = (F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0)
-    return F.when(varies, f(y, x))
-
-
 def compare(both: DataFrame, keys: list[str]) -> DataFrame:
     """Bias, errors, correlation and line of each key with at least ``LEAST_PAIRS`` pairs."""
-    diff = F.col("test") - F.col("ref")
-    n, sx, sy = F.count(F.lit(1)), F.sum("ref"), F.sum("test")
-    sxx, sxy, syy = F.sum(F.col("ref") * F.col("ref")), F.sum(F.col("ref") * F.col("test")), F.sum(F.col("test") * F.col("test"))
+    diff, n = F.col("test") - F.col("ref"), F.count(F.lit(1))
     out = both.groupBy(*keys).agg(
-        n.alias("n"), (sx / n).alias("ref_mean"), (sy / n).alias("test_mean"), (F.sum(diff) / n).alias("bias"), (F.sum(F.abs(diff)) / n).alias("mae"),
-        F.sqrt(F.sum(diff * diff) / n).alias("rmse"), (n * sxy - sx * sy).alias("_xy"), (n * sxx - sx * sx).alias("_xx"), (n * syy - sy * sy).alias("_yy"),
+        n.alias("n"), (F.sum("ref") / n).alias("ref_mean"), (F.sum("test") / n).alias("test_mean"), (F.sum(diff) / n).alias("bias"), (F.sum(F.abs(diff)) / n).alias("mae"),
+        F.sqrt(F.sum(diff * diff) / n).alias("rmse"), F.covar_pop("test", "ref").alias("_xy"), F.var_pop("ref").alias("_xx"), F.var_pop("test").alias("_yy"),
         F.min("ts").alias("start"), F.max("ts").alias("end"),
     )
-    slope = F.when(F.col("_xx") > 0, F.col("_xy") / F.when(F.col("_xx") > 0, F.col("_xx")))
-    both_vary = (F.col("_xx") > 0) & (F.col("_yy") > 0)
-    r = F.when(both_vary, F.col("_xy") / F.when(both_vary, F.sqrt("_xx") * F.sqrt("_yy")))
-    cols = [*keys, "n", "ref_mean", "test_mean", "bias", "mae", "rmse", r.alias("r"), slope.alias("slope"), (F.col("test_mean") - slope * F.col("ref_mean")).alias("intercept"), "start", "end"]
+    line = slope(F.col("_xy"), F.col("_xx"))
+    r = correlation(F.col("_xy"), F.col("_xx"), F.col("_yy"))
+    cols = [*keys, "n", "ref_mean", "test_mean", "bias", "mae", "rmse", r.alias("r"), line.alias("slope"), (F.col("test_mean") - line * F.col("ref_mean")).alias("intercept"), "start", "end"]
     return out.where(F.col("n") >= LEAST_PAIRS).select(*cols)
 
 
@@ -94,8 +86,6 @@ def drift(log: DataFrame, keys: list[str]) -> DataFrame:
     rows = log.where("deviation is not null and date is not null")
     first = rows.groupBy(*keys).agg(F.min("date").alias("_first"))
     d = rows.join(first, keys).withColumn("_x", F.datediff("date", "_first").cast("double"))
-    n, sx, sy = F.count(F.lit(1)), F.sum("_x"), F.sum("deviation")
-    sxx, sxy = F.sum(F.col("_x") * F.col("_x")), F.sum(F.col("_x") * F.col("deviation"))
-    out = d.groupBy(*keys).agg(n.alias("n"), (n * sxy - sx * sy).alias("_xy"), (n * sxx - sx * sx).alias("_xx"), F.max_by("deviation", F.struct("date", "deviation")).alias("last_deviation"))
-    slope = F.when(F.col("_xx") > 0, F.col("_xy") / F.when(F.col("_xx") > 0, F.col("_xx")))
-    return out.where("n >= 3").select(*keys, "n", F.bround(slope, 6).alias("slope_per_day"), F.bround(slope * 365, 4).alias("slope_per_year"), "last_deviation")
+    out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "deviation").alias("_xy"), F.var_pop("_x").alias("_xx"), F.max_by("deviation", F.struct("date", "deviation")).alias("last_deviation"))
+    by_day = slope(F.col("_xy"), F.col("_xx"))
+    return out.where("n >= 3").select(*keys, "n", F.bround(by_day, 6).alias("slope_per_day"), F.bround(by_day * 365, 4).alias("slope_per_year"), "last_deviation")

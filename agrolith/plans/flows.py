@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from agrolith import config
 from agrolith.functions.names import column_order
 from agrolith.operators import alerts, archive, clean, daily, grid, health, intervals, reshape, rules, store, treatment
+from agrolith.session import written
 from agrolith.sources import logger_files
 
 
 def ingest(spark: SparkSession, paths: list[str], overrides: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Readings of logger exports, told apart by logger, time and channel; the mapping report; files that could not be read."""
-    cells = logger_files.cells(spark, paths, overrides).persist()  # three results of one reading
+    cells = written(logger_files.cells(spark, paths, overrides), "cells")  # three results of one reading
     typed = logger_files.readings(cells).withColumn("row", F.lit(0))
     report = reshape.mapping_report(typed.withColumn("zone", F.col("serial")))
     return logger_files.deduplicated(typed).drop("row"), report, logger_files.problems(cells)
@@ -30,10 +31,10 @@ def interval_of(readings: DataFrame, cfg: dict, keys: list[str]) -> float:
     return float(best[0]) if best else float(cfg["default_interval"])
 
 
-def update_archive(spark: SparkSession, paths: list[str], path: str, registry: dict, cfg: dict | None = None) -> dict[str, DataFrame]:
+def update_archive(spark: SparkSession, paths: list[str], path: str, registry: dict, cfg: dict | None = None, overrides: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Put exports into the archive at ``path``: newer readings win, no logger may vanish. Summary, report and problems."""
     cfg = cfg or config.load()
-    fresh, report, problems = ingest(spark, paths)
+    fresh, report, problems = ingest(spark, paths, overrides)
     names = store.registry_table(spark, registry).select("serial", "zone")
     seconds = round(interval_of(fresh, cfg, ["serial"]) * 60)
     master = archive.read(spark, path)
@@ -52,11 +53,13 @@ def monitor(readings: DataFrame, cfg: dict, now: datetime, lookback_days: int |
     return rules.run_all(on, cfg, minutes, lookback_days, now, report), state
 
 
-def monitor_and_send(readings: DataFrame, cfg: dict, now: datetime, state: DataFrame, sinks: dict, dry_run: bool = False):
-    """New alerts, the state after them, and what became of each sink."""
-    found, _ = monitor(readings, cfg, now)
+def send(found: DataFrame, cfg: dict, now: datetime, state_path: str, sinks: dict, dry_run: bool = False):
+    """Alerts that are due to the sinks; what went out is noted under ``state_path``. The alerts due, and what became of each sink."""
     a = cfg["alerts"]
-    return alerts.dispatch(found, state, now, sinks, a["min_level"], a["cooldown_hours"], dry_run)
+    new, _, outcome = alerts.dispatch(found, alerts.load_state(found.sparkSession, state_path), now, sinks, a["min_level"], a["cooldown_hours"], dry_run)
+    if "sent" in outcome.values():
+        alerts.note_sent(new, state_path, now)
+    return new, outcome
 
 
 #: Sums are 0 over days without values; where a key never has the variable, they are blank.
@@ -116,12 +119,14 @@ def preprocess(readings: DataFrame, cfg: dict, growth: DataFrame | None = None,
     return out
 
 
-def weekly(spark: SparkSession, paths: list[str], root: str, cfg: dict, registry: dict, now: datetime, surveys: list | None = None) -> dict:
-    """New uploads into the archive, alerts of the whole archive, and a stored run of the preprocessed tables."""
+def weekly(spark: SparkSession, paths: list[str], root: str, cfg: dict, registry: dict, now: datetime, surveys: list | None = None, sinks: dict | None = None) -> dict:
+    """New uploads into the archive, alerts of the whole archive, those due to the sinks (by default a log of JSON lines), and a stored run of the preprocessed tables."""
     new = [r.path for r in store.save_uploads(spark, paths, f"{root}/uploads", now).select("path").collect()]  # names of new files
     told = update_archive(spark, new, f"{root}/archive", registry, cfg) if new else {}
     master = archive.read(spark, f"{root}/archive")
     found, state = monitor(master, cfg, now)
+    sinks = sinks or {"log": lambda df: alerts.to_json(df, f"{root}/alerts", now)}
+    new_alerts, outcome = send(found, cfg, now, f"{root}/alert_state", sinks)
     tables = preprocess(master, cfg, surveys=surveys)
     run = store.save_result({"alerts": found, "health": state, **tables}, f"{root}/results", "weekly", now)
-    return {"new_files": len(new), "run": run, "exit_code": alerts.exit_code(found), **told}
+    return {"new_files": len(new), "run": run, "exit_code": alerts.exit_code(found), "sent": new_alerts.count(), "sinks": outcome, **told}

@@ -28,11 +28,16 @@ _R13 = "h as (select zone, channel, ts::date as date, count(*) filter (value > c
 _A03 = _alert("R03_out_of_range", "channel", _DATE, _DATE, "n", _NONE, "case when n >= 12 then 'CRITICAL' else 'WARN' end", "b")
 _A06 = _alert("R06_daytime_dark", "channel", _DATE, _DATE, "hi", _NONE, "case when hi < case when channel = 'solar' then 10.0 else 20.0 end then 'CRITICAL' end", "d")
 _A13 = _alert("R13_heat_event", "channel", _DATE, _DATE, "hi", _NONE, "case when n >= 1 then 'CRITICAL' else 'WARN' end", "h")
-THREE = f"{G}, {SPECS}, {_R03}, {_R06}, {_R13}, a as ({_A03} union all {_A06} union all {_A13} union all {_alert('R09_logger_offline', chr(39) + 'logger' + chr(39), 'last', 'now', 'delay', _NONE, chr(39) + 'INFO' + chr(39), '(select null as zone, null::timestamp as last, null::timestamp as now, 0 as delay where false)')})"
-_FULL = THREE.replace(", a as (", ", o as (select zone, max(ts) as last, timestamp '2024-01-31 06:00:00' as now, date_diff('microsecond', max(ts), timestamp '2024-01-31 06:00:00') / 60000000.0 as delay from g group by zone), " "tr as (select zone, ts::date as date, median(p / (s * 2.057)) as ratio from (select zone, ts, max(value) filter (channel = 'ppfd') as p, max(value) filter (channel = 'solar') as s from g where hour(ts) >= 10 and hour(ts) < 15 group by all) where p is not null and s > 50 group by all), " "tn as (select *, row_number() over (partition by zone order by date desc) as n from tr), " "tt as (select zone, count(*) as days, median(ratio) filter (n <= 3) as now, median(ratio) filter (n > 3 and n <= 33) as was, min(date) filter (n <= 3) as s, max(date) as e from tn group by zone having count(*) >= 5), a as (")
 _OFF = _alert("R09_logger_offline", "'logger'", "last", "now", "round_even(delay, 1)", _NONE, "case when delay >= 720 then 'CRITICAL' when delay >= 120 then 'WARN' end", "o")
 _TRANS = _alert("R11_transmittance_drop", "'ppfd'", "s::timestamp", "e::timestamp", "round_even(now / was, 3)", _NONE, "case when was > 0 and now / was < {drop} then 'WARN' end", "tt")
-ALL = _FULL[: _FULL.rindex(" union all select")] + f" union all {_OFF} union all {_TRANS.format(drop=0.7)})"
+_OFFLINE = "o as (select zone, max(ts) as last, timestamp '2024-01-31 06:00:00' as now, date_diff('microsecond', max(ts), timestamp '2024-01-31 06:00:00') / 60000000.0 as delay from r group by zone)"
+
+
+def _through(recent, base):
+    """Each zone's light inside against outside by days: ``tr`` days, ``tt`` the last days against those before."""
+    return f"""tr as (select zone, ts::date as date, median(p / (s * 2.057)) as ratio from (select zone, ts, max(value) filter (channel = 'ppfd') as p, max(value) filter (channel = 'solar') as s from r where hour(ts) >= 10 and hour(ts) < 15 group by all) where p is not null and s > 50 group by all),
+        tn as (select *, row_number() over (partition by zone order by date desc) as n from tr), tt as (select zone, median(ratio) filter (n <= {recent}) as now, median(ratio) filter (n > {recent} and n <= {recent + base}) as was, min(date) filter (n <= {recent}) as s, max(date) as e from tn group by zone having count(*) >= 5)"""
+
 
 DAILY = """env as (select l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean, max(l_quantity) as temp_max, min(l_quantity) as temp_min, least(count(*) / 2.0, 1.0) as completeness, count(*) >= 2 as is_complete from lineitem group by 1)"""
 DAILY_T = """env as (select l_returnflag as trt, l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean from lineitem group by 1, 2)"""
@@ -124,19 +129,14 @@ SQL: dict[str, str] = {
     "r06_daytime_dark": f"with {G}, {_R06} {_A06}",
     "r07_night_light": f"with {G}, d as (select zone, channel, ts::date as date, max(value) as hi from g where value is not null and channel = 'ppfd' and (hour(ts) >= 23 or hour(ts) < 3) group by all) " + _alert("R07_night_light", "channel", _DATE, _DATE, "hi", _NONE, "case when hi > 5 then 'WARN' end", "d"),
     "r08_rh_saturated": f"with {G}, m as (select *, coalesce(value >= 30, false) as ok from g where channel = 'rh'), i as ({ISLAND}), s as (select zone, channel, min(ts) as a, max(ts) as b, count(*) as n from i where ok group by zone, channel, isl) " + _alert("R08_rh_saturated", "channel", "a", "b", "n", _NONE, "case when n >= 2 then 'WARN' end", "s"),
-    "r09_offline": f"with {R}, o as (select zone, max(ts) as last, timestamp '2024-01-31 06:00:00' as now, date_diff('microsecond', max(ts), timestamp '2024-01-31 06:00:00') / 60000000.0 as delay from r group by zone) {_OFF}",
+    "r09_offline": f"with {R}, {_OFFLINE} {_OFF}",
     "r10_pair_divergence": f"""with {REP}, lim(base_var, most) as (values ('temp', 1.0), ('soil_temp', 1.0), ('rh', 5.0), ('ppfd', 0.15)), b as (select o.zone, o.base_var, f.channel as first, o.channel as channel, most, o.ts, f.value as x, o.value as y from rp o join rp f on o.zone = f.zone and o.base_var = f.base_var and o.ts = f.ts and f.rep = 1 join lim on lim.base_var = o.base_var where o.rep > 1),
         s as (select zone, base_var, first, channel, most, count(*) as n, median(case when base_var = 'ppfd' then case when x > 50 then abs(y - x) / x end else abs(y - x) end) as metric, min(ts) as a, max(ts) as b from b group by all) """
     + _alert("R10_pair_divergence", "base_var", "a", "b", "round_even(metric, 4)", "first || ' vs ' || channel", "case when n >= 6 and metric > most then 'WARN' end", "s"),
-    "r11_transmittance": f"""with {R}, tr as (select zone, ts::date as date, median(p / (s * 2.057)) as ratio from (select zone, ts, max(value) filter (channel = 'ppfd') as p, max(value) filter (channel = 'solar') as s from r where hour(ts) >= 10 and hour(ts) < 15 group by all) where p is not null and s > 50 group by all),
-        tn as (select *, row_number() over (partition by zone order by date desc) as n from tr), tt as (select zone, median(ratio) filter (n <= 3) as now, median(ratio) filter (n > 3 and n <= 10) as was, min(date) filter (n <= 3) as s, max(date) as e from tn group by zone having count(*) >= 5) {_TRANS.format(drop=1.5)}""",
+    "r11_transmittance": f"with {R}, {_through(3, 7)} {_TRANS.format(drop=1.5)}",
     "r12_errors": f"with {CELLS} " + _alert("R12_error_value", "base_var", "null::timestamp", "null::timestamp", "errors", "source", "case when errors = 0 then null when errors / rows > 0.3 then 'CRITICAL' when errors / rows > 0.001 then 'WARN' else 'INFO' end", "mr"),
     "r13_heat": f"with {G}, {_R13} {_A13}",
     "transmittance_ratio": f"with {R} select zone, ts::date as date, median(p / (s * 2.057)) as ratio from (select zone, ts, max(value) filter (channel = 'ppfd') as p, max(value) filter (channel = 'solar') as s from r where hour(ts) >= 10 and hour(ts) < 15 group by all) where p is not null and s > 50 group by all",
-    "rule_union_sorted": f"with {ALL} select zone, rule, level, variable, start, value, key from a",
-    "alert_summary": f"with {ALL} select level, rule, count(*) as alerts, count(distinct variable) as variables, coalesce(string_agg(distinct variable, ', ' order by variable), '') as variable_names from a group by level, rule",
-    "alerts_by_zone": f"with {ALL} select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
-    "alerts_cooldown": f"with {ALL} select key, level from a where level = 'CRITICAL' and zone <> '0'",
     "health_table": f"""with {R}, {SPECS}, e as (select zone, max(ts) - interval 7 day as edge from r group by zone), s as (select zone, channel, count(value) as valid, count(*) filter (value < lo or value > hi) as oor, arg_max(value, ts) as lv, max(ts) as ls, avg(value) as m, min(value) as mn, max(value) as mx from r join e using (zone) left join specs using (channel) where ts > edge group by all),
         k as (select distinct zone, channel from r where value is not null), j as (select zone, channel, coalesce(valid, 0) as valid, coalesce(oor, 0) as oor, lv, ls, m, mn, mx from k left join s using (zone, channel))
         select zone, channel, round_even(valid / 168, 3) as received, round_even(1 - valid / 168, 3) as missing, oor as out_of_range, lv as last_value, m as mean, mn as min, mx as max, ls as last_seen, case when valid / 168 >= 0.9 and oor = 0 then 'normal' when valid / 168 >= 0.5 then 'caution' else 'danger' end as status from j""",
@@ -163,3 +163,15 @@ SQL: dict[str, str] = {
     "ols": f"""with {WIDE}, d as (select * from w where temp is not null and ppfd is not null and solar is not null), s as (select count(*) as n, avg(temp) as my, avg(ppfd) as ma, avg(solar) as mb, covar_pop(ppfd, ppfd) as aa, covar_pop(solar, solar) as bb, covar_pop(ppfd, solar) as ab, covar_pop(ppfd, temp) as ay, covar_pop(solar, temp) as by_ from d)
         select n, round(my - (ay * bb - by_ * ab) / (aa * bb - ab * ab) * ma - (by_ * aa - ay * ab) / (aa * bb - ab * ab) * mb, 6) as intercept, round((ay * bb - by_ * ab) / (aa * bb - ab * ab), 6) as b1, round((by_ * aa - ay * ab) / (aa * bb - ab * ab), 6) as b2 from s""",
 }
+
+#: The rules that the union runs; transmittance with the drop and days that are the defaults.
+_RULES = ["r01_gaps", "r02_missing", "r03_out_of_range", "r04_flatline", "r05_spike", "r06_daytime_dark", "r07_night_light", "r08_rh_saturated", "r09_offline", "r10_pair_divergence", "r12_errors", "r13_heat"]
+_ALL = " union all ".join(f"select * from ({q})" for q in [*(SQL[n] for n in _RULES), f"with {R}, {_through(3, 30)} {_TRANS.format(drop=0.7)}"])
+SQL |= {
+    "rule_union_sorted": f"with a as ({_ALL}) select zone, rule, level, variable, start, value, key from a",
+    "alert_summary": f"with a as ({_ALL}) select level, rule, count(*) as alerts, count(distinct variable) as variables, coalesce(string_agg(distinct variable, ', ' order by variable), '') as variable_names from a group by level, rule",
+    "alerts_by_zone": f"with a as ({_ALL}) select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
+    "alerts_cooldown": f"with a as ({_ALL}) select key, level from a where level = 'CRITICAL' and zone <> '0'",
+    "stream_daily": f"with {RAW} select zone, base_var as channel, ts::date as date, count(v) as n, avg(v) as mean, min(v) as min, max(v) as max from raw group by all",
+    "ingest_csv": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
+}

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _local: dict[str, str] = {}
@@ -56,6 +57,13 @@ def shared_root(spark: SparkSession) -> str:
     return _local[app]
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: what several results read is made once, and lost executors cost no more than their tasks."""
+    path = f"{shared_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 

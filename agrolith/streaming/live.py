@@ -33,22 +33,33 @@ def offline(readings: DataFrame, minutes: int = 120) -> DataFrame:
     return s.select("zone", "last_seen", "records", F.col("w.end").alias("lost_at"))
 
 
+ARCHIVE = "ts timestamp_ntz, channel string, serial string, value double, epoch long, zone string, date date"
+
+
+def archived(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The archive that ``upserted`` keeps: each zone's day as its latest batch wrote it (of batches ``before``)."""
+    rows = spark.read.schema(ARCHIVE).parquet(path)
+    rows = rows if before is None else rows.where(F.col("epoch") < before)
+    latest = rows.groupBy("zone", "date").agg(F.max("epoch").alias("epoch"))
+    return rows.join(latest, ["zone", "date", "epoch"], "left_semi").drop("epoch")
+
+
 def upserted(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Each batch as a new version of the archive under ``path``: newer readings win, older ones fill gaps.
+    """Each batch into the archive under ``path``: newer readings win, older ones fill gaps.
 
-    Versions are written beside each other and the latest counts, so a batch that runs twice gives the same table.
+    A batch reads and writes the days of zones that it has readings of, and no others; it writes them beside the older ones and
+    ``archived`` takes the latest. So a batch that runs twice gives the same table, and one cut short leaves the table as it was.
     """
+    spark, cols = readings.sparkSession, ["zone", "date", "ts", "channel", "serial", "value"]
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)  # an archive without days yet can be read
 
     def put(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("load_ord", F.lit(0).cast("long"))
-        try:
-            old = spark.read.parquet(f"{path}/version={epoch - 1}").withColumn("load_ord", F.lit(1).cast("long"))
-            new = new.select(*old.columns).unionByName(old)
-        except Exception:
-            if epoch:
-                raise
-        upsert(new, ["zone", "ts", "channel"]).write.mode("overwrite").parquet(f"{path}/version={epoch}")
+        new = batch.where("ts is not null and zone is not null").withColumn("date", F.to_date("ts")).select(*cols)
+        old = archived(batch.sparkSession, path, epoch).join(new.select("zone", "date").distinct(), ["zone", "date"], "left_semi").select(*cols)
+        both = new.withColumn("load_ord", F.lit(0).cast("long")).unionByName(old.withColumn("load_ord", F.lit(1).cast("long")))
+        days = upsert(both, ["zone", "date", "ts", "channel"]).repartition("zone", "date")  # a logger's day is a small group
+        days.write.mode("overwrite").partitionBy("zone", "date").parquet(f"{path}/epoch={epoch}")
 
     return readings.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -62,6 +62,9 @@ def test_weekly_takes_each_upload_once(spark, week):
     first = flows.weekly(spark, [f"{week}/in"], f"{week}/root", cfg, REGISTRY, now, ["2026-04-05", "2026-04-10"])
     again = flows.weekly(spark, [f"{week}/in"], f"{week}/root", cfg, REGISTRY, now + timedelta(days=1), ["2026-04-05", "2026-04-10"])
     assert (first["new_files"], again["new_files"]) == (3, 0)
+    assert first["sinks"] == {"log": "sent"} and first["sent"] > 0 and spark.read.json(f"{week}/root/alerts").count() == first["sent"] + again["sent"]
+    soon = flows.weekly(spark, [f"{week}/in"], f"{week}/root", cfg, REGISTRY, now + timedelta(days=1, hours=1), ["2026-04-05"])
+    assert soon["sent"] == 0  # all within the cool-down, whose state lasts between runs
     run = f"{week}/root/results/run={first['run']}"
     assert spark.read.parquet(f"{run}/summary").count() == 4 and spark.read.parquet(f"{run}/alerts").count() > 0
 

@@ -29,7 +29,8 @@ def test_upsert_is_the_batch_upsert(spark, tmp_path):
     live.upserted(r, f"{tmp_path}/arc", f"{tmp_path}/cp").awaitTermination()
     write(spark, f"{tmp_path}/in", 2, 5.0, first=1)
     live.upserted(live.read(spark, f"{tmp_path}/in", SCHEMA), f"{tmp_path}/arc", f"{tmp_path}/cp").awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/arc/version=1")
+    got = live.archived(spark, f"{tmp_path}/arc")
+    assert not list((tmp_path / "arc" / "epoch=1").rglob("date=2026-04-01"))  # a day that the batch has not
     assert got.count() == 72 and got.agg({"value": "sum"}).first()[0] == upsert(spark.read.parquet(f"{tmp_path}/in").selectExpr("*", "case when value - hour(ts) = 5 then 0L else 1L end as load_ord"), ["zone", "ts", "channel"]).agg({"value": "sum"}).first()[0]
 
 
