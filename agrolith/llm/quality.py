@@ -3,7 +3,7 @@
 Every measure of a document is an expression over its text; the verdict is the conjunction of the
 rules. There is no user function, no shuffle and no row that meets another. Values that several
 measures share are bound once, as the single element of an array under ``transform``.
-Repeated 3-word windows are told apart by a 64-bit hash within one text.
+Repeated 3-word windows meet by a sort on a 64-bit hash and then on their words, so the count is exact.
 
 Defined results: a null text counts as empty; an empty text has no words and fails. Repeated rows and
 ids are judged each on its own. An empty table gives an empty result. Further columns pass ``filtered``.
@@ -47,11 +47,14 @@ def _without(text: Column, characters: str) -> Column:
 
 def _repeated(words: Column, n: Column) -> Column:
     """Words in 3-word windows that the text has twice or more."""
-    window = lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("g"), i.alias("i"))
+    window = lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("g"), *[words[i + k].alias(f"w{k}") for k in range(3)], i.alias("i"))
     windows = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), window))
 
     def covered(s: Column) -> Column:
-        same = lambda x, i: F.coalesce(F.get(s, i)["g"] == x["g"], F.lit(False))
+        def same(x: Column, i: Column) -> Column:
+            y = F.get(s, i)
+            return F.coalesce((y["g"] == x["g"]) & (y["w0"] == x["w0"]) & (y["w1"] == x["w1"]) & (y["w2"] == x["w2"]), F.lit(False))
+
         at = F.filter(F.transform(s, lambda x, i: F.when(same(x, i - 1) | same(x, i + 1), x["i"])), lambda p: p.isNotNull())
         return F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(p, p + 1, p + 2)))))
 
