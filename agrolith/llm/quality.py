@@ -3,7 +3,7 @@
 Every measure of a document is an expression over its text; the verdict is the conjunction of the
 rules. There is no user function, no shuffle and no row that meets another. Values that several
 measures share are bound once, as the single element of an array under ``transform``.
-Repeated 3-word windows meet by a sort on a 64-bit hash and then on their words, so the count is exact.
+Repeated 3-word windows are found by a 64-bit hash; where windows of one hash differ, by their words, so the count is exact.
 
 Defined results: a null text counts as empty; an empty text has no words and fails. Repeated rows and
 ids are judged each on its own. An empty table gives an empty result. Further columns pass ``filtered``.
@@ -45,20 +45,34 @@ def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def _repeated(words: Column, n: Column) -> Column:
-    """Words in 3-word windows that the text has twice or more."""
-    window = lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("g"), *[words[i + k].alias(f"w{k}") for k in range(3)], i.alias("i"))
-    windows = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), window))
+def _repeated(words: Column, n: Column, hashed=F.xxhash64) -> Column:
+    """Words in 3-word windows that the text has twice or more.
 
-    def covered(s: Column) -> Column:
-        def same(x: Column, i: Column) -> Column:
-            y = F.get(s, i)
-            return F.coalesce((y["g"] == x["g"]) & (y["w0"] == x["w0"]) & (y["w1"] == x["w1"]) & (y["w2"] == x["w2"]), F.lit(False))
+    Windows are sorted by hash and place. If all neighbours of one hash have the same words, hashes tell windows apart; if not
+    (a place of -1), the words themselves are sorted.
+    """
+    there = lambda i: [words[i + k] for k in range(3)]
+    every = F.sequence(F.lit(0), n - 3)
+    words_in = lambda at: F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(p, p + 1, p + 2)))))
 
-        at = F.filter(F.transform(s, lambda x, i: F.when(same(x, i - 1) | same(x, i + 1), x["i"])), lambda p: p.isNotNull())
-        return F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(p, p + 1, p + 2)))))
+    def marked(s: Column, key: str, differ=None) -> Column:
+        same = lambda x, i: F.coalesce(F.get(s, i)[key] == x[key], F.lit(False))
 
-    return F.when(n >= 3, let(windows, covered)).otherwise(0)
+        def place(x: Column, i: Column) -> Column:
+            repeated = F.when(same(x, i - 1) | same(x, i + 1), x["i"])
+            return F.when(same(x, i - 1) & differ(x, F.get(s, i - 1)), -1).otherwise(repeated) if differ else repeated
+
+        return F.filter(F.transform(s, place), lambda p: p.isNotNull())
+
+    def differ(x: Column, y: Column) -> Column:
+        one, two, three = (a != b for a, b in zip(there(x["i"]), there(y["i"]), strict=True))
+        return one | two | three
+
+    by_words = F.sort_array(F.transform(every, lambda i: F.struct(F.array(*there(i)).alias("g"), i.alias("i"))))
+    by_hash = F.sort_array(F.transform(every, lambda i: F.struct(hashed(*there(i)).alias("g"), i.alias("i"))))
+    exact = lambda: let(by_words, lambda s: words_in(marked(s, "g")))
+    count = let(by_hash, lambda s: let(marked(s, "g", differ), lambda at: F.when(F.array_contains(at, -1), exact()).otherwise(words_in(at))))
+    return F.when(n >= 3, count).otherwise(0)
 
 
 def measures(text: Column) -> Column:

@@ -4,6 +4,7 @@ from collections import Counter
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from agrolith.llm import quality as Q
 from agrolith.llm.queries import ORACLE_SQL, op9_quality
@@ -68,3 +69,11 @@ def test_labels(spark):
 def test_one_projection(corpus):
     plan = Q.judge(corpus)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Exchange", "Python", "Arrow", "Generate"))
+
+
+def test_windows_of_one_hash_are_told_apart_by_words(make):
+    texts = ["a b c d e a b c x", "a b c a b c", "a b c d", "a a a a", "x y", "p q r s p q r t u v s p q"]
+    split = F.split("text", " ")
+    for hashed in (F.xxhash64, lambda *w: F.lit(7), lambda a, b, c: F.length(a)):
+        got = make(texts).select("doc_id", Q.let(split, lambda w: Q._repeated(w, F.size(w), hashed)).alias("n")).collect()
+        assert {r.doc_id: r.n for r in got} == {i: plain(t)[4] for i, t in enumerate(texts)}
