@@ -182,8 +182,12 @@ def test_rule_error_is_isolated(spark, cfg):
     def broken(grid, cfg, minutes):
         raise RuntimeError("no")
 
-    out = rules.run_all(frame(spark, {"temp": [1, 2, 99]}), cfg, 10, None, rules=(broken, rules.r03_out_of_range)).collect()
-    assert [r.rule for r in out] == ["R03_out_of_range", "R00_rule_error"]
+    def failing(grid, cfg, minutes):
+        return rules.r03_out_of_range(grid.withColumn("value", F.raise_error(F.lit("no")).cast("double")), cfg, minutes)
+
+    for bad in (broken, failing):  # planned, running
+        out = rules.run_all(frame(spark, {"temp": [1, 2, 99]}), cfg, 10, None, rules=(bad, rules.r03_out_of_range)).collect()
+        assert [r.rule for r in out] == ["R03_out_of_range", "R00_rule_error"]
 
 
 # --- intervals
