@@ -235,9 +235,10 @@ def run_all(grid: DataFrame, cfg: dict, minutes: float, lookback_days: int | Non
     """
     recent = written(G.window_of(grid, ["zone"], lookback_days, now), "window")
     plans = [(f.__name__, lambda f=f: f(recent, cfg, minutes)) for f in rules]
-    plans.append(("r11_transmittance", lambda: r11_transmittance(grid, cfg)))
+    whole = recent if lookback_days is None else grid
+    plans.append(("r11_transmittance", lambda: r11_transmittance(whole, cfg)))
     if now is not None:
-        plans.append(("r09_offline", lambda: r09_offline(grid, cfg, now)))
+        plans.append(("r09_offline", lambda: r09_offline(whole, cfg, now)))
     if report is not None:
         plans.append(("r12_errors", lambda: r12_errors(report, cfg)))
 
