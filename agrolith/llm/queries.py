@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.llm import lm, packing, pii, quality, sharding, simhash, toxicity, transducer, warc, winnowing
+from agrolith.llm import exact, lm, packing, pii, quality, sharding, simhash, toxicity, transducer, warc, winnowing
 from agrolith.llm.common import table
 
 
@@ -70,6 +70,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), lm.good(table(spark, sf_dir, "labels")))
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, pipeline)
+    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, op11_exact, pipeline)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
@@ -105,6 +109,10 @@ ORACLE_SQL: dict[str, str] = {
              o as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest, payload_bytes) else page_id end as original from d)
         select page_id, payload_bytes, payload_digest, case when original = page_id then 'response' else 'revisit' end as record_type,
                case when original <> page_id then original end as refers_to, true as intact from o""",
+    "op11_exact": """
+        with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x from documents)
+        select doc_id, max(doc_id) over (partition by x) as keep_id, count(*) over (partition by x) as group_size,
+               doc_id = max(doc_id) over (partition by x) as kept, sha256(x) as text_sha256 from t""",
     "op9_quality": rf"""
         with t as (select doc_id, coalesce(text, '') as x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
              g as (select doc_id, x, w, len(w) as n, [w[i:i + 2] for i in range(1, greatest(len(w) - 1, 1))] as g,
