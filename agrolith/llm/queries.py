@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.llm import exact, lm, packing, pii, quality, sharding, simhash, toxicity, transducer, warc, winnowing
+from agrolith.llm import exact, lm, packing, pii, quality, search, sharding, simhash, toxicity, transducer, warc, winnowing
 from agrolith.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +86,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, op11_exact, pipeline)
+    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, op11_exact, op13_search, pipeline)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
@@ -113,6 +117,17 @@ ORACLE_SQL: dict[str, str] = {
         with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x from documents)
         select doc_id, max(doc_id) over (partition by x) as keep_id, count(*) over (partition by x) as group_size,
                doc_id = max(doc_id) over (partition by x) as kept, sha256(x) as text_sha256 from t""",
+    "op13_search": r"""
+        with d as (select doc_id, row_number() over () as row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+             s as (select count(*)::bigint as n, sum(len(t))::bigint as l from d where len(t) > 0),
+             q as (select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+             p as (select row, any_value(doc_id) as doc_id, any_value(len(t)) as len, term, count(*) as tf from (select row, doc_id, t, unnest(t) as term from d) where term in (select term from q) group by row, term),
+             f as (select term, count(*) as df from p group by term),
+             x as (select item_id, row, any_value(doc_id) as doc_id,
+                          sum(floor(1000 * ln((2 * s.n + 2)::double / (2 * df + 1)::double))::bigint * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len * s.n) // s.l))))::bigint as score
+                   from q join p using (term) join f using (term), s group by item_id, row),
+             r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from x where score > 0)
+        select * from r where rank <= 50""",
     "op9_quality": rf"""
         with t as (select doc_id, coalesce(text, '') as x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
              g as (select doc_id, x, w, len(w) as n, [w[i:i + 2] for i in range(1, greatest(len(w) - 1, 1))] as g,
