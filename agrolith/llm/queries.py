@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.llm import exact, lm, packing, pii, quality, search, sharding, simhash, toxicity, transducer, warc, winnowing
+from agrolith.llm import exact, lm, packing, pii, quality, search, sharding, simhash, toxicity, transducer, turns, warc, winnowing
 from agrolith.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.report(turns.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, op11_exact, op13_search, pipeline)
+    for f in (op1_simhash, op2_warc, op3_pii, op4_toxicity, op5_packing, op6_sharding, op7_winnowing, op8_transducer, op9_quality, op10_lm, op11_exact, op12_turns, op13_search, pipeline)
 }
 
 _STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
