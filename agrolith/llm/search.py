@@ -1,7 +1,7 @@
 """Ranked lexical search on a two-level quantised index (operator 13).
 
 **Index.** Documents are gathered into blocks of about ``BLOCK`` bytes of text; a row of the index is a block: its
-documents and their lengths, its terms, and for each term the documents that hold it. The second level has how often
+documents and their lengths, its terms, and for each term the documents that hold it (two bytes each). The second level has how often
 they hold it; the first has one byte instead, the *impact*. A term that occurs tf times in a document of measure m adds
 w * r to a score, where r = 10^9 tf div (1000 tf + 20 m) < 10^6 and w is the term's weight. The impact is r in steps of
 ``STEP``, rounded up, so w * STEP * impact is never below w * r, and w * STEP * (impact - 1) never over it.
@@ -35,7 +35,7 @@ from agrolith.llm.common import column, materialise
 from agrolith.session import ship
 
 K = 50
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 DOCS = 1 << 16
 STEP = 4000
 QUERIES = 512
@@ -45,7 +45,7 @@ PARTS = 64
 #: What is no part of a term becomes a blank, A-Z become a-z; all bytes of other characters stay.
 _TERMS = bytes(c if c >= 0x80 or re.match(rb"[0-9a-z]", bytes([c])) else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
-INDEX = "n_docs long, n_terms long, doc_ids array<bigint>, lengths binary, terms array<string>, ends binary, docs binary, counts binary, wide int"
+INDEX = "doc_ids array<bigint>, lengths binary, terms binary, ends binary, docs binary, counts binary, wide int, impacts binary"
 
 
 def terms_of(text: bytes | None) -> list[bytes]:
@@ -67,8 +67,8 @@ def rates(counts: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * counts) // (1000 * counts + 20 * m)
 
 
-def _block(ids: list, texts: list[bytes | None]) -> pa.RecordBatch:
-    """One row of the index without impacts."""
+def _block(ids: list, texts: list[bytes | None], n: int, total: int) -> pa.RecordBatch:
+    """One row of the index."""
     known: dict[bytes, int] = {}
     place, counts, lengths, kinds = [], [], [], []
     for t in texts:
@@ -79,55 +79,55 @@ def _block(ids: list, texts: list[bytes | None]) -> pa.RecordBatch:
         kinds.append(len(own))
     place, counts, lengths = np.array(place, np.int64), np.array(counts, np.int64), np.array(lengths, np.int64)
     order = np.argsort(place, kind="stable")
-    docs = np.repeat(np.arange(len(ids)), kinds)[order].astype("<u2")
+    docs, counts = np.repeat(np.arange(len(ids)), kinds)[order].astype("<u2"), counts[order]
+    impacts = -(-rates(counts, measure(lengths, n, total)[docs]) // STEP)
     wide = np.min_scalar_type(counts.max(initial=0)).itemsize
-    ends = np.cumsum(np.bincount(place, minlength=len(known))).astype("<i8")
-    cells = [int((lengths > 0).sum()), int(lengths.sum()), ids, lengths.astype("<i8").tobytes(), [x.decode("utf-8", "replace") for x in known], ends.tobytes(), docs.tobytes(), counts[order].astype(f"<u{wide}").tobytes(), wide]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+    ends = np.cumsum(np.bincount(place, minlength=len(known))).astype("<i4")
+    cells = [ids, lengths.astype("<i8").tobytes(), b" ".join(known), ends.tobytes(), docs.tobytes(), counts.astype(f"<u{wide}").tobytes(), wide, impacts.astype(np.uint8).tobytes()]
+    kinds = [pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, kinds, strict=True)], names=[x.split()[0] for x in INDEX.split(", ")])
 
 
 def build(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int, int]:
     """The index as a table in the shared folder, the number of documents with terms, and of all their terms."""
     ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def count(batches):
+        n = total = 0
+        for b in batches:
+            for t in column(b, "text").cast(pa.binary()):
+                own = len(terms_of(t.as_py()))
+                n, total = n + (own > 0), total + own
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "total"])
+
+    n, total = (x or 0 for x in rows.select("text").mapInArrow(count, "n long, total long").agg(F.sum("n"), F.sum("total")).first())
 
     def gather(batches):
         ids, texts, size = [], [], 0
         for b in batches:
-            for i, t in zip(column(b, "doc_id").to_pylist(), column(b, "text").cast(pa.binary()).to_pylist(), strict=True):
+            for i, t in zip(column(b, "doc_id").to_pylist(), column(b, "text").cast(pa.binary()), strict=True):
                 ids.append(i)
-                texts.append(t)
-                size += len(t or b"")
+                texts.append(t.as_py())
+                size += len(texts[-1] or b"")
                 if size >= block or len(ids) == DOCS:
-                    yield _block(ids, texts)
+                    yield _block(ids, texts, n, total)
                     ids, texts, size = [], [], 0
         if ids:
-            yield _block(ids, texts)
-
-    blocks = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(gather, INDEX), "blocks")
-    n, total = (x or 0 for x in blocks.agg(F.sum("n_docs"), F.sum("n_terms")).first())
-
-    def quantise(batches):
-        for b in batches:
-            impacts = []
-            for lengths, docs_, counts, wide in zip(*(column(b, c).to_pylist() for c in ("lengths", "docs", "counts", "wide")), strict=True):
-                m = measure(np.frombuffer(lengths, "<i8"), n, total)
-                r = rates(np.frombuffer(counts, f"<u{wide}").astype(np.int64), m[np.frombuffer(docs_, "<u2")])
-                impacts.append((-(-r // STEP)).astype(np.uint8).tobytes())
-            yield b.append_column("impacts", pa.array(impacts, pa.binary()))
+            yield _block(ids, texts, n, total)
 
-    return materialise(blocks.mapInArrow(quantise, f"{INDEX}, impacts binary"), "index"), n, total
+    return materialise(rows.mapInArrow(gather, INDEX), "index"), n, total
 
 
-def _found(terms: list[str], ends: bytes, wanted: dict[str, int]):
+def _found(terms: bytes, ends: bytes, wanted: dict[bytes, int]):
     """Of the terms of a block those that are wanted: number of the term, first and end of its documents."""
-    stop = np.frombuffer(ends, "<i8")
-    for i, t in enumerate(terms):
+    stop = np.frombuffer(ends, "<i4")
+    for i, t in enumerate(terms.split()):
         if (k := wanted.get(t)) is not None:
             yield k, int(stop[i - 1]) if i else 0, int(stop[i])
 
 
-def frequencies(index: DataFrame, wanted: dict[str, int]) -> dict[int, int]:
+def frequencies(index: DataFrame, wanted: dict[bytes, int]) -> dict[int, int]:
     """In how many documents each wanted term occurs."""
     sent = index.sparkSession.sparkContext.broadcast(wanted)
 
@@ -150,7 +150,7 @@ class Plan:
         held = defaultdict(list)
         for q, t in enumerate(texts):
             for x in set(terms_of(t)):
-                held[x.decode("utf-8", "replace")].append(q)
+                held[x].append(q)
         self.size, self.terms = len(texts), {t: i for i, t in enumerate(held)}
         self.queries = [np.array(q) for q in held.values()]
         self.weights = np.zeros(len(held), np.int64)
@@ -175,8 +175,8 @@ def _rows(b: pa.RecordBatch, plan: Plan):
         cell = lambda c: column(b, c)[i].as_py()  # noqa: E731, B023
         found = [x for x in _found(cell("terms"), cell("ends"), plan.terms) if plan.weights[x[0]] > 0]
         if found:
-            docs, ids = np.frombuffer(cell("docs"), "<u2"), cell("doc_ids")
-            yield cell, found, docs, ids, *plan.bounds(found, len(ids), docs, np.frombuffer(cell("impacts"), np.uint8).astype(np.int64))
+            docs = np.frombuffer(cell("docs"), "<u2")
+            yield cell, found, docs, *plan.bounds(found, cell("size"), docs, np.frombuffer(cell("impacts"), np.uint8).astype(np.int64))
 
 
 def _best(df: DataFrame, group: str, order: list, k: int) -> DataFrame:
@@ -200,7 +200,7 @@ def _thresholds(index: DataFrame, plan: Plan, k: int) -> np.ndarray:
         q, at = np.nonzero(best > 0)
         yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(best[q, at])], names=["query", "low"])
 
-    low = index.select("doc_ids", "terms", "ends", "docs", "impacts").mapInArrow(run, "query int, low long")
+    low = index.select(F.size("doc_ids").alias("size"), "terms", "ends", "docs", "impacts").mapInArrow(run, "query int, low long")
     out = np.zeros(plan.size, np.int64)
     for r in _best(low, "query", [F.desc("low")], k).where(F.col("place") == k).collect():  # one a query
         out[r.query] = r.low
@@ -227,7 +227,7 @@ def _rescored(index: DataFrame, plan: Plan, least: np.ndarray, k: int, n: int, t
         plan, least = sent.value
         held = tuple(np.zeros(0, t) for t in (np.int64, np.int64, bool, np.int64))
         for b in batches:
-            for cell, found, docs, ids, upper, _ in _rows(b, plan):
+            for cell, found, docs, upper, _ in _rows(b, plan):
                 wanted = (upper > 0) & (upper >= least[:, None])
                 some = wanted.any(axis=0)
                 if not some.any():
@@ -240,13 +240,14 @@ def _rescored(index: DataFrame, plan: Plan, least: np.ndarray, k: int, n: int, t
                     if len(d):
                         score[plan.queries[t][:, None], d] += plan.weights[t] * rates(counts[first:end][own], m[d])
                 q, d = np.nonzero(wanted & (score > 0))
+                ids = cell("doc_ids")
                 known = np.array([x is not None for x in ids])
                 number = np.array([x or 0 for x in ids], np.int64)
                 held = _top(*(np.concatenate(x) for x in zip(held, (q, number[d], known[d], score[q, d]), strict=True)), k)
         query, doc, known, score = held
         yield pa.RecordBatch.from_arrays([pa.array(query.astype(np.int32)), pa.array(doc, mask=~known), pa.array(score)], names=["query", "doc_id", "score"])
 
-    return index.select("doc_ids", "terms", "ends", "docs", "impacts", "lengths", "counts", "wide").mapInArrow(run, RESULT)
+    return index.select("doc_ids", F.size("doc_ids").alias("size"), "terms", "ends", "docs", "impacts", "lengths", "counts", "wide").mapInArrow(run, RESULT)
 
 
 def _blocks(queries: DataFrame, most: int, size: int) -> DataFrame:
