@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrolith.session import written
+
 LOG = "fingerprint string, name string, bytes long, uploaded timestamp_ntz, path string"
 RESULTS = "run string, label string, memo string, created timestamp_ntz, tables long"
 
@@ -45,6 +47,47 @@ def save_uploads(spark: SparkSession, paths: list[str], log_path: str, now: date
     return spark.read.parquet(log_path).where(F.col("uploaded") == F.lit(now).cast("timestamp_ntz"))
 
 
+KEPT = "digest string, name string, bytes long, uploaded timestamp_ntz, path string, load long"
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/log")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], KEPT)
+    return spark.read.schema(KEPT).parquet(f"{root}/log")
+
+
+def keep(spark: SparkSession, paths: list[str], root: str, now: datetime) -> DataFrame:
+    """Copy files whose content is new into the store at ``root``; returns the log's rows of them (``KEPT``).
+
+    Tasks read the files and write each content under its SHA-256 (``objects/digest=...``), from where it is never changed:
+    a run that was cut short is repeated and writes the same bytes in the same place. A content counts as kept once the log
+    has it, which is written last. The uploads of one call are one load; loads are numbered in order.
+    """
+    files = spark.read.format("binaryFile").load(paths)
+    found = files.select(F.sha2("content", 256).alias("digest"), F.regexp_extract("path", "[^/]+$", 0).alias("name"), F.col("length").alias("bytes"), F.col("path").cast("string").alias("path"))
+    log = _log(spark, root)
+    rest = ["name", "bytes", "path"]
+    first = found.groupBy("digest").agg(F.min_by(F.struct(*rest), "path").alias("f")).select("digest", *[F.col(f"f.{c}").alias(c) for c in rest])
+    load = (log.agg(F.max("load")).first()[0] or 0) + 1
+    new = written(first.join(log.select("digest"), "digest", "left_anti").withColumns({"uploaded": F.lit(now).cast("timestamp_ntz"), "load": F.lit(load).cast("long")}), "uploads")
+    if new.isEmpty():
+        return new.select(*[c.split()[0] for c in KEPT.split(", ")])
+    objects = files.join(new.select("path", "digest"), "path").select("content", "digest")
+    objects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("digest").parquet(f"{root}/objects")
+    new.select(*[c.split()[0] for c in KEPT.split(", ")]).write.mode("append").parquet(f"{root}/log")
+    return new.select(*[c.split()[0] for c in KEPT.split(", ")])
+
+
+def stored(spark: SparkSession, root: str, loads: list[int] | None = None) -> DataFrame:
+    """``path, content, load`` of what the store keeps (of some loads), by the names that the files had; contents of which the bytes changed raise."""
+    log = _log(spark, root).groupBy("digest").agg(F.min_by("name", "load").alias("name"), F.min("load").alias("load"))
+    log = log if loads is None else log.where(F.col("load").isin(loads))
+    objects = spark.read.schema("content binary, digest string").parquet(f"{root}/objects")
+    same = F.when(F.sha2("content", 256) != F.col("digest"), F.raise_error(F.concat(F.lit("changed in the store: "), "digest")).cast("binary")).otherwise(F.col("content"))
+    return objects.join(log, "digest").select(F.concat_ws("/", "digest", "name").alias("path"), same.alias("content"), "load")
+
+
 def save_result(tables: dict[str, DataFrame], root: str, label: str, now: datetime, memo: str = "") -> str:
     """Write each table under a folder of its own run and note the run in the index."""
     spark = next(iter(tables.values())).sparkSession

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agrolith import config
 from agrolith.functions.names import column_order
-from agrolith.operators import alerts, archive, clean, daily, grid, health, intervals, reshape, rules, store, treatment
+from agrolith.operators import alerts, archive, clean, daily, grid, health, intervals, ledger, reshape, rules, store, treatment
 from agrolith.session import written
 from agrolith.sources import logger_files
 
@@ -44,6 +44,36 @@ def update_archive(spark: SparkSession, paths: list[str], path: str, registry: d
     return {"summary": archive.summary(kept), "report": report, "problems": problems, "serials": archive.serials(kept, ["zone"])}
 
 
+def _of_store(spark: SparkSession, root: str, registry: dict, cfg: dict, overrides: dict[str, str] | None, loads: list[int] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the store's files hold: readings by zone on the grid, with ``load``; the mapping report; files that could not be read."""
+    cells = written(logger_files.taken_apart(store.stored(spark, root, loads), overrides), "cells")
+    typed = logger_files.readings(cells, "load").withColumn("row", F.lit(0))
+    fresh = logger_files.deduplicated(typed, "load")
+    seconds = round(interval_of(fresh, cfg, ["serial"]) * 60)
+    named = archive.zone_of(grid.snapped(fresh, seconds), store.registry_table(spark, registry).select("serial", "zone"))
+    report = reshape.mapping_report(typed.withColumn("zone", F.col("serial")))
+    return named.select("zone", "serial", "ts", "channel", "base_var", "rep", "value", "load"), report, logger_files.problems(cells)
+
+
+def add_uploads(spark: SparkSession, paths: list[str], root: str, registry: dict, now: datetime, cfg: dict | None = None, overrides: dict[str, str] | None = None) -> dict:
+    """Exports into the store and, if their content is new, the days that they touch into the archive by days."""
+    cfg = cfg or config.load()
+    new = store.keep(spark, paths, f"{root}/uploads", now)
+    loads = [r.load for r in new.select("load").distinct().collect()]  # one
+    if not loads:
+        return {"new_files": 0}
+    fresh, report, problems = _of_store(spark, f"{root}/uploads", registry, cfg, overrides, loads)
+    ledger.add(spark, f"{root}/archive", fresh)
+    return {"new_files": new.count(), "report": report, "problems": problems}
+
+
+def rebuild(spark: SparkSession, root: str, registry: dict, cfg: dict | None = None, overrides: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The archive anew from the store alone, wherever the exports have gone; refused where a logger would lose readings."""
+    every, report, problems = _of_store(spark, f"{root}/uploads", registry, cfg or config.load(), overrides)
+    ledger.replace(spark, f"{root}/archive", every)
+    return {"report": report, "problems": problems}
+
+
 def monitor(readings: DataFrame, cfg: dict, now: datetime, lookback_days: int | None = 7, report: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Alerts and health of every zone at once."""
     minutes = interval_of(readings, cfg, ["zone"])
@@ -120,13 +150,14 @@ def preprocess(readings: DataFrame, cfg: dict, growth: DataFrame | None = None,
 
 
 def weekly(spark: SparkSession, paths: list[str], root: str, cfg: dict, registry: dict, now: datetime, surveys: list | None = None, sinks: dict | None = None) -> dict:
-    """New uploads into the archive, alerts of the whole archive, those due to the sinks (by default a log of JSON lines), and a stored run of the preprocessed tables."""
-    new = [r.path for r in store.save_uploads(spark, paths, f"{root}/uploads", now).select("path").collect()]  # names of new files
-    told = update_archive(spark, new, f"{root}/archive", registry, cfg) if new else {}
-    master = archive.read(spark, f"{root}/archive")
+    """New uploads into the store and the archive by days, alerts of the whole archive, those due to the sinks (by default a log of JSON lines), and a stored run of the preprocessed tables."""
+    told = add_uploads(spark, paths, root, registry, now, cfg)
+    master = ledger.read(spark, f"{root}/archive")
+    if told["new_files"]:
+        told |= {"summary": archive.summary(master), "serials": archive.serials(master, ["zone"])}
     found, state = monitor(master, cfg, now)
     sinks = sinks or {"log": lambda df: alerts.to_json(df, f"{root}/alerts", now)}
     new_alerts, outcome = send(found, cfg, now, f"{root}/alert_state", sinks)
     tables = preprocess(master, cfg, surveys=surveys)
     run = store.save_result({"alerts": found, "health": state, **tables}, f"{root}/results", "weekly", now)
-    return {"new_files": len(new), "run": run, "exit_code": alerts.exit_code(found), "sent": new_alerts.count(), "sinks": outcome, **told}
+    return {"run": run, "exit_code": alerts.exit_code(found), "sent": new_alerts.count(), "sinks": outcome, **told}

@@ -149,6 +149,8 @@ SQL: dict[str, str] = {
     "drift_trend": f"""with {LOG}, x as (select *, (date - min(date) over (partition by logger_id, sensor_id, variable))::double as x from lg), s as (select logger_id, sensor_id, variable, count(*) as n, count(*) * sum(x * deviation) - sum(x) * sum(deviation) as xy, count(*) * sum(x * x) - sum(x) * sum(x) as xx, arg_max(deviation, struct_pack(d := date, e := deviation)) as last_deviation from x group by all having count(*) >= 3)
         select logger_id, sensor_id, variable, n, round_even(case when xx > 0 then xy / xx end, 6) as slope_per_day, round_even(case when xx > 0 then xy / xx end * 365, 4) as slope_per_year, last_deviation from s""",
     "zone_upsert": f"""with {LOADS}, k as (select *, row_number() over (partition by zone, ts, channel order by case when value is null then 1 else 0 end, load_ord, serial) as rn, min(serial) over (partition by zone, ts, channel) as any_serial from l) select zone, ts, channel, case when value is null then any_serial else serial end as serial, value from k where rn = 1""",
+    "archive_increment": f"""with {LOADS}, k as (select zone, channel, serial, max(load_ord) as o from l group by all), n as (select *, row_number() over (partition by zone, channel order by o desc, serial) as rn from k)
+        select l.zone, l.ts, case when rn = 1 then l.channel else l.channel || '__rep' || rn end as channel, case when rn = 1 then 0 else rn end::int as rep, l.serial, coalesce(max(value) filter (load_ord = 0), max(value) filter (load_ord = 1)) as value from l join n using (zone, channel, serial) group by all""",
     "serial_concat": f"with {LOADS} select zone, ts, string_agg(distinct serial, '+' order by serial) as serial from l group by zone, ts",
     "collision_rename": f"""with {LOADS}, k as (select zone, channel, serial, min(load_ord) as o from l group by all), n as (select *, row_number() over (partition by zone, channel order by o, serial) as rn from k), m as (select *, 1 + row_number() over (partition by zone, channel order by o, serial) as k2 from n where rn > 1)
         select l.zone, l.serial, coalesce(m.channel || '__rep' || k2, l.channel) as channel, coalesce(k2, 0)::int as rep, count(*) as n from l left join m on l.zone = m.zone and l.serial = m.serial and l.channel = m.channel group by all""",
@@ -173,5 +175,6 @@ SQL |= {
     "alerts_by_zone": f"with a as ({_ALL}) select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
     "alerts_cooldown": f"with a as ({_ALL}) select key, level from a where level = 'CRITICAL' and zone <> '0'",
     "stream_daily": f"with {RAW} select zone, base_var as channel, ts::date as date, count(v) as n, avg(v) as mean, min(v) as min, max(v) as max from raw group by all",
+    "store_rebuild": f"with {R} select case when zone = '3' then 'L-1003' else 'house ' || zone end as zone, 'L-100' || zone as serial, ts, channel, value from r",
     "ingest_csv": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
 }

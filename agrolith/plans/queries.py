@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agrolith import config
 from agrolith.functions import expressions as X
-from agrolith.operators import alerts, archive, clean, daily, grid, health, intervals, reshape, rules, stats, store, treatment, verify
+from agrolith.operators import alerts, archive, clean, daily, grid, health, intervals, ledger, reshape, rules, stats, store, treatment, verify
 from agrolith.plans import inputs as I
 
 QUERIES: dict = {}
@@ -153,6 +153,23 @@ def ingest_csv(spark, sf):
     return logger_files.deduplicated(read).where("value is not null").select("serial", "ts", "channel", "value")
 
 
+@query
+def store_rebuild(spark, sf):
+    """Exports into the store, the exports deleted, the archive built from the store."""
+    import uuid
+
+    from agrolith.plans import flows
+    from agrolith.session import shared_root
+
+    root = f"{shared_root(spark)}/store-{uuid.uuid4().hex}"
+    _export(spark, sf, f"{root}/in")
+    store.keep(spark, [f"{root}/in/*/*/*.txt"], f"{root}/uploads", I.NOW)
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/in")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    flows.rebuild(spark, root, {"loggers": {f"L-100{z}": {"zone": f"house {z}"} for z in range(3)}}, config.load() | {"interval_minutes": I.MINUTES})
+    return ledger.read(spark, f"{root}/archive").where("value is not null").select("zone", "serial", "ts", "channel", "value")
+
+
 # --- cleaning and days
 
 
@@ -425,6 +442,20 @@ def zone_upsert(spark, sf):
     return archive.upsert(_loads(spark, sf))
 
 
+@query
+def archive_increment(spark, sf):
+    """Two loads, one after the other, into an archive by days."""
+    import uuid
+
+    from agrolith.session import shared_root
+
+    path = f"{shared_root(spark)}/archive-{uuid.uuid4().hex}"
+    loads = _loads(spark, sf).withColumn("load", 1 - F.col("load_ord"))
+    for n in (0, 1):
+        ledger.add(spark, path, loads.where(F.col("load") == n))
+    return ledger.read(spark, path).select("zone", "ts", "channel", "rep", "serial", "value")
+
+
 @query
 def serial_concat(spark, sf):
     return archive.serials(_loads(spark, sf), ["zone", "ts"])

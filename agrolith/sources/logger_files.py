@@ -22,46 +22,51 @@ _NAMES = [x.split()[0] for x in CELLS.split(", ")]
 
 def cells(spark: SparkSession, paths: str | list[str], overrides: dict[str, str] | None = None) -> DataFrame:
     """Every cell of every file (``CELLS``), batch by batch; problems have null cells."""
-    ship(spark)
     files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else paths)
+    return taken_apart(files.select("path", "content", F.lit(0).cast("long").alias("load")), overrides).drop("load")
+
+
+def taken_apart(files: DataFrame, overrides: dict[str, str] | None = None) -> DataFrame:
+    """``CELLS`` and ``load`` of files that a table has as rows: ``path, content, load``."""
+    ship(files.sparkSession)
 
     def run(batches):
         for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for path, content, load in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 name, rows = path.rsplit("/", 1)[-1], []
                 try:
                     for r in cells_of(content, name, overrides):
-                        rows.append((name, *r, None))
+                        rows.append((name, *r, None, load))
                         if len(rows) == 50_000:
                             yield _batch(rows)
                             rows = []
                 except Exception as e:  # one file's fault is reported as such
-                    rows.append((name, *[None] * 10, f"{type(e).__name__}: {e}"[:300]))
+                    rows.append((name, *[None] * 10, f"{type(e).__name__}: {e}"[:300], load))
                 if rows:
                     yield _batch(rows)
 
-    return files.select("path", "content").mapInArrow(run, CELLS)
+    return files.select("path", "content", "load").mapInArrow(run, f"{CELLS}, load long")
 
 
 def _batch(rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], names=_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [*_KINDS, pa.int64()], strict=True)], names=[*_NAMES, "load"])
 
 
 def problems(found: DataFrame) -> DataFrame:
     return found.where("problem is not null").select("file", "problem")
 
 
-def readings(found: DataFrame) -> DataFrame:
-    """``file, serial, model, ts, channel, base_var, rep, source, value, is_error`` of cells whose time can be read."""
-    typed = found.where("problem is null").select("file", "serial", "model", "row", parse_time(F.col("ts_raw")).alias("ts"), "channel", "base_var", "rep", "source", number(F.col("raw")).alias("value"), is_error(F.col("raw")).alias("is_error"))
+def readings(found: DataFrame, *more: str) -> DataFrame:
+    """``file, serial, model, ts, channel, base_var, rep, source, value, is_error`` and ``more`` of cells whose time can be read."""
+    typed = found.where("problem is null").select(*more, "file", "serial", "model", "row", parse_time(F.col("ts_raw")).alias("ts"), "channel", "base_var", "rep", "source", number(F.col("raw")).alias("value"), is_error(F.col("raw")).alias("is_error"))
     return typed.where("ts is not null")
 
 
-def deduplicated(read: DataFrame) -> DataFrame:
-    """One reading for each logger, time and channel: the first by file, then by row."""
+def deduplicated(read: DataFrame, *more: str) -> DataFrame:
+    """One reading for each logger, time and channel (and ``more``): the first by file, then by row."""
     from agrolith.operators.grid import keep_first
 
-    return keep_first(read, ["serial", "ts", "channel"], ["file", "row"])
+    return keep_first(read, ["serial", "ts", "channel", *more], ["file", "row"])
 
 
 def growth(spark: SparkSession, path: str, date_column: str = "date") -> DataFrame:
