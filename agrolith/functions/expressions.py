@@ -18,6 +18,13 @@ GENERIC_FORMATS = [
     "yyyy.MM.dd HH:mm:ss", "yyyy.MM.dd HH:mm", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yy HH:mm:ss", "MM/dd/yy HH:mm", "yyyy-MM-dd", "yyyy/MM/dd", "yyyy.MM.dd",
 ]
 
+#: What a file's times may all be written in, the first of equally good ones first; parts in brackets may lack.
+TIME_FORMATS = [
+    "yyyy-MM-dd[ HH:mm[:ss[.SSS]]]", "yyyy-MM-dd'T'HH:mm[:ss[.SSS]]", "yyyy/MM/dd[ HH:mm[:ss]]", "yyyy.MM.dd[ HH:mm[:ss]]",
+    "MM/dd/yyyy[ HH:mm[:ss]]", "MM/dd/yy HH:mm[:ss]", "MM/dd/yyyy hh:mm[:ss] a", "MM/dd/yy hh:mm[:ss] a",
+    "dd/MM/yyyy[ HH:mm[:ss]]", "dd/MM/yy HH:mm[:ss]", "dd.MM.yyyy[ HH:mm[:ss]]", "dd-MM-yyyy[ HH:mm[:ss]]",
+]
+
 # How exports name their logger.
 SERIAL_PATTERNS = [r"차트\s*제목\s*[:：]\s*([\w\-]+)", r"(?i)plot\s*title\s*[:：]\s*([\w\-]+)", r"(?i)LGR\s*S/N\s*[:：]\s*([\w\-]+)", r"(?i)serial(?:\s*number)?\s*[:：]\s*([\w\-]+)", r"(?i)\b(z6-\d{4,6})\b"]
 
@@ -70,6 +77,13 @@ def korean_time(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\s+", ""), ":+", ":"), ":+$", "")
 
 
+def time_by_format(raw: Column) -> list[Column]:
+    """The time in a cell by each of ``TIME_FORMATS`` and, Korean marks replaced, of ``KOREAN_FORMATS``; null where it does not fit."""
+    text = F.regexp_replace(trimmed(raw), r"([-/.])\s+(?=\d)", "$1")
+    tries = [F.try_to_timestamp(text, F.lit(f)) for f in TIME_FORMATS]
+    return [t.cast("timestamp_ntz") for t in tries + [F.try_to_timestamp(korean_time(trimmed(raw)), F.lit(f)) for f in KOREAN_FORMATS]]
+
+
 def parse_time(raw: Column) -> Column:
     """The time in a cell by the first format that fits, or null."""
     text = F.regexp_replace(trimmed(raw), r"([-/.])\s+(?=\d)", "$1")

@@ -71,17 +71,20 @@ def exit_code(alerts: DataFrame) -> int:
 
 
 def text(alerts: DataFrame, context: str = "", most: int = 500) -> str:
-    """A plain report of the worst ``most`` alerts; a report is for people, so it is limited."""
-    rows = by_severity(alerts).limit(most).collect()
-    head = [f"{context}: {len(rows)} alerts" if context else f"{len(rows)} alerts"]
+    """A plain report of the worst ``most`` alerts; a report is for people, so it is limited, and says how many it leaves out."""
+    rows, all_ = by_severity(alerts).limit(most).collect(), alerts.count()
+    head = [f"{context}: {all_} alerts" if context else f"{all_} alerts"]
+    if all_ > len(rows):
+        head.append(f"the worst {len(rows)} are listed, {all_ - len(rows)} are left out")
     return "\n".join(head + [f"[{r['level']}] {r['zone']} {r['rule']} {r['variable']}: {r['message']}" for r in rows])
 
 
 def markdown(alerts: DataFrame, context: str = "", health: DataFrame | None = None, most: int = 500) -> str:
     def grid(df: DataFrame, cols: list[str]) -> list[str]:
-        rows = df.select(*cols).limit(most).collect()
+        rows, all_ = df.select(*cols).limit(most).collect(), df.count()
         line = lambda xs: "| " + " | ".join("" if x is None else str(x) for x in xs) + " |"
-        return [line(cols), "|" + "---|" * len(cols), *map(line, rows)]
+        left = ["", f"{len(rows)} of {all_} rows; {all_ - len(rows)} are left out"] if all_ > len(rows) else []
+        return [line(cols), "|" + "---|" * len(cols), *map(line, rows), *left]
 
     out = [f"# Sensor report {context}".rstrip(), "", *grid(by_severity(alerts), ["level", "zone", "rule", "variable", "start", "end", "value", "message"])]
     if health is not None:

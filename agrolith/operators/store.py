@@ -88,12 +88,17 @@ def stored(spark: SparkSession, root: str, loads: list[int] | None = None) -> Da
     return objects.join(log, "digest").select(F.concat_ws("/", "digest", "name").alias("path"), same.alias("content"), "load")
 
 
-def save_result(tables: dict[str, DataFrame], root: str, label: str, now: datetime, memo: str = "") -> str:
-    """Write each table under a folder of its own run and note the run in the index."""
+def save_result(tables: dict[str, DataFrame], root: str, label: str, now: datetime, memo: str = "", kind: str = "parquet") -> str:
+    """Write each table under a folder of its own run, as Parquet or csv, and note the run in the index; a run of the same second and label gets a number."""
     spark = next(iter(tables.values())).sparkSession
-    run = f"{now:%Y%m%d-%H%M%S}-{label}"
+    first = run = f"{now:%Y%m%d-%H%M%S}-{label}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs, n = at.getFileSystem(spark._jsc.hadoopConfiguration()), 1
+    while not fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(root)) or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/run={run}")):
+        n += 1
+        run = f"{first}({n})"
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/run={run}/{name}")
+        df.write.mode("errorifexists").format(kind).options(**({"header": True} if kind == "csv" else {})).save(f"{root}/run={run}/{name}")
     spark.createDataFrame([(run, label, memo, now, len(tables))], RESULTS).write.mode("append").parquet(f"{root}/index")
     return run
 

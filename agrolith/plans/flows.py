@@ -105,12 +105,14 @@ def _blanked(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*df.columns)
 
 
-def preprocess(readings: DataFrame, cfg: dict, growth: DataFrame | None = None, surveys: list | None = None, sensor_map: dict | None = None, lag_days: int = 0, window_days: int | None = None, first_start=None, drop_incomplete: bool = False) -> dict[str, DataFrame]:
+def preprocess(readings: DataFrame, cfg: dict, growth: DataFrame | None = None, surveys: list | None = None, sensor_map: dict | None = None, lag_days: int | None = None, window_days: int | None = None, first_start=None, drop_incomplete: bool | None = None) -> dict[str, DataFrame]:
     """Readings to daily tables, survey intervals and, with growth measurements, matched rows; by treatment with a map.
 
-    Survey dates that are given stand before those of the growth table.
+    Survey dates that are given stand before those of the growth table; what is not given is as configured.
     """
-    spark = readings.sparkSession
+    spark, own = readings.sparkSession, cfg["intervals"]
+    lag_days, window_days = own["lag_days"] if lag_days is None else lag_days, window_days or own["window_days"]
+    drop_incomplete = own["drop_incomplete_days"] if drop_incomplete is None else drop_incomplete
     minutes = interval_of(readings, cfg, ["zone"])
     seconds = round(minutes * 60)
     snapped = grid.keep_first(grid.snapped(readings, seconds), ["zone", "ts", "channel", "base_var", "rep", "serial"], ["value"])

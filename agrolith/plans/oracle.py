@@ -19,6 +19,7 @@ def _alert(rule, variable, start, end, value, detail, level, source):
     return f"select zone, '{rule}' as rule, {level} as level, {variable} as variable, {start} as start, {end} as \"end\", ({value})::double as value, {detail} as detail, {key} as key from {source} where ({level}) is not null"
 
 
+_TRIES = ", ".join(f"try_strptime(x, '{f}')" for f in ("%Y-%m-%d", "%Y/%m/%d %H:%M", "%m/%d/%Y", "%m/%d/%Y %H:%M", "%d/%m/%Y", "%d.%m.%Y", "%d.%m.%Y %H:%M:%S"))
 _NONE = "cast(null as varchar)"
 _DATE = "date::timestamp"
 _DAY = ", date_trunc('day', ts)::date as date"
@@ -175,6 +176,13 @@ SQL |= {
     "alerts_by_zone": f"with a as ({_ALL}) select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
     "alerts_cooldown": f"with a as ({_ALL}) select key, level from a where level = 'CRITICAL' and zone <> '0'",
     "stream_daily": f"with {RAW} select zone, base_var as channel, ts::date as date, count(v) as n, avg(v) as mean, min(v) as min, max(v) as max from raw group by all",
+    "ingest_xlsx": f"with {R} select 'z6-0000' || zone as serial, case when channel in ('temp', 'rh') then '' else 'METER ZL6' end as model, ts, channel, value from r",
+    "time_format_vote": f"""with d as (select o_orderkey, 'f' || (o_custkey % 7) as file, o_custkey % 7 as k, o_orderdate::timestamp as d from orders),
+        t as (select o_orderkey, file, case when o_orderkey % 50 = 7 then 'broken' when k = 0 then strftime(d, '%d/%m/%Y') when k = 1 then strftime(d, '%m/%d/%Y %H:%M') when k = 2 then strftime(d, '%Y-%m-%d') when k = 3 then strftime(d, '%d.%m.%Y %H:%M:%S')
+                     when k = 4 then strftime(d, '%Y/%m/%d %H:%M') when k = 5 then case when day(d) <= 12 then strftime(d, '%d/%m/%Y') end else strftime(d, '%d.%m.%Y') end as x from d),
+        p as (select o_orderkey, file, unnest([{_TRIES}]) as ts, unnest(range(7)) as place from t),
+        v as (select file, place, count(ts) as n from p group by all), b as (select file, arg_max(place, n * 100 - place) as place from v group by file having max(n) > 0)
+        select p.o_orderkey, p.file, p.ts from p join b using (file, place)""",
     "store_rebuild": f"with {R} select case when zone = '3' then 'L-1003' else 'house ' || zone end as zone, 'L-100' || zone as serial, ts, channel, value from r",
     "ingest_csv": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,6 +154,50 @@ def ingest_csv(spark, sf):
     return logger_files.deduplicated(read).where("value is not null").select("serial", "ts", "channel", "value")
 
 
+def _workbooks(spark, sf) -> DataFrame:
+    """The readings as workbooks, one for each zone: two configurations that share the time, a raw sheet and metadata. ``path, content, load``."""
+    wide = reshape.pivot(I.readings(spark, sf), ["zone", "ts"], list(I.VARIABLES.values()))
+    wide = wide.withColumn("day", (F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000) + 25_569)
+
+    def write(zone):
+        from agrolith.sources.workbooks import workbook
+
+        zone, name = zone.sort_values("ts"), f"z6-{int(zone.zone.iloc[0]):05d}"
+
+        def sheet(columns):
+            rows = [(float(r[0]), *[None if x != x else x for x in r[1:]]) for r in zone[["day", *columns]].itertuples(index=False)]
+            return [[name, *[f"Port {i}" for i in range(1, len(columns) + 1)]], [f"{len(rows)} records", *["ATMOS"] * len(columns)], ["Timestamp", *[columns[c] for c in columns]], *rows]
+
+        one = sheet({"temp": "°C Air Temperature", "rh": "% Relative Humidity"})
+        two = sheet({"soil_temp": "°C Soil Temperature", "ppfd": "µmol·m⁻²·s⁻¹ PPFD", "solar": "W/m² Solar Radiation"})
+        book = workbook({"Processed Data Config 1": one, "Processed Data Config 2": two, "Raw Data Config 1": one[:3], "Metadata": [["z6"]]})
+        return pd.DataFrame([(f"{name}.xlsx", book, 0)], columns=["path", "content", "load"])
+
+    return wide.groupBy("zone").applyInPandas(write, "path string, content binary, load long")
+
+
+@query
+def ingest_xlsx(spark, sf):
+    """Workbooks with two configurations, read as events."""
+    from agrolith.session import written
+    from agrolith.sources import logger_files
+
+    cells = written(logger_files.taken_apart(written(_workbooks(spark, sf), "workbooks")).drop("load"), "cells")
+    return logger_files.deduplicated(logger_files.readings(cells)).where("value is not null").select("serial", "model", "ts", "channel", "value")
+
+
+@query
+def time_format_vote(spark, sf):
+    """Orders as files that write their dates in different ways, each file in one way, some of it unreadable."""
+    from agrolith.sources import logger_files
+
+    k, d = F.col("o_custkey") % 7, F.to_timestamp("o_orderdate")
+    text = F.when(F.col("o_orderkey") % 50 == 7, "broken").when(k == 0, F.date_format(d, "dd/MM/yyyy")).when(k == 1, F.date_format(d, "MM/dd/yyyy HH:mm")).when(k == 2, F.date_format(d, "yyyy-MM-dd"))
+    text = text.when(k == 3, F.date_format(d, "dd.MM.yyyy HH:mm:ss")).when(k == 4, F.date_format(d, "yyyy/MM/dd HH:mm")).when(k == 5, F.when(F.dayofmonth(d) <= 12, F.date_format(d, "dd/MM/yyyy"))).otherwise(F.date_format(d, "dd. MM. yyyy"))
+    rows = I.table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("f"), k.cast("string")).alias("file"), text.alias("ts_raw"))
+    return logger_files.timed(rows, ["file"]).select("o_orderkey", "file", "ts")
+
+
 @query
 def store_rebuild(spark, sf):
     """Exports into the store, the exports deleted, the archive built from the store."""

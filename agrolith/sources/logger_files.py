@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolith.functions.expressions import is_error, number, parse_time
+from agrolith.functions.expressions import KOREAN_FORMATS, TIME_FORMATS, is_error, number, time_by_format
 from agrolith.session import ship
 from agrolith.sources.parsing import cells_of
 
@@ -56,9 +56,36 @@ def problems(found: DataFrame) -> DataFrame:
     return found.where("problem is not null").select("file", "problem")
 
 
+def time_formats(found: DataFrame, keys: list[str], raw: str = "ts_raw") -> DataFrame:
+    """``keys, format, place, share``: the one format that most times of each file fit, of equally good ones the first; none where none fits any.
+
+    One pass that counts what each format reads, combined before the shuffle: a file, however large, is a row.
+    """
+    formats = TIME_FORMATS + KOREAN_FORMATS
+    has = F.col(raw).isNotNull() & (F.trim(F.col(raw)) != "")
+    counts = found.where(has).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.count(t).alias(f"f{i}") for i, t in enumerate(time_by_format(F.col(raw)))])
+    best = F.array_max(F.array(*[F.struct(F.col(f"f{i}").alias("n"), F.lit(-i).alias("place"), F.lit(f).alias("format")) for i, f in enumerate(formats)]))
+    voted = counts.select(*keys, "n", best.alias("b")).where("b.n > 0")
+    return voted.select(*keys, F.col("b.format").alias("format"), (-F.col("b.place")).alias("place"), (F.col("b.n") / F.col("n")).alias("share"))
+
+
+def timed(found: DataFrame, keys: list[str], raw: str = "ts_raw") -> DataFrame:
+    """``found`` with ``ts``, each file's times read in its one format; what does not fit it is null."""
+    votes = time_formats(found, keys, raw).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("place").alias("_place"))
+    both = found.join(votes, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], "left")  # votes: a row for each file
+    ts = None
+    for i, t in enumerate(time_by_format(F.col(raw))):
+        ts = F.when(F.col("_place") == i, t) if ts is None else ts.when(F.col("_place") == i, t)
+    return both.select(*found.columns, ts.alias("ts"))
+
+
 def readings(found: DataFrame, *more: str) -> DataFrame:
-    """``file, serial, model, ts, channel, base_var, rep, source, value, is_error`` and ``more`` of cells whose time can be read."""
-    typed = found.where("problem is null").select(*more, "file", "serial", "model", "row", parse_time(F.col("ts_raw")).alias("ts"), "channel", "base_var", "rep", "source", number(F.col("raw")).alias("value"), is_error(F.col("raw")).alias("is_error"))
+    """``file, serial, model, ts, channel, base_var, rep, source, value, is_error`` and ``more`` of cells whose time can be read.
+
+    Times are read in one format for each file and sheet (and ``more``).
+    """
+    known = timed(found.where("problem is null"), ["file", "sheet", *more])
+    typed = known.select(*more, "file", "serial", "model", "row", "ts", "channel", "base_var", "rep", "source", number(F.col("raw")).alias("value"), is_error(F.col("raw")).alias("is_error"))
     return typed.where("ts is not null")
 
 

@@ -1,6 +1,8 @@
 """Bytes of one logger export to rows of cells: encodings, ragged CSV, xlsx, headers, the time column.
 
-These are small helpers over one file; Spark reads the files and spreads them over tasks.
+These are small helpers over one file; Spark reads the files and spreads them over tasks. Sheets of workbooks are read as
+events, a row at a time, twice: for what the columns are, and for the cells. What is held of a workbook is its compressed bytes, its
+shared strings as one block of bytes, and the first rows of a sheet.
 """
 
 from __future__ import annotations
@@ -8,8 +10,12 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from array import array
 from collections import Counter
+from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import partial
+from itertools import islice
 from xml.etree import ElementTree
 
 from agrolith.functions import names
@@ -59,19 +65,66 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def workbook(data: bytes) -> dict[str, list[list[str]]]:
-    """The cells of each sheet of an xlsx file as text; dates as ISO text."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        inside = set(z.namelist())
-        read = lambda n: ElementTree.fromstring(z.read(n))
-        shared = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in read("xl/sharedStrings.xml").iter(f"{_MAIN}si")] if "xl/sharedStrings.xml" in inside else []
-        dates = _date_styles(read("xl/styles.xml")) if "xl/styles.xml" in inside else set()
-        targets = {r.get("Id"): r.get("Target") for r in read("xl/_rels/workbook.xml.rels")}
-        out = {}
-        for s in read("xl/workbook.xml").iter(f"{_MAIN}sheet"):
-            target = targets[s.get(f"{_REL}id")].lstrip("/")
-            out[s.get("name")] = _sheet(read(target if target.startswith("xl/") else f"xl/{target}"), shared, dates)
-        return out
+def _events(file, tag: str) -> Iterator:
+    """Elements of that name as they end, each let go before the next."""
+    open_: list = []
+    for event, x in ElementTree.iterparse(file, events=("start", "end")):
+        if event == "start":
+            open_.append(x)
+            continue
+        open_.pop()
+        if x.tag == tag:
+            yield x
+            open_[-1].remove(x)  # the first that is left
+
+
+class Strings:
+    """Shared strings as one block of bytes with the end of each."""
+
+    def __init__(self, file=None):
+        block, self.ends = io.BytesIO(), array("Q", [0])
+        for x in _events(file, f"{_MAIN}si") if file else ():
+            block.write("".join(t.text or "" for t in x.iter(f"{_MAIN}t")).encode())
+            self.ends.append(block.tell())
+        self.block = memoryview(block.getvalue())
+
+    def __getitem__(self, i: int) -> str:
+        return str(self.block[self.ends[i] : self.ends[i + 1]], "utf-8")
+
+
+class Workbook:
+    """The sheets of an xlsx file; cells as text, dates as ISO text."""
+
+    def __init__(self, data: bytes):
+        self.zip = zipfile.ZipFile(io.BytesIO(data))
+        inside = set(self.zip.namelist())
+        read = lambda n: ElementTree.fromstring(self.zip.read(n))
+        self.strings = Strings(self.zip.open("xl/sharedStrings.xml") if "xl/sharedStrings.xml" in inside else None)
+        self.dates = _date_styles(read("xl/styles.xml")) if "xl/styles.xml" in inside else set()
+        targets = {r.get("Id"): r.get("Target").lstrip("/") for r in read("xl/_rels/workbook.xml.rels")}
+        place = {s.get("name"): targets[s.get(f"{_REL}id")] for s in read("xl/workbook.xml").iter(f"{_MAIN}sheet")}
+        self.sheets = {n: t if t.startswith("xl/") else f"xl/{t}" for n, t in place.items()}
+
+    def rows(self, sheet: str) -> Iterator[list[str]]:
+        """Rows with any text, each as long as its last cell."""
+        with self.zip.open(self.sheets[sheet]) as file:
+            for row in _events(file, f"{_MAIN}row"):
+                cells: dict[int, str] = {}
+                for i, c in enumerate(row.iter(f"{_MAIN}c")):
+                    cells[_column(c.get("r")) if c.get("r") else i] = self._text(c).strip()
+                if any(cells.values()):
+                    yield [cells.get(i, "") for i in range(max(cells) + 1)]
+
+    def _text(self, c) -> str:
+        v, kind = c.find(f"{_MAIN}v"), c.get("t")
+        text = "" if v is None else v.text or ""
+        if kind == "s" and text:
+            return self.strings[int(text)]
+        if kind == "inlineStr":
+            return "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
+        if text and kind in (None, "n") and int(c.get("s", 0)) in self.dates:
+            return (datetime(1899, 12, 30) + timedelta(microseconds=round(float(text) * 86400 * 1000) * 1000)).isoformat(sep=" ", timespec="seconds")
+        return text
 
 
 def _date_styles(styles) -> set[int]:
@@ -81,25 +134,6 @@ def _date_styles(styles) -> set[int]:
     return {k for k, x in enumerate(cells if cells is not None else []) if is_date(int(x.get("numFmtId", 0)))}
 
 
-def _sheet(root, shared: list[str], dates: set[int]) -> list[list[str]]:
-    rows = []
-    for row in root.iter(f"{_MAIN}row"):
-        cells: dict[int, str] = {}
-        for i, c in enumerate(row.iter(f"{_MAIN}c")):
-            v, kind = c.find(f"{_MAIN}v"), c.get("t")
-            text = "" if v is None else v.text or ""
-            if kind == "s" and text:
-                text = shared[int(text)]
-            elif kind == "inlineStr":
-                text = "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
-            elif text and kind in (None, "n") and int(c.get("s", 0)) in dates:
-                text = (datetime(1899, 12, 30) + timedelta(microseconds=round(float(text) * 86400 * 1000) * 1000)).isoformat(sep=" ", timespec="seconds")
-            cells[_column(c.get("r")) if c.get("r") else i] = text.strip()
-        rows.append([cells.get(i, "") for i in range(max(cells, default=-1) + 1)])
-    width = max(map(len, rows), default=0)
-    return [r + [""] * (width - len(r)) for r in rows if any(r)]
-
-
 def header_row(rows: list[list[str]], most: int = 20) -> int:
     """The first row with a cell that is a time column's name, else the first with one that holds such a name, else 0."""
     for test in (lambda c: c in TIME_NAMES, lambda c: any(k in c for k in ("timestamp", "date", "time", "일시", "날짜", "시각"))):
@@ -157,25 +191,39 @@ def _numeric(c: str) -> bool:
     return low not in MISSING_TOKENS and low not in ERROR_TOKENS and bool(re.match(NUMBER, c))
 
 
+#: Rows in which the header, the logger's name and the time column are looked for.
+HEAD = 440
+
+
 def cells_of(data: bytes, filename: str, overrides: dict[str, str] | None = None):
-    """``sheet, serial, model, row, ts_raw, source, channel, base_var, rep, raw`` of every cell with a channel."""
+    """``sheet, serial, model, row, ts_raw, source, channel, base_var, rep, raw`` of every cell with a channel, row by row."""
     if re.search(r"(?i)\.(csv|txt|tsv)$", filename):
-        tables = {"": ragged(decoded(data), "\t" if filename.lower().endswith(".tsv") else None)}
+        lines = ragged(decoded(data), "\t" if filename.lower().endswith(".tsv") else None)
+        tables = {"": lambda: iter(lines)}
     else:
-        book = workbook(data)
-        tables = {n: book[n] for n in names.sheets(list(book))}
+        book = Workbook(data)
+        tables = {n: partial(book.rows, n) for n in names.sheets(list(book.sheets))}
     for sheet, rows in tables.items():
-        if not rows:
+        head = list(islice(rows(), HEAD))
+        if not head:
             continue
-        at = header_row(rows)
-        columns, body = column_names(rows, at), rows[at + 1 :]
-        when = time_columns(columns, body)
+        at, width, numbers = header_row(head), 0, set()
+        for n, r in enumerate(rows()):
+            width = max(width, len(r))
+            if n > at:
+                numbers.update(i for i, c in enumerate(r) if i not in numbers and _numeric(c))
+        wide = lambda r: r + [""] * (width - len(r))  # noqa: E731, B023
+        head = list(map(wide, head))
+        columns = column_names(head, at)
+        when = time_columns(columns, head[at + 1 :])
         if when is None:
             raise ValueError(f"{filename}: no time column found")
-        serial, model = serial_in(rows, filename, bool(sheet)), names.model_of([*columns, *rows[0]])
-        usable = {c: any(_numeric(r[i]) for r in body) for i, c in enumerate(columns) if i not in when}
+        serial, model = serial_in(head, filename, bool(sheet)), names.model_of([*columns, *head[0]])
+        usable = {c: i in numbers for i, c in enumerate(columns) if i not in when}
         place = {c: i for i, c in enumerate(columns)}
-        for ch in names.channels(columns, usable, overrides, tuple(columns[i] for i in when)):
-            i = place[ch["source"]]
-            for n, r in enumerate(body):
-                yield sheet, serial, model, n, " ".join(r[w] for w in when), ch["source"], ch["channel"], ch["base_var"], ch["rep"], r[i]
+        found = [(place[ch["source"]], (ch["source"], ch["channel"], ch["base_var"], ch["rep"])) for ch in names.channels(columns, usable, overrides, tuple(columns[i] for i in when))]
+        for n, r in enumerate(islice(rows(), at + 1, None)):
+            r = wide(r)
+            ts = " ".join(r[w] for w in when)
+            for i, told in found:
+                yield sheet, serial, model, n, ts, *told, r[i]
