@@ -8,7 +8,7 @@ least ``LEAST`` bytes share one response, that of the largest id; the others bec
 into compressed blocks of ``BLOCK`` lines (level one), and returns the sparse directory of
 blocks, a row each with the first and last key (level two).
 
-``lookup`` sends each key to the directory segment that can hold it, where a binary search finds the
+``lookup`` sends each key by way of a top level to the directory segment that can hold it, where a binary search finds the
 block, and reads that block's range alone. ``fetch`` then reads the records' ranges, file by file.
 
 Retries are safe: a file's name holds a token of its own attempt, and only files named in the
@@ -43,7 +43,10 @@ ARCHIVE = 64_000_000
 BLOCK = 512
 #: Directory rows searched together.
 SEGMENT = 64
-SALTS = 8
+#: Segments under one row of the top level.
+FAN = 64
+#: Groups of equal payloads that are sent to all tasks, at most; more meet their pages in a shuffle.
+SENT = 100_000
 CAPTURES = "key string, path string, offset long, length long"
 DIRECTORY = "segment string, first_key string, last_key string, path string, offset long, length long, lines long"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, intact boolean"
@@ -63,7 +66,8 @@ def surt(url: str) -> str:
     if not host:
         return url
     default = {"http": 80, "https": 443}.get(parts.scheme)
-    return ",".join(reversed(host.split("."))) + (f":{port}" if port and port != default else "") + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+    number = ":" in host or re.fullmatch(r"[0-9.]+", host)  # an address of numbers is read from the left as it is
+    return (host if number else ",".join(reversed(host.split(".")))) + (f":{port}" if port and port != default else "") + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
 def capture_key(url: str | None, page: int | None) -> str:
@@ -137,15 +141,27 @@ class _Files:
             self.file = None
 
 
-def with_originals(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """``page_id, url, html, size, digest, refers_to``. Equal payloads are dealt to ``SALTS`` tasks each."""
+def with_originals(pages: DataFrame, least: int = LEAST, sent: int = SENT) -> DataFrame:
+    """``page_id, url, html, size, digest, refers_to``.
+
+    Groups of equal payloads are found by digest and size, without the payloads. Where they are few they are sent to
+    the pages, which then move nowhere; else pages are dealt by digest, those of a large group in parts of even size.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.octet_length(html).alias("size"), F.sha1(html.cast("binary")).alias("digest"))
-    shared = own.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = own.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    shared = own.where(F.col("size") >= least).groupBy("digest", "size").agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialise(shared, "shared")
+    groups, rows = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if groups <= sent:
+        joined = own.join(F.broadcast(shared), ["digest", "size"], "left")
+    else:
+        fair = max(rows // 256, 1000)
+        hot = shared.where(F.col("n") > fair).select("digest", "size", F.ceil(F.col("n") / fair).cast("int").alias("parts"))  # under 256
+        cut = lambda df: df.join(F.broadcast(hot), ["digest", "size"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        each = cut(shared).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        joined = cut(own).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int")).join(each, ["digest", "size", "part"], "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("original")), F.col("original")).alias("refers_to")
-    return salted.join(shared, ["digest", "size", "salt"], "left").select("page_id", "url", "html", "size", "digest", refers)
+    return joined.select("page_id", "url", "html", "size", "digest", refers)
 
 
 def write(pages: DataFrame, folder: str, least: int = LEAST, archive: int = ARCHIVE, level: int = 3, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -207,16 +223,20 @@ def keys(pages: DataFrame) -> DataFrame:
 def lookup(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """The captures (``CAPTURES``) of the keys in ``wanted``, by binary search and range reads of blocks.
 
-    The segments' ends come to the driver: one row for ``SEGMENT * BLOCK`` captures.
+    The ends of the top level alone are sent to tasks: a row for ``FAN * SEGMENT * BLOCK`` captures (2 million), and one for each task
+    that wrote the index. Keys meet the segments under their top row in a join by that row.
     """
-    ends = sorted(tuple(r) for r in directory.groupBy("segment").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b")).select("a", "b", "segment").collect())
-    sent = wanted.sparkSession.sparkContext.broadcast(([e[0] for e in ends], [e[1] for e in ends], [e[2] for e in ends]))
+    name = F.split("segment", "-")
+    ends = directory.groupBy("segment").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b"))
+    ends = materialise(ends.withColumn("top", F.concat_ws("-", name[0], F.floor(name[1].cast("long") / FAN).cast("string"))), "segments")
+    tops = sorted(tuple(r) for r in ends.groupBy("top").agg(F.min("a").alias("a"), F.max("b").alias("b")).select("a", "b", "top").collect())
+    sent = wanted.sparkSession.sparkContext.broadcast(([e[0] for e in tops], [e[1] for e in tops], [e[2] for e in tops]))
 
     def deal(batches):
         first, last, names = sent.value
         for b in batches:
             out = [(names[i], k) for k in column(b, "key").to_pylist() for i in range(bisect_left(last, k), bisect_right(first, k))]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["segment", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["top", "key"])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = sorted(right.select(["first_key", "last_key", "path", "offset", "length"]).to_pylist(), key=lambda r: r["first_key"])
@@ -237,7 +257,7 @@ def lookup(wanted: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
         kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
         return pa.table({n: pa.array([x[i] for x in out], kinds[i]) for i, n in enumerate(("key", "path", "offset", "length"))})
 
-    dealt = wanted.mapInArrow(deal, "segment string, key string")
+    dealt = wanted.mapInArrow(deal, "top string, key string").join(ends, "top").where("key between a and b").select("segment", "key")
     return dealt.groupBy("segment").cogroup(directory.groupBy("segment")).applyInArrow(search, CAPTURES)
 
 

@@ -81,6 +81,25 @@ def test_archives_are_plain_warc(spark, sf):
     assert n == captures.where(F.col("path") == path).count()
 
 
-@pytest.mark.parametrize("url, key", [("http://Blog.Example.com/a?b", "com,example,blog)/a?b"), ("https://x.org:8080", "org,x:8080)/"), ("http://x.org:80/p#f", "org,x)/p"), ("no host", "no host")])
+@pytest.mark.parametrize("url, key", [("http://Blog.Example.com/a?b", "com,example,blog)/a?b"), ("https://x.org:8080", "org,x:8080)/"), ("http://x.org:80/p#f", "org,x)/p"), ("no host", "no host"), ("http://10.1.2.3/x", "10.1.2.3)/x"), ("http://[::1]:8/", "::1:8)/")])
 def test_reversed_hosts(url, key):
     assert W.surt(url) == key
+
+
+def test_many_groups_meet_their_pages_in_a_shuffle(spark):
+    rows = [(i, "u", f"payload {i % 7} " * 200) for i in range(50)] + [(100 + i, f"u{i % 3}", "hot " * 400) for i in range(3000)] + [(None, "n", "hot " * 400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    key = lambda r: (r.page_id, r.size, r.digest, r.refers_to)
+    assert sorted(map(key, W.with_originals(df, sent=0).collect()), key=str) == sorted(map(key, W.with_originals(df).collect()), key=str)
+
+
+def test_segments_under_a_top_level(spark, sf, monkeypatch):
+    """Many segments under several rows of the top level; keys at their ends and keys that lie nowhere."""
+    monkeypatch.setattr(W, "FAN", 3)
+    monkeypatch.setattr(W, "SEGMENT", 2)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    folder = W.scratch(spark, "t")
+    directory = W.build_index(W.write(pages, f"{folder}/archive"), f"{folder}/index", block=4)
+    assert directory.select("segment").distinct().count() > 12
+    wanted = W.keys(pages).union(spark.createDataFrame([("a",), ("com,zz)/ 1",), ("~",)], "key string"))
+    assert W.lookup(wanted, directory, f"{folder}/index").count() == pages.count()
