@@ -4,7 +4,8 @@ Base spans come from patterns over the source text itself. Then a chain of trans
 the text: look-alike letters and digits, spelled digits ("plus four nine ..."), and the at/dot
 disguises ("name (at) host dot org"). Each transducer keeps, for every character that it writes,
 the source span that it stands for, and the chain composes them; the same detectors run over the
-rewritten text, and what they find is mapped back to source characters. Spans that meet a base
+rewritten text, and what they find is mapped back to source characters. An address whose "at" is a word and whose dots are
+signs ("look at host.se") is taken for one with a known ending alone; where a dot is a word too, with any, unless a word like "the" stands before it. Spans that meet a base
 span of their kind add nothing. Base spans are never changed.
 
 All scans are linear in the text: an e-mail is looked for around each ``@`` and an address from the
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolith.llm.common import column, text_column
+from agrolith.session import ship
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -38,8 +40,10 @@ LOOKALIKES = {
 }
 # Names of digits and of signs.
 SPELLED = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9", "plus": "+", "dot": ".", "point": ".", "dash": "-", "hyphen": "-"}
-# Endings that make "x at y dot z" an address and not a sentence.
+# Endings that make "x at y.z" an address and not a sentence; after a written "dot" any letters are an ending.
 ENDINGS = "com|org|net|edu|gov|info|biz|io|co|ai|dev|app|eu|uk|us|de|fr|es|it|nl|ch|at|be|pt|pl|kr|jp|cn|in|br|mx|ca|au|ru"
+# Words before a noun, so that "look at the dot on it" is a sentence.
+DETERMINERS = "the|a|an|this|that|each|every|any|some|no|one|my|your|his|her|its|our|their"
 INVISIBLE = "­​‌‍⁠﻿"
 
 _local = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -53,7 +57,8 @@ _word = re.compile(r"[A-Za-z]+")
 _bracketed = re.compile(r"[(\[{<]\s*(at|dot|@|\.)\s*[)\]}>]", re.I)
 _asked = re.compile(r"@|\sat\s", re.I)
 _chain = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:(?:[.]|\s+dot\s+)[A-Za-z0-9_%+-]++)*+", re.I)
-_worded = re.compile(rf"(?:\s+at\s+|@)[A-Za-z0-9-]+(?:(?:[.]|\s+dot\s+)[A-Za-z0-9-]+)*(?:[.]|\s+dot\s+)(?:{ENDINGS})(?![A-Za-z0-9-])", re.I)
+_host = r"(?:\s+at\s+|@)[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)*"
+_worded = re.compile(rf"(?!\s+at\s+(?:{DETERMINERS})\s){_host}\s+dot\s+(?:[A-Za-z0-9-]+(?:[.]|\s+dot\s+))*[A-Za-z]{{2,24}}(?![A-Za-z0-9-])|{_host}[.](?:{ENDINGS})(?![A-Za-z0-9-])", re.I)
 _sign = re.compile(r"\s+(at|dot)\s+", re.I)
 
 
@@ -226,6 +231,7 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
 
 def detect(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``base`` and ``spans``: arrays of kind, start and end (exclusive) in code points."""
+    ship(docs.sparkSession)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
@@ -252,6 +258,7 @@ def masked(text: str) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data masked in ``text``; a column ``n_chars`` follows the new text. Null texts stay null."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf("string")
     def mask(texts):
