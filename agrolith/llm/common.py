@@ -68,6 +68,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column is called that."""
+    known = {c.lower() for c in columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def buckets_for(rows: int, per_bucket: int) -> int:
     """How many buckets keep each near ``per_bucket`` rows."""
     return max(1, -(-rows // per_bucket))

@@ -54,7 +54,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import column, hash_sample, materialise, sendable, spread, text_column
+from agrolith.llm.common import column, fresh, hash_sample, materialise, sendable, spread, text_column
+from agrolith.session import ship
 
 BITS = 64
 SHINGLE = 4
@@ -435,6 +436,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle: int = SHINGLE, sample: int = SAMPLE, shard: int = SHARD) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (the least doc_id reachable)."""
+    ship(docs.sparkSession)
     prints = materialise(fingerprints(docs, shingle), "fingerprints")
     points = materialise(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "points")
     return _named(prints, points, components(links(points, max_distance, sample, shard)), ["fp"], ["fp"])
@@ -456,7 +458,8 @@ def distance_for(similarity: float, words: int = WORDS) -> int:
 
 def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, words: int = WORDS) -> DataFrame:
     """Columns of ``near_duplicates``: components of texts whose sets of shingles are that similar, each link checked exactly."""
-    names = columns(words)
+    ship(docs.sparkSession)
+    names, docs = columns(words), docs.select("doc_id", "text")
     prints = materialise(shingled(docs, shingle, words), "shingled")
     points = prints.where("doc_id is not null").groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), *[F.first(c).alias(c) for c in names])
     points = materialise(points, "points")
@@ -469,11 +472,12 @@ def deduplicated(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, wor
     Rows with a null ``doc_id`` stay. Of rows that repeat the kept id, one stays, the first by the hash of its text.
     """
     found = materialise(similar(docs, similarity, shingle, words).select("doc_id", "component_id"), "components")
-    gone = materialise(found.where("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(sendable(gone, gone.count()), F.col("doc_id") == F.col("_gone"), "left_anti")
+    id_, place, alone = (fresh(docs.columns, n) for n in ("gone", "place", "alone"))  # further columns may have any name
+    gone = materialise(found.where("doc_id > component_id").select(F.col("doc_id").alias(id_)).distinct(), "gone")
+    kept = docs.join(sendable(gone, gone.count()), F.col("doc_id") == F.col(id_), "left_anti")
     again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():  # ids are unique: no row needs to meet another
         return kept
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    first = W.partitionBy("doc_id", "_alone").orderBy(F.xxhash64("text"))
-    return kept.withColumn("_alone", alone).withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+    first = W.partitionBy("doc_id", alone).orderBy(F.xxhash64("text"))
+    own = kept.withColumn(alone, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return own.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*[f"`{c}`" for c in docs.columns])

@@ -208,3 +208,15 @@ def test_hot_groups_and_repeated_ids(spark):
     points = S.shingled(docs, 5, S.WORDS).groupBy("set").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), *[F.first(c).alias(c) for c in S.columns(S.WORDS)])
     parts = {r.id: r.root for r in S.confirmed(docs, points, 0.8, 5, block=20_000).collect()}  # three blocks
     assert set(parts.values()) == {5000} and len(parts) == 119
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_columns_of_any_name_pass(spark, repeated):
+    """Names that the operator might use inside come back as they were, with ids that repeat too."""
+    names = ["_id", "_gone", "_n", "_alone", "gone", "place", "ALONE", "a.b", "id", "set", "cluster"]
+    rows = [(i, "copy of one text in eight words or so" if i % 2 else f"text {i} of its own words {i * i}", *[f"{n}{i}" for n in names]) for i in range(8)]
+    rows += [(1, rows[1][1], *rows[1][2:])] * 2 * repeated
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    out = S.deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == sorted(r for r in set(rows) if r[0] % 2 == 0 or r[0] == 1)
