@@ -33,7 +33,7 @@ CAPACITY = 2048
 CLOSING = 1
 SLACK = 0.02
 #: Chunks whose ids a worker remembers.
-MEMORY = 1_200_000
+MEMORY = 500_000
 #: Pieces numbered in one task.
 BUCKET = 10_000
 

@@ -129,6 +129,10 @@ class Lexicon:
         self._next[state][c] = to = self._state(best)
         return to
 
+    def forget(self) -> None:
+        """Let go of the words that were looked up; the automaton stays."""
+        self._known.clear()
+
     def match(self, word: str) -> tuple[float, int] | None:
         """Weight and edits of the nearest term, or None."""
         if word in self._known:
@@ -312,5 +316,6 @@ def filtered(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
     def run(batches):
         for b in batches:
             yield b.filter(pa.array(sent.value.scores(text_column(b)) < threshold))
+        sent.value.lexicon.forget()  # the worker goes on with other stages
 
     return docs.mapInArrow(run, docs.schema)
