@@ -32,6 +32,50 @@ def resolve(mapping: dict, key: str) -> str | None:
     return key if key in loggers else next((x for x in loggers if x in key or key in x), None)
 
 
+#: Length of the pieces by which names find each other.
+PIECE = 3
+
+
+def _pieces(names: DataFrame, size) -> DataFrame:
+    """``names`` with each different ``piece`` of ``name`` of so many characters."""
+    starts = F.sequence(F.lit(1), F.length("name") - size + 1)
+    return names.where(F.length("name") >= size).withColumn("piece", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("name"), i, size)))))
+
+
+def _within(short: DataFrame, long: DataFrame) -> DataFrame:
+    """``id`` of ``short`` and ``of`` of ``long`` (both ``id, name``) where the first name, not empty, is part of the second.
+
+    A name that is part of another shares all its pieces with it, so its rarest piece alone finds the candidates.
+    """
+    whole = F.least(F.length("name"), F.lit(PIECE))
+    there = [_pieces(long, F.lit(n)).select(F.col("id").alias("of"), F.col("name").alias("in"), "piece") for n in range(1, PIECE + 1)]
+    every = there[0]
+    for x in there[1:]:
+        every = every.unionAll(x)
+    often = every.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = _pieces(short.where("name <> ''"), whole)
+    found = own.join(often, "piece", "left").groupBy("id", "name").agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), F.col("piece"))).alias("piece"))
+    return found.join(every, "piece").where(F.contains("in", "name")).select("id", "of")
+
+
+def lookup(keys: DataFrame, loggers: DataFrame) -> DataFrame:
+    """``key, logger``: for each different key the logger of that name, else the first by ``place`` that contains the key or is part of it; null where none is.
+
+    ``keys``: ``key``. ``loggers``: ``logger, place``; of one name the first counts. Null names meet nothing; an empty
+    one is part of every other. Candidates are found by pieces of names, so no key meets all loggers.
+    """
+    every = keys.select(F.col("key").cast("string").alias("key")).distinct()
+    known = loggers.where("logger is not null").groupBy(F.col("logger").cast("string").alias("logger")).agg(F.min("place").alias("place"))
+    k, m = (df.select(F.col(c).alias("id"), F.col(c).alias("name")) for df, c in ((every.where("key is not null"), "key"), (known, "logger")))
+    part = _within(m, k).select(F.col("of").alias("key"), F.col("id").alias("logger"))
+    whole = _within(k, m).select(F.col("id").alias("key"), F.col("of").alias("logger"))
+    first = known.agg(F.min_by("logger", "place").alias("logger"))  # one row
+    empty = every.where("key = ''").crossJoin(F.broadcast(first)).unionByName(every.where("key is not null").crossJoin(F.broadcast(known.where("logger = ''").select("logger"))))
+    order = F.struct((F.col("key") != F.col("logger")).alias("other"), "place")
+    best = part.unionByName(whole).unionByName(empty).join(known, "logger").groupBy("key").agg(F.min_by("logger", order).alias("logger"))
+    return every.join(best, "key", "left").select("key", "logger")
+
+
 def coverage(readings: DataFrame, mapping: DataFrame, logger: str = "serial") -> DataFrame:
     """Channels that the map names and readings lack, and the other way round; channels of loggers that the map knows."""
     seen = readings.select(F.col(logger).cast("string").alias("logger"), "channel").distinct()

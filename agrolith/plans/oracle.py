@@ -161,6 +161,8 @@ SQL: dict[str, str] = {
     "daily_record_count": f"with {R} select zone, ts::date as date, count(*) as records from r group by zone, date",
     "treatment_split": f"with {R}, {_MAP} select zone, trt, base_var, channel, ts, value from r join m using (zone, channel)",
     "treatment_coverage": f"with {R}, {_MAP}, s as (select distinct zone, channel from r where zone in (select zone from m)), n as (select distinct zone, channel from m) select zone as logger, channel, 'mapped, not found' as state from n anti join s using (zone, channel) union all select zone as logger, channel, 'found, not mapped' as state from s anti join n using (zone, channel)",
+    "logger_lookup": """with k as (select distinct (c_custkey * 7 + 100)::varchar as key from customer), m as (select (p_partkey * 13)::varchar as logger, p_partkey as place from part where p_size > 5)
+        select key, arg_min(logger, case when key = logger then -1 else place end) filter (contains(key, logger) or contains(logger, key)) as logger from k left join m on contains(key, logger) or contains(logger, key) group by key""",
     "upload_dedup": "select sha256(text)[1:16] as fingerprint, min(doc_id) as doc_id, count(*) as copies from documents group by 1",
     "corr_matrix": f"with {WIDE} " + " union all ".join(_corr(a, b) for a, b in (("temp", "rh"), ("temp", "ppfd"), ("temp", "solar"), ("rh", "ppfd"), ("rh", "solar"), ("ppfd", "solar"))),
     "ols": f"""with {WIDE}, d as (select * from w where temp is not null and ppfd is not null and solar is not null), s as (select count(*) as n, avg(temp) as my, avg(ppfd) as ma, avg(solar) as mb, covar_pop(ppfd, ppfd) as aa, covar_pop(solar, solar) as bb, covar_pop(ppfd, solar) as ab, covar_pop(ppfd, temp) as ay, covar_pop(solar, temp) as by_ from d)

@@ -543,6 +543,14 @@ def treatment_coverage(spark, sf):
     return treatment.coverage(I.readings(spark, sf), treatment.map_table(spark, _MAP), logger="zone")
 
 
+@query
+def logger_lookup(spark, sf):
+    """Customers' numbers look for the part whose number contains theirs or is part of it."""
+    keys = I.table(spark, sf, "customer").select((F.col("c_custkey") * 7 + 100).cast("string").alias("key"))
+    loggers = I.table(spark, sf, "part").where("p_size > 5").select((F.col("p_partkey") * 13).cast("string").alias("logger"), F.col("p_partkey").alias("place"))
+    return treatment.lookup(keys, loggers)
+
+
 @query
 def upload_dedup(spark, sf):
     files = I.table(spark, sf, "documents").select(store.fingerprint(F.col("text")).alias("fingerprint"), "doc_id")
