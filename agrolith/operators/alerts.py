@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolith.config import LEVELS
+from agrolith.operators.ledger import Taken, put
 from agrolith.operators.rules import by_severity, severity
 from agrolith.session import written
 
@@ -41,17 +43,60 @@ def _latest(state: DataFrame) -> DataFrame:
     return last.select("key", *[F.col(f"_s.{c}").alias(c) for c in rest])
 
 
+#: Runs after which the state is written as a whole again, and alerts in a file of it.
+EVERY, PER_FILE = 20, 1_000_000
+
+
+def _kept(spark, path: str) -> tuple[list[int], list[int], list[str]]:
+    """Numbers of the runs and of the wholes under ``path``, and files that lie there by themselves, as older runs left them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    of = lambda kind: sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{kind}="))
+    return of("run"), of("whole"), [f"{path}/{n}" for n in names if n.endswith(".parquet")]
+
+
 def load_state(spark, path: str) -> DataFrame:
     """The alerts noted under ``path``, the latest of each key; none where nothing was noted yet."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return empty_state(spark)
-    return _latest(spark.read.schema(STATE).parquet(path))
+    runs, wholes, files = _kept(spark, path)
+    last = max(wholes, default=0)
+    paths = [f"{path}/run={n:010d}" for n in runs if n > last] + ([f"{path}/whole={last:010d}"] if last else files)
+    return _latest(spark.read.schema(STATE).parquet(*paths)) if paths else empty_state(spark)
+
 
+def note_sent(sent: DataFrame, path: str, now, every: int = EVERY) -> None:
+    """Note what went out at ``now``; a run that is repeated notes the same again, which changes nothing.
 
-def note_sent(sent: DataFrame, path: str, now) -> None:
-    """Append what went out at ``now``; a run that is repeated notes the same again, which changes nothing."""
-    _noted(sent, now).write.mode("append").parquet(path)
+    Each call adds one numbered run. After ``every`` of them the latest of each key, dealt by key, is written as a whole, from
+    which readers start, and what the whole before it had replaced is deleted; so the folders are ``2 * every`` or so, however
+    many runs there were, and a reader that began before has its files.
+    """
+    spark, noted = sent.sparkSession, written(_noted(sent, now), "noted")
+    staging = f"{path}/_{uuid.uuid4().hex}"
+    noted.coalesce(max(1, -(-noted.count() // PER_FILE))).write.parquet(staging)
+    runs, wholes, _ = _kept(spark, path)
+    number = max([0, *runs, *wholes]) + 1
+    while True:
+        try:
+            put(spark, staging, f"{path}/run={number:010d}")
+            break
+        except Taken:  # another writer noted meanwhile: the next number
+            noted.write.parquet(staging)
+            number += 1
+    before = max(wholes, default=0)
+    if number - before < every:
+        return
+    state = load_state(spark, path)
+    state.repartition(max(1, -(-state.count() // PER_FILE)), "key").write.parquet(staging)
+    try:
+        put(spark, staging, f"{path}/whole={number:010d}")
+    except Taken:
+        return
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for kind, numbers in (("run", [n for n in runs if n <= before]), ("whole", [n for n in wholes if n < before])):
+        for n in numbers:
+            fs.delete(at(f"{path}/{kind}={n:010d}"), True)
 
 
 def summary(alerts: DataFrame) -> DataFrame:

@@ -106,18 +106,23 @@ class Ledger:
         """Make ``rows`` the next commit; raises ``Taken`` if another writer was first."""
         staging = f"{self.path}/staging-{uuid.uuid4().hex}"
         rows.coalesce(1).write.parquet(staging)  # a row for each day touched
-        jvm, fs = self.spark._jvm, _fs(self.spark, staging)[0]
-        here, there = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, self._commit(self.last + 1)))
-        fs.mkdirs(there.getParent())
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(here).toUri(), self.spark._jsc.hadoopConfiguration())
-        none = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-        try:
-            context.rename(fs.makeQualified(here), fs.makeQualified(there), none)
-        except Exception as e:
-            fs.delete(here, True)
-            if fs.exists(there):
-                raise Taken(str(there)) from e
-            raise
+        put(self.spark, staging, self._commit(self.last + 1))
+
+
+def put(spark: SparkSession, staging: str, target: str) -> None:
+    """Rename a written folder to ``target``, in one step; raises ``Taken`` if there is one."""
+    jvm, fs = spark._jvm, _fs(spark, staging)[0]
+    here, there = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, target))
+    fs.mkdirs(there.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(here).toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(here), fs.makeQualified(there), none)
+    except Exception as e:
+        fs.delete(here, True)
+        if fs.exists(there):
+            raise Taken(str(there)) from e
+        raise
 
 
 def _logged(df: DataFrame) -> DataFrame:

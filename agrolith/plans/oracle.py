@@ -186,5 +186,6 @@ SQL |= {
         v as (select file, place, count(ts) as n from p group by all), b as (select file, arg_max(place, n * 100 - place) as place from v group by file having max(n) > 0)
         select p.o_orderkey, p.file, p.ts from p join b using (file, place)""",
     "store_rebuild": f"with {R} select case when zone = '3' then 'L-1003' else 'house ' || zone end as zone, 'L-100' || zone as serial, ts, channel, value from r",
+    "alert_state": f"with a as ({SQL['r03_out_of_range']}) select key, case when start < timestamp '2024-01-16' then timestamp '2024-02-01 00:00:00' else timestamp '2024-02-01 06:00:00' end as last_sent, level, rule from a where level in ('WARN', 'CRITICAL')",
     "ingest_csv": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
 }
