@@ -6,7 +6,6 @@ times are those of any of its channels. Each rule returns the columns of ``ALERT
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,19 +17,21 @@ from agrolith.operators import grid as G
 from agrolith.operators.clean import outside, with_specs
 from agrolith.operators.daily import expected_per_day
 from agrolith.operators.ordered import islands, with_previous
+from agrolith.operators.selection import medians
+from agrolith.operators.sweep import findings
 from agrolith.session import written
 
 ALERT = ["zone", "rule", "level", "variable", "start", "end", "value", "detail", "message", "key"]
 CHANNEL = ["zone", "channel"]
 
 
-def alert(df: DataFrame, rule: str, variable: Column | str, start: Column | None, end: Column | None, value: Column, message: Column, detail: Column | None = None) -> DataFrame:
+def alert(df: DataFrame, rule: Column | str, variable: Column | str, start: Column | None, end: Column | None, value: Column, message: Column, detail: Column | None = None) -> DataFrame:
     """The common shape. ``df`` has ``zone`` and ``level``; rows whose level is null are no alerts."""
-    var = F.lit(variable) if isinstance(variable, str) else variable
+    rule, var = (F.lit(x) if isinstance(x, str) else x for x in (rule, variable))
     none = F.lit(None)
     s, e = (x.cast("timestamp_ntz") if x is not None else none.cast("timestamp_ntz") for x in (start, end))
-    key = F.concat_ws("|", F.lit(rule), var, F.coalesce(F.date_format(s, "yyyy-MM-dd HH:mm"), F.lit("-")))
-    cols = [F.col("zone").cast("string"), F.lit(rule), F.col("level"), var, s, e, value.cast("double"), (detail if detail is not None else none).cast("string"), message, F.concat_ws("|", F.col("zone").cast("string"), key)]
+    key = F.concat_ws("|", rule, var, F.coalesce(F.date_format(s, "yyyy-MM-dd HH:mm"), F.lit("-")))
+    cols = [F.col("zone").cast("string"), rule, F.col("level"), var, s, e, value.cast("double"), (detail if detail is not None else none).cast("string"), message, F.concat_ws("|", F.col("zone").cast("string"), key)]
     return df.where("level is not null").select(*[c.alias(n) for c, n in zip(cols, ALERT, strict=True)])
 
 
@@ -173,8 +174,11 @@ def r10_pair_divergence(grid: DataFrame, cfg: dict, minutes: float) -> DataFrame
     both = rows.where("rep > 1").join(a, ["zone", "base_var", "ts"])
     diff = F.abs(F.col("value") - F.col("x"))
     metric = F.when(F.col("base_var").isin(list(LIGHT)), F.when(F.col("x") > 50, diff / F.when(F.col("x") > 50, F.col("x")))).otherwise(diff)
-    found = both.groupBy("zone", "base_var", "first", "channel", "most").agg(F.count(F.lit(1)).alias("n"), F.median(metric).alias("metric"), F.min("ts").alias("start"), F.max("ts").alias("end"))
-    found = found.withColumn("level", F.when((F.col("n") >= 6) & (F.col("metric") > F.col("most")), "WARN"))
+    pair = ["zone", "base_var", "first", "channel", "most"]
+    both = both.withColumn("metric", metric)
+    found = both.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("start"), F.max("ts").alias("end")).where("n >= 6")
+    found = found.join(medians(both, pair, "metric"), pair).withColumnRenamed("median", "metric")
+    found = found.withColumn("level", F.when(F.col("metric") > F.col("most"), "WARN"))
     return alert(found, "R10_pair_divergence", F.col("base_var"), F.col("start"), F.col("end"), F.bround("metric", 4), _told("sensors differ: median ", _text("metric")), F.concat_ws(" vs ", "first", "channel"))
 
 
@@ -223,36 +227,64 @@ def _nothing(grid: DataFrame) -> DataFrame:
     return alert(none, "none", "-", None, None, F.lit(0.0), F.lit(""))
 
 
+def swept(grid: DataFrame, cfg: dict, minutes: float) -> DataFrame:
+    """Rules 3 to 8 and 13 in one pass: what ``r03_out_of_range`` to ``r08_rh_saturated`` and ``r13_heat`` give, in any order."""
+    qc, rule = cfg["qc"], F.col("rule")
+    n, hours = F.col("n"), F.col("n") * minutes / 60
+    pick = lambda **of: F.coalesce(*[F.when(rule == int(k[1:]), v if isinstance(v, Column) else F.lit(v)) for k, v in of.items()])
+    cause = F.when(F.col("constant"), "unconnected or broken port").otherwise("stuck sensor or link")
+    worst = lambda c: F.when(c, "CRITICAL").otherwise("WARN")
+    found = findings(grid, cfg, minutes)
+    found = found.select(
+        "zone",
+        pick(_3="R03_out_of_range", _4="R04_flatline", _5="R05_spike", _6="R06_daytime_dark", _7="R07_night_light", _8="R08_rh_saturated", _13="R13_heat_event").alias("name"),
+        pick(_3=worst(n >= qc["out_of_range_critical"]), _4=worst(hours >= 12), _5="WARN", _6="CRITICAL", _7="WARN", _8="WARN", _13=worst(hours >= 1)).alias("level"),
+        F.when(rule.isin(4, 13), F.col("base_var")).otherwise(F.col("channel")).alias("variable"), "begin", "end",
+        F.when(rule.isin(3, 5, 8), n.cast("double")).when(rule == 4, F.col("v")).otherwise(F.col("hi")).alias("value"),
+        F.when(rule == 4, F.col("channel")).alias("detail"),
+        pick(_3=_told(_text("n"), " readings out of range, seen ", _text("lo"), " to ", _text("hi")), _4=_told(_text("n"), " equal readings: ", cause), _5=_told(_text("n"), " jumps: loose contact or noise"), _6=_told("dark at noon: at most ", _text("hi")), _7=_told("light at night: up to ", _text("hi")), _8=_told(_text("n"), " saturated readings in succession"), _13=_told("heat in ", _text("n"), " readings, up to ", _text("hi"))).alias("message"),
+    )
+    return alert(found, F.col("name"), F.col("variable"), F.col("begin"), F.col("end"), F.col("value"), F.col("message"), F.col("detail"))
+
+
 #: The rules over the grid; those over a clock, days or a mapping report are called beside them.
-RULES = (r01_gaps, r02_missing, r03_out_of_range, r04_flatline, r05_spike, r06_daytime_dark, r07_night_light, r08_rh_saturated, r13_heat, r10_pair_divergence)
+RULES = (r01_gaps, r02_missing, swept, r10_pair_divergence)
+
+# What a rule's own fault is not: executors, disks and connections that are lost. Such faults end the run.
+LOST = ("No space left", "ExecutorLost", "SparkContext was shut down", "cancelled", "FetchFailed", "java.io.IOException", "OutOfMemory")
 
 
 def run_all(grid: DataFrame, cfg: dict, minutes: float, lookback_days: int | None = 7, now=None, report: DataFrame | None = None, rules=RULES) -> DataFrame:
-    """All rules' alerts, the worst first, then by start with empty ones last.
+    """All rules' alerts, the worst first, then by start with empty ones last. No rows give no alerts.
 
-    No rows give no alerts. The window is written once and each rule's alerts are written by themselves, four rules at a time,
-    so a rule that fails, planned or running, gives an ``R00_rule_error`` row and leaves the others alone.
+    The library's own rules are one plan, run when it is read and not before; ``grid`` is read by each of its parts, so give a written
+    table where making it costs much. Rules of others are run by themselves, over a written window: one that fails, planned or running, gives
+    an ``R00_rule_error`` row and leaves the rest alone; a lost disk or cluster is no rule's fault and raises.
     """
-    recent = written(G.window_of(grid, ["zone"], lookback_days, now), "window")
-    plans = [(f.__name__, lambda f=f: f(recent, cfg, minutes)) for f in rules]
+    others = [f for f in rules if f not in RULES]
+    recent = G.window_of(grid, ["zone"], lookback_days, now)
+    if others:
+        recent = written(recent, "window")
     whole = recent if lookback_days is None else grid
+    plans = [(f.__name__, lambda f=f: f(recent, cfg, minutes)) for f in rules]
     plans.append(("r11_transmittance", lambda: r11_transmittance(whole, cfg)))
     if now is not None:
         plans.append(("r09_offline", lambda: r09_offline(whole, cfg, now)))
     if report is not None:
         plans.append(("r12_errors", lambda: r12_errors(report, cfg)))
+    foreign = {f.__name__ for f in others}
 
     def run(named) -> DataFrame:
         name, plan = named
         try:
-            return written(plan(), name)
+            return written(plan(), name) if name in foreign else plan()
         except Exception as e:  # one rule's fault is reported as such
+            if any(x in str(e) for x in LOST):
+                raise
             one = grid.sparkSession.createDataFrame([("-", "INFO")], "zone string, level string")
             return alert(one, "R00_rule_error", "-", None, None, F.lit(0.0), F.lit(f"{name}: {str(e)[:200]}"))
 
-    with ThreadPoolExecutor(4) as pool:
-        found = list(pool.map(run, plans))
-    return by_severity(reduce(DataFrame.unionByName, found))
+    return by_severity(reduce(DataFrame.unionByName, map(run, plans)))
 
 
 def severity(c: str = "level") -> Column:
