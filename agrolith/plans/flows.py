@@ -80,7 +80,8 @@ def monitor(readings: DataFrame, cfg: dict, now: datetime, lookback_days: int |
     keys = ["zone", "channel", "base_var", "rep"]
     on = grid.on_grid(grid.snapped(readings.select(*keys, "ts", "value"), round(minutes * 60)), keys, round(minutes * 60))
     state = health.table(readings, config.specs(readings.sparkSession, cfg), minutes)
-    return rules.run_all(written(on, "grid"), cfg, minutes, lookback_days, now, report), state  # each part of the rules reads the grid
+    found = rules.run_all(written(on, "grid"), cfg, minutes, lookback_days, now, report)  # each part of the rules reads the grid
+    return rules.by_severity(written(found, "alerts")), state  # a summary, an exit code and sinks read the alerts
 
 
 def send(found: DataFrame, cfg: dict, now: datetime, state_path: str, sinks: dict, dry_run: bool = False):
