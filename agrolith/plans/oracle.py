@@ -177,6 +177,13 @@ SQL |= {
     "alert_summary": f"with a as ({_ALL}) select level, rule, count(*) as alerts, count(distinct variable) as variables, coalesce(string_agg(distinct variable, ', ' order by variable), '') as variable_names from a group by level, rule",
     "alerts_by_zone": f"with a as ({_ALL}) select zone, count(*) as alerts, max(case level when 'CRITICAL' then 3 when 'WARN' then 2 else 1 end)::int as worst from a group by zone",
     "alerts_cooldown": f"with a as ({_ALL}) select key, level from a where level = 'CRITICAL' and zone <> '0'",
+    "stream_cooldown": f"""with recursive a as (select {_ZONE} as zone, 'S' || (user_id % 3)::varchar as serial, {_VAR} as channel, ts::timestamp as t from events where floor(value + 0.5) > 100),
+        s as (select zone, serial, channel, min(t) as t from a group by all union all select * from (select s.zone, s.serial, s.channel, min(a.t) as t from s join a on a.zone = s.zone and a.serial = s.serial and a.channel = s.channel and a.t >= s.t + interval 12 hour group by all))
+        select zone, serial, channel, t as detected_at from s""",
+    "stream_offline": f"""with e as (select {_ZONE} as zone, 'S' || (user_id % 3)::varchar as serial, ts::timestamp as t from events), p as (select *, lag(t) over w as was, lead(t) over w as following from e window w as (partition by zone, serial order by t)),
+        r as (select *, count(*) filter (was is null or t - was >= interval 120 minute) over (partition by zone, serial order by t) as run from p),
+        x as (select zone, serial, min(t) as first_seen, max(t) as last_seen, count(*) as records, arg_max(following, t) as following from r group by zone, serial, run)
+        select zone, serial, first_seen, last_seen, records, last_seen + interval 120 minute as lost_at from x where last_seen + interval 120 minute <= (select max(t) from e)""",
     "stream_daily": f"with {RAW} select zone, base_var as channel, ts::date as date, count(v) as n, avg(v) as mean, min(v) as min, max(v) as max from raw group by all",
     "ingest_xlsx": f"with {R} select 'z6-0000' || zone as serial, case when channel in ('temp', 'rh') then '' else 'METER ZL6' end as model, ts, channel, value from r",
     "time_format_vote": f"""with d as (select o_orderkey, 'f' || (o_custkey % 7) as file, o_custkey % 7 as k, o_orderdate::timestamp as d from orders),

@@ -606,3 +606,39 @@ def stream_daily(spark, sf):
     r = events.select((F.col("user_id") % 4).cast("string").alias("zone"), I.variable().alias("channel"), "ts", F.floor(F.col("value") + 0.5).cast("double").alias("value"))
     token = uuid.uuid4().hex
     return live.kept(live.daily(r), f"{shared_root(spark)}/days-{token}", f"{shared_root(spark)}/stream-{token}")
+
+
+def _delivered(df: DataFrame) -> DataFrame:
+    """What a stream tells of all that it has so far, as a table in the shared folder."""
+    import uuid
+
+    from agrolith.session import shared_root
+
+    root = f"{shared_root(df.sparkSession)}/told-{uuid.uuid4().hex}"
+    df.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{root}/rows")
+
+
+def _event_stream(spark, sf) -> DataFrame:
+    from agrolith.streaming import live
+
+    events = live.read(spark, f"{sf}/event[s].parquet", I.table(spark, sf, "events").schema)
+    zone, serial = (F.col("user_id") % 4).cast("string"), F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string"))
+    return events.select(zone.alias("zone"), serial.alias("serial"), I.variable().alias("channel"), "ts", F.floor(F.col("value") + 0.5).alias("value"))
+
+
+@query
+def stream_cooldown(spark, sf):
+    """Readings over 100 as alerts of their logger and channel: the first, then each 12 hours or more after the last one sent."""
+    from agrolith.streaming import stateful
+
+    high = _event_stream(spark, sf).where("value > 100").withColumnRenamed("ts", "detected_at")
+    return _delivered(stateful.cooled(high, ["zone", "serial", "channel"]))
+
+
+@query
+def stream_offline(spark, sf):
+    """Losses of contact of each logger: runs of its readings that ended in two hours of silence."""
+    from agrolith.streaming import stateful
+
+    return _delivered(stateful.contact_lost(_event_stream(spark, sf), ["zone", "serial"]))
