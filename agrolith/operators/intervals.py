@@ -38,6 +38,27 @@ def survey_dates(dates: list | None = None, start=None, end=None, interval: int
     return [first + timedelta(days=i) for i in range(0, (last - first).days + 1, interval)]
 
 
+def planned(sites: DataFrame, keys: list[str], start: str, step: str, count=None, end: str | None = None) -> DataFrame:
+    """``keys, survey``: the survey dates of each site, from its ``start`` every ``step`` days, ``count`` of them or up to ``end``.
+
+    Sites without a start, a positive step, or a count or end, and those that end before they start, have none. Dates are made where the
+    site's row is, and no more of them than the result has.
+    """
+    if (count is None) == (end is None):
+        raise ValueError("survey dates need a count or an end")
+    ok = F.col(step) > 0
+    days = F.when(ok, F.col(step).cast("int"))
+    n = count if count is not None else F.floor(F.datediff(F.col(end), F.col(start)) / days).cast("int") + 1
+    steps = sites.where(ok & F.col(start).isNotNull()).withColumn("_n", F.when(F.datediff(F.col(end), F.col(start)) >= 0, n) if end is not None else n).where("_n > 0")
+    each = steps.select(*keys, F.col(start).alias("_start"), days.alias("_step"), F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)).alias("_i"))
+    return each.select(*keys, F.date_add("_start", F.col("_i") * F.col("_step")).alias("survey"))
+
+
+def listed(dates: DataFrame, keys: list[str], column: str = "survey") -> DataFrame:
+    """``keys, survey``: the distinct dates of each site's own list, nulls left out."""
+    return dates.select(*keys, F.to_date(column).alias("survey")).where("survey is not null").distinct()
+
+
 def cadence(surveys: DataFrame, column: str = "growth_date") -> DataFrame:
     """One row, ``days``: the most frequent distance of distinct survey dates, of equally frequent ones the least; 0 for under two.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from agrolith.config import LIGHT
@@ -43,6 +44,22 @@ def compare(both: DataFrame, keys: list[str]) -> DataFrame:
     return out.where(F.col("n") >= LEAST_PAIRS).select(*cols)
 
 
+def cross_check(both: DataFrame, keys: list[str], variable: str, tolerance: dict[str, float]) -> DataFrame:
+    """``compare`` with a verdict. Light is judged by its relative bias, the bias by the mean size of the reference; others by their bias.
+
+    ``result``: pass, fail, or unknown without a tolerance, and for light also where the reference is all zero. Bounds are inclusive.
+    Keys with fewer than ``LEAST_PAIRS`` pairs have their ``n`` and ``result`` "too_few", and null figures.
+    """
+    base = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (F.sum(F.abs("ref")) / F.count(F.lit(1))).alias("_size"))
+    told = compare(both, keys).withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    j = base.join(told, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], "left")
+    relative = F.when(F.col("_size") > 0, F.col("bias") / F.when(F.col("_size") > 0, F.col("_size"))) if variable in LIGHT else F.lit(None).cast("double")
+    judged_by, limit = F.abs("rel_bias" if variable in LIGHT else "bias"), F.lit(tolerance.get(variable)).cast("double")
+    result = F.when(F.col("_n") < LEAST_PAIRS, "too_few").when(judged_by <= limit, "pass").when(judged_by > limit, "fail").otherwise("unknown")
+    figures = ["ref_mean", "test_mean", "bias", "mae", "rmse", "r", "slope", "intercept", "start", "end"]
+    return j.withColumn("rel_bias", relative).select(*keys, F.lit(variable).alias("variable"), F.col("_n").alias("n"), *figures, "rel_bias", limit.alias("tolerance"), result.alias("result"))
+
+
 def daily_pairs(both: DataFrame, keys: list[str]) -> DataFrame:
     diff = F.col("test") - F.col("ref")
     n = F.count(F.lit(1))
@@ -82,10 +99,25 @@ def due_status(log: DataFrame, sensors: DataFrame, schedule: dict[str, int], tod
 
 
 def drift(log: DataFrame, keys: list[str]) -> DataFrame:
-    """The line of deviations over days of each sensor with three checks or more: slope by day and by year, last deviation."""
+    """The line of deviations over days of each sensor with three checks or more: slope by day and by year, last deviation, and the period."""
     rows = log.where("deviation is not null and date is not null")
     first = rows.groupBy(*keys).agg(F.min("date").alias("_first"))
     d = rows.join(first, keys).withColumn("_x", F.datediff("date", "_first").cast("double"))
-    out = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "deviation").alias("_xy"), F.var_pop("_x").alias("_xx"), F.max_by("deviation", F.struct("date", "deviation")).alias("last_deviation"))
+    out = d.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "deviation").alias("_xy"), F.var_pop("_x").alias("_xx"), F.max_by("deviation", F.struct("date", "deviation")).alias("last_deviation"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+    )
     by_day = slope(F.col("_xy"), F.col("_xx"))
-    return out.where("n >= 3").select(*keys, "n", F.bround(by_day, 6).alias("slope_per_day"), F.bround(by_day * 365, 4).alias("slope_per_year"), "last_deviation")
+    return out.where("n >= 3").select(*keys, "n", F.bround(by_day, 6).alias("slope_per_day"), F.bround(by_day * 365, 4).alias("slope_per_year"), "last_deviation", "first_date", "last_date")
+
+
+def drift_history(log: DataFrame, keys: list[str]) -> DataFrame:
+    """Each check with a deviation of the sensors that ``drift`` tells of, with its number in the sensor's order and the change since the one before.
+
+    A sensor's checks are few (a person makes each), so its window is small. Checks of one day go by their kind, then their deviation.
+    """
+    rows = log.where("deviation is not null and date is not null").select(*keys, "date", "check_type", "deviation", "result")
+    own = W.partitionBy(*keys)
+    order = own.orderBy("date", "check_type", "deviation", "result")
+    every = rows.withColumns({"_n": F.count(F.lit(1)).over(own), "number": F.row_number().over(order), "change": F.col("deviation") - F.lag("deviation").over(order)})
+    return every.where("_n >= 3").drop("_n")

@@ -42,6 +42,7 @@ def _through(recent, base):
 
 DAILY = """env as (select l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean, max(l_quantity) as temp_max, min(l_quantity) as temp_min, least(count(*) / 2.0, 1.0) as completeness, count(*) >= 2 as is_complete from lineitem group by 1)"""
 DAILY_T = """env as (select l_returnflag as trt, l_shipdate::date as date, sum(l_quantity) as dli, floor(avg(l_quantity) * 1000 + 0.5) as temp_mean from lineitem group by 1, 2)"""
+SEASONS = "se as (select c_nationkey as site, min(o_orderdate::date) as first, max(o_orderdate::date) as last, any_value(c_nationkey % 5 * 7) as step from orders join customer on o_custkey = c_custkey group by c_nationkey)"
 SURVEYS = "sv as (select distinct o_orderdate::date as d from orders)"
 FIXED = f"{SURVEYS}, iv as (select row_number() over (order by d) as interval_id, d as growth_date, d - 13 as a, d as b, 14::bigint as days_expected from sv)"
 AGG = f"""{DAILY}, {FIXED}, ag as (select interval_id, growth_date, days_expected, count(date) as days_used, round_even(count(date) / days_expected, 3) as day_coverage, round_even(avg(completeness), 3) as record_completeness,
@@ -102,9 +103,9 @@ SQL: dict[str, str] = {
     "daily_missing_ratio": f"with {R} select zone, ts::date as date, channel, round_even(1 - count(value) / 24, 4) as missing_ratio from r group by zone, date, channel",
     "daily_completeness": f"with {R}, t as (select distinct zone, ts from r where value is not null) select zone, ts::date as date, count(*) as n_records, round_even(count(*) / 24, 4) as completeness, round_even(count(*) / 24, 4) >= 0.9 as is_complete from t group by zone, date",
     "daily_by_treatment": f"with {R} select case when zone::int % 2 = 0 then 'even' else 'odd' end as trt, channel, ts::date as date, count(value) as n, avg(value) as mean, min(value) as min, max(value) as max from r group by trt, channel, date",
-    "survey_dates_count": "select (date '2026-04-10' + (10 * i)::int)::date as survey from range(6) t(i)",
-    "survey_dates_end": "select (date '2026-04-10' + (7 * i)::int)::date as survey from range(100) t(i) where date '2026-04-10' + (7 * i)::int <= date '2026-06-01'",
-    "survey_dates_list": "select * from (values (date '2026-04-10'), (date '2026-05-01')) t(survey)",
+    "survey_dates_count": f"with {SEASONS} select site, (first + (i * step)::int)::date as survey from se, range(100) t(i) where step > 0 and i <= site",
+    "survey_dates_end": f"with {SEASONS} select site, (first + (i * step)::int)::date as survey from se, range(10000) t(i) where step > 0 and first + (i * step)::int <= last",
+    "survey_dates_list": "select distinct o_orderpriority as site, o_orderdate::date as survey from orders",
     "cadence": f"with {SURVEYS}, {GAPS} select days::bigint as days from cd",
     "interval_defs_variable": f"with {VARIABLE.format(first="date '1995-03-01'")} {DEFS.format(lag=0)}",
     "interval_defs_lag": f"with {VARIABLE.format(first='d - (case when days > 0 then days else 7 end)::int + 1')} {DEFS.format(lag=3)}",
@@ -147,8 +148,17 @@ SQL: dict[str, str] = {
     "due_status": f"""with {LOG}, sc(check_type, period) as (values ('cross_check', 30), ('calibration', 365)), la as (select logger_id, sensor_id, variable, check_type, max(date) as last_date from lg group by all),
         j as (select s.*, sc.check_type, sc.period, la.last_date, (la.last_date + sc.period)::date as next_date, (date '2026-01-15' - (la.last_date + sc.period)::date)::int as overdue_days from (select distinct logger_id, sensor_id, variable from lg) s cross join sc left join la on la.logger_id = s.logger_id and la.sensor_id = s.sensor_id and la.variable = s.variable and la.check_type = sc.check_type)
         select *, case when last_date is null then 'never' when overdue_days > 0 then 'late' when overdue_days > -3 then 'imminent' else 'ok' end as status from j""",
-    "drift_trend": f"""with {LOG}, x as (select *, (date - min(date) over (partition by logger_id, sensor_id, variable))::double as x from lg), s as (select logger_id, sensor_id, variable, count(*) as n, count(*) * sum(x * deviation) - sum(x) * sum(deviation) as xy, count(*) * sum(x * x) - sum(x) * sum(x) as xx, arg_max(deviation, struct_pack(d := date, e := deviation)) as last_deviation from x group by all having count(*) >= 3)
-        select logger_id, sensor_id, variable, n, round_even(case when xx > 0 then xy / xx end, 6) as slope_per_day, round_even(case when xx > 0 then xy / xx end * 365, 4) as slope_per_year, last_deviation from s""",
+    "drift_trend": f"""with {LOG}, x as (select *, (date - min(date) over (partition by logger_id, sensor_id, variable))::double as x from lg), s as (select logger_id, sensor_id, variable, count(*) as n, count(*) * sum(x * deviation) - sum(x) * sum(deviation) as xy, count(*) * sum(x * x) - sum(x) * sum(x) as xx, arg_max(deviation, struct_pack(d := date, e := deviation)) as last_deviation, min(date) as first_date, max(date) as last_date from x group by all having count(*) >= 3)
+        select logger_id, sensor_id, variable, n, round_even(case when xx > 0 then xy / xx end, 6) as slope_per_day, round_even(case when xx > 0 then xy / xx end * 365, 4) as slope_per_year, last_deviation, first_date, last_date from s""",
+    "drift_history": f"""with {LOG}, t(variable, tol) as (values ('temp', 2500.0::double), ('ppfd', 0.5::double)), x as (select lg.*, case when (case when lg.variable = 'ppfd' then abs(deviation / 5000.0) else abs(deviation) end) <= tol then 'pass' when tol is not null then 'fail' end as result from lg left join t using (variable)),
+        h as (select logger_id, sensor_id, variable, date, check_type, deviation, result, count(*) over k as n, row_number() over o as number, deviation - lag(deviation) over o as change from x window k as (partition by logger_id, sensor_id, variable), o as (partition by logger_id, sensor_id, variable order by date, check_type, deviation, result nulls first))
+        select * exclude (n) from h where n >= 3""",
+    "cross_check": f"""with {R}, v(variable, test, tol) as (values ('temp', 'temp', 8.0::double), ('solar', 'solar', 0.5::double), ('rh', 'rh', null)),
+        p as (select a.zone, a.ts::date as day, v.variable, v.tol, a.value as ref, b.value as test from r a join r b on a.zone = b.zone and a.ts = b.ts and a.channel = 'ppfd' join v on b.channel = v.test),
+        g as (select zone, day, variable, any_value(tol) as tol, count(*) as n, avg(ref) as ref_mean, avg(test) as test_mean, avg(test - ref) as bias, avg(abs(test - ref)) as mae, sqrt(avg((test - ref) * (test - ref))) as rmse, corr(test, ref) as r, regr_slope(test, ref) as slope, regr_intercept(test, ref) as intercept,
+          case when variable = 'solar' then avg(test - ref) / nullif(avg(abs(ref)), 0) end as rel_bias from p group by zone, day, variable)
+        select zone, day, variable, n, {", ".join(f"case when n >= 6 and not isnan({c}) then round({c}, 8) end as {c}" for c in ("ref_mean", "test_mean", "bias", "mae", "rmse", "r", "slope", "intercept", "rel_bias"))}, tol as tolerance,
+          case when n < 6 then 'too_few' when coalesce(rel_bias, bias) is null or tol is null then 'unknown' when abs(coalesce(rel_bias, bias)) <= tol then 'pass' else 'fail' end as result from g""",
     "zone_upsert": f"""with {LOADS}, k as (select *, row_number() over (partition by zone, ts, channel order by case when value is null then 1 else 0 end, load_ord, serial) as rn, min(serial) over (partition by zone, ts, channel) as any_serial from l) select zone, ts, channel, case when value is null then any_serial else serial end as serial, value from k where rn = 1""",
     "archive_increment": f"""with {LOADS}, k as (select zone, channel, serial, max(load_ord) as o from l group by all), n as (select *, row_number() over (partition by zone, channel order by o desc, serial) as rn from k)
         select l.zone, l.ts, case when rn = 1 then l.channel else l.channel || '__rep' || rn end as channel, case when rn = 1 then 0 else rn end::int as rep, l.serial, coalesce(max(value) filter (load_ord = 0), max(value) filter (load_ord = 1)) as value from l join n using (zone, channel, serial) group by all""",
@@ -195,4 +205,5 @@ SQL |= {
     "store_rebuild": f"with {R} select case when zone = '3' then 'L-1003' else 'house ' || zone end as zone, 'L-100' || zone as serial, ts, channel, value from r",
     "alert_state": f"with a as ({SQL['r03_out_of_range']}) select key, case when start < timestamp '2024-01-16' then timestamp '2024-02-01 00:00:00' else timestamp '2024-02-01 06:00:00' end as last_sent, level, rule from a where level in ('WARN', 'CRITICAL')",
     "ingest_csv": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
+    "ingest_source": f"with {R} select 'L-100' || zone as serial, ts, channel, value from r",
 }

@@ -154,6 +154,21 @@ def ingest_csv(spark, sf):
     return logger_files.deduplicated(read).where("value is not null").select("serial", "ts", "channel", "value")
 
 
+@query
+def ingest_source(spark, sf):
+    """The same exports through the data source ``logger``, in ranges of 4 KB, so that several tasks read each."""
+    import uuid
+
+    from agrolith.session import shared_root
+    from agrolith.sources import logger_files, logger_source
+
+    folder = f"{shared_root(spark)}/exports-{uuid.uuid4().hex}"
+    _export(spark, sf, folder)
+    cells = logger_source.cells(logger_source.raw(spark, f"{folder}/*/*/*.txt", 4096))
+    read = logger_files.readings(cells, "path")
+    return logger_files.deduplicated(read).where("value is not null").select("serial", "ts", "channel", "value")
+
+
 def _workbooks(spark, sf) -> DataFrame:
     """The readings as workbooks, one for each zone: two configurations that share the time, a raw sheet and metadata. ``path, content, load``."""
     wide = reshape.pivot(I.readings(spark, sf), ["zone", "ts"], list(I.VARIABLES.values()))
@@ -275,23 +290,26 @@ def daily_by_treatment(spark, sf):
 # --- intervals and growth
 
 
-def _dates(spark, dates):
-    return spark.createDataFrame([(d,) for d in dates], "survey date")
+def _seasons(spark, sf):
+    """Each nation's customers as a site: the first and last day of their orders, and a step of days."""
+    o = I.table(spark, sf, "orders").join(I.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    day = F.to_date("o_orderdate")
+    return o.groupBy(F.col("c_nationkey").alias("site")).agg(F.min(day).alias("first"), F.max(day).alias("last")).withColumn("step", F.col("site") % 5 * 7)
 
 
 @query
 def survey_dates_count(spark, sf):
-    return _dates(spark, intervals.survey_dates(start="2026-04-10", interval=10, count=6))
+    return intervals.planned(_seasons(spark, sf), ["site"], "first", "step", count=F.col("site") + 1)
 
 
 @query
 def survey_dates_end(spark, sf):
-    return _dates(spark, intervals.survey_dates(start="2026-04-10", interval=7, end="2026-06-01"))
+    return intervals.planned(_seasons(spark, sf), ["site"], "first", "step", end="last")
 
 
 @query
 def survey_dates_list(spark, sf):
-    return _dates(spark, intervals.survey_dates(["2026-05-01", "2026-04-10", "2026-05-01"]))
+    return intervals.listed(I.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("site"), F.to_date("o_orderdate").alias("survey")), ["site"])
 
 
 @query
@@ -487,6 +505,22 @@ def drift_trend(spark, sf):
     return verify.drift(verify.recorded(_log(spark, sf), _TOLERANCE), ["logger_id", "sensor_id", "variable"])
 
 
+@query
+def drift_history(spark, sf):
+    return verify.drift_history(verify.recorded(_log(spark, sf), _TOLERANCE), ["logger_id", "sensor_id", "variable"])
+
+
+@query
+def cross_check(spark, sf):
+    """Temperature judged against light by bias, sun against light by relative bias, humidity without a tolerance; by logger and day, so that some have few pairs."""
+    r = I.readings(spark, sf).withColumn("day", F.to_date("ts"))
+    out = None
+    for variable, test in (("temp", "temp"), ("solar", "solar"), ("rh", "rh")):
+        one = verify.cross_check(verify.pairs(r, "ppfd", test, ["zone", "day"]), ["zone", "day"], variable, {"temp": 8.0, "solar": 0.5})
+        out = one if out is None else out.unionByName(one)
+    return out.select("zone", "day", "variable", "n", *[F.round(c, 8).alias(c) for c in ("ref_mean", "test_mean", "bias", "mae", "rmse", "r", "slope", "intercept", "rel_bias")], "tolerance", "result")
+
+
 # --- archive, treatments, uploads
 
 

@@ -42,18 +42,21 @@ def decoded(data: bytes) -> str:
     return data.decode("latin1")
 
 
+def separator(lines: list[str]) -> str:
+    """The delimiter that most of the first lines agree on."""
+    votes: Counter = Counter()
+    for x in lines[:30]:
+        best = max(",;\t|", key=x.count)
+        votes[best] += x.count(best) > 0
+    return votes.most_common(1)[0][0] if votes else ","
+
+
 def ragged(text: str, sep: str | None = None) -> list[list[str]]:
     """Rows of a delimited text, padded to the widest; the delimiter is the one that most first lines agree on."""
     import csv
 
     lines = [x for x in text.splitlines() if x.strip()]
-    if sep is None:
-        votes = Counter()
-        for x in lines[:30]:
-            best = max(",;\t|", key=x.count)
-            votes[best] += x.count(best) > 0
-        sep = votes.most_common(1)[0][0] if votes else ","
-    rows = list(csv.reader(lines, delimiter=sep))
+    rows = list(csv.reader(lines, delimiter=sep or separator(lines)))
     width = max(map(len, rows), default=0)
     return [[c.strip() for c in r] + [""] * (width - len(r)) for r in rows]
 
