@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolith.llm.common import buckets_for, column, hash_sample, text_column
+from agrolith.llm.common import buckets_for, column, text_column
 
 #: Together a guarantee of 25 common code points, so that the kept half of an edited text of 50 leaves a pick.
 K = 10
 WINDOW = 16
+#: Ranges of the order, at most: the driver sees two places of 17 bytes for each.
+RANGES = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -114,35 +116,64 @@ def edited(text: str, following: str) -> str:
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
+def _keys(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the place of a row in the order: nulls last, ids falling, equal ones by the hash of their text."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return own.select("doc_id", "text", F.col("doc_id").isNull().alias("_null"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).cast("long").alias("_down"), F.xxhash64("text").alias("_hash"))
+
+
+_PLACE = ["_null", "_down", "_hash"]
+
+
+def _packed(null, down, hashed) -> np.ndarray:
+    """Places as strings of 17 bytes that sort as the places do."""
+    out = np.zeros((len(null), 17), np.uint8)
+    out[:, 0] = null
+    for at, x in ((1, down), (9, hashed)):
+        out[:, at : at + 8] = (np.asarray(x, np.int64).view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view("S17").ravel()
+
+
+def _firsts(keyed: DataFrame, per_bucket: int) -> np.ndarray:
+    """The first places of the ranges: the very first, and quantiles of a sample of distinct places, two a range, at most ``2 * RANGES``."""
+    place = keyed.select(*_PLACE)
+    rows, first = place.agg(F.count(F.lit(1)), F.min(F.struct(*_PLACE))).first()
+    if not rows:
+        return np.zeros(0, "S17")
+    n = min(buckets_for(rows, per_bucket), RANGES)
+    bounds = _packed([first[0]], [first[1]], [first[2]])
+    if n > 1:
+        fine, mixed = 1 << 40, F.xxhash64(*_PLACE)
+        share = min(fine, -(-4 * n * fine // rows))  # about twice what is taken, unless rows repeat
+        few = place.where(F.pmod(mixed, F.lit(fine)) < share).distinct().orderBy(mixed, *_PLACE).limit(2 * n).toArrow()
+        known = np.sort(_packed(*(few[c].to_numpy() for c in _PLACE)))
+        bounds = np.unique(np.concatenate([bounds, known[len(known) * np.arange(1, n) // n]])) if len(known) else bounds
+    return bounds
+
+
 def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_bucket: int = 4000) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document by falling id.
 
-    Ids are cut into ranges of about ``per_bucket`` rows at quantiles of a sample, two ids a range, so their number
-    follows the rows (8 bytes for each 2000 rows go to the driver). Texts are dealt to the ranges once, ranges to
-    tasks by size, and streamed through each in order; the first document of a range also goes to the range before it, so
-    no range waits for another. Nulls come last; equal ids go by the hash of their text and lie in one range.
+    The order is by id and, for equal or null ids, by the hash of the text, and is cut into ranges of about ``per_bucket`` rows (more where
+    that would make over ``RANGES``), so what the driver sees is bounded whatever the table's size, and an id that a third of all rows have is many
+    ranges. Only rows that are alike in id and text share a range whatever their number; a range is sorted by Spark, which spills, and
+    streamed, so it takes time and no memory. Texts are dealt to the ranges once, ranges to tasks by size; the first document of a range
+    also goes to the range before it, so no range waits for another. Nulls come last.
     """
-    spark = docs.sparkSession
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    seen = ids.agg(F.count(F.lit(1)), F.max("doc_id")).first()
-    n, none = buckets_for(seen[0], per_bucket), np.zeros(0, np.int64)
-    known = np.sort(hash_sample(ids, ["doc_id"], seen[0], 2 * n).toArrow()["doc_id"].to_numpy()) if n > 1 else none
-    bounds = np.unique(np.append(known[len(known) * np.arange(1, n) // n], seen[1])).astype(np.int64) if seen[0] else none
-    sent = spark.sparkContext.broadcast(bounds)
+    keyed = _keys(docs)
+    sent = docs.sparkSession.sparkContext.broadcast(_firsts(keyed, per_bucket))
 
     def deal(batches):
         bounds = sent.value
         for b in batches:
-            doc = column(b, "doc_id")
-            key = doc.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-            at = np.searchsorted(bounds, key)  # range i: over bound i - 1, up to bound i
-            yield b.append_column("_at", pa.array(at)).append_column("_tail", pa.array(np.zeros(len(at), np.int8)))
-            if len(bounds):
-                first = np.flatnonzero(np.isin(key, bounds) & doc.is_valid().to_numpy(zero_copy_only=False))
-                if len(first):
-                    own = b.take(pa.array(first))
-                    before = (at[first] + 1) % len(bounds)  # the range that precedes it by rising number follows it by falling id
-                    yield own.append_column("_at", pa.array(before)).append_column("_tail", pa.array(np.ones(len(first), np.int8)))
+            place = _packed(*(column(b, c).to_numpy(zero_copy_only=False) for c in _PLACE))
+            at = np.searchsorted(bounds, place, "right") - 1  # range i: from its first place on
+            own = b.select(["doc_id", "text", "_hash"])
+            yield own.append_column("_at", pa.array(at)).append_column("_tail", pa.array(np.zeros(len(at), np.int8)))
+            range_, one = np.unique(np.where(bounds[at] == place, at, -1), return_index=True)
+            range_, one = range_[range_ >= 0], one[range_ >= 0]  # of rows that are alike one is enough
+            if len(one):
+                yield own.take(pa.array(one)).append_column("_at", pa.array((range_ - 1) % len(bounds))).append_column("_tail", pa.array(np.ones(len(one), np.int8)))
 
     def stream(batches):
         held = opening = None  # document and text that wait for the next one; text that opened the range
@@ -181,6 +212,6 @@ def compare_in_order(docs: DataFrame, k: int = K, window: int = WINDOW, per_buck
         if rows:
             yield batch()
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(deal, "doc_id long, text string, _at long, _tail byte")
-    ordered = dealt.repartitionByRange("_at").sortWithinPartitions("_at", "_tail", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    dealt = keyed.mapInArrow(deal, "doc_id long, text string, _hash long, _at long, _tail byte")
+    ordered = dealt.repartitionByRange("_at").sortWithinPartitions("_at", "_tail", F.desc_nulls_last("doc_id"), "_hash")
     return ordered.mapInArrow(stream, RESULT)

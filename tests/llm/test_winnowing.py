@@ -90,3 +90,25 @@ def test_kept_half_of_a_short_text_leaves_a_pick():
     for n in range(50, 200):
         text, following = ("".join(rng.choices("abcdefgh ", k=n)) for _ in range(2))
         assert W.likeness(W.fingerprint(text)[0], W.fingerprint(W.edited(text, following))[0]) > 0
+
+
+def test_an_id_of_a_third_of_all_rows_is_many_ranges(spark, make):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.randrange(0, 80))) for _ in range(300)]
+    ids = [7 if i % 3 == 0 else None if i % 30 == 1 else i * (-1) ** i for i in range(300)]
+    texts[30:60:3] = ["the same"] * 10  # rows alike in id and text
+    docs = make(texts, ids)
+    bounds = W._firsts(W._keys(docs), 4)
+    place = [(r[0], r[1], r[2]) for r in W._keys(docs).select(*W._PLACE).collect()]
+    at = np.searchsorted(bounds, W._packed(*zip(*place, strict=True)), "right") - 1
+    assert at.min() == 0 and np.bincount(at).max() < 40 and len(bounds) > 40
+    assert [x for _, x in sorted(zip(W._packed(*zip(*place, strict=True)).tolist(), place, strict=True))] == sorted(place)
+    rows = [r.text for r in W._keys(docs).orderBy(*W._PLACE).collect()]
+    want = brute(list(enumerate(rows)))
+    for per in (4, 1000):
+        assert sorted(tuple(r)[1:] for r in W.compare_in_order(docs, per_bucket=per).collect()) == sorted(want.values())
+
+
+def test_the_number_of_ranges_is_bounded(make, monkeypatch):
+    monkeypatch.setattr(W, "RANGES", 5)
+    assert len(W._firsts(W._keys(make([str(i) for i in range(500)])), 1)) <= 5
