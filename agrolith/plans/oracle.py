@@ -95,6 +95,8 @@ SQL: dict[str, str] = {
     "range_report": f"with {R}, {SPECS}, c as (select zone, channel, count(*) filter (value < lo or value > hi) as masked, count(*) as n from r left join specs using (channel) group by all) select zone, channel, masked, round_even(masked / n, 5) as ratio from c where masked > 0",
     "vpd_daily": f"with {WIDE} select zone, ts::date as date, round(avg(0.6108 * exp(17.27 * temp / (temp + 237.3)) * (1.0 - rh / 100.0)), 6) as vpd_mean from w where temp is not null and rh is not null group by all",
     "daily_summary": f"with {R} select zone, channel, ts::date as date, count(value) as n, avg(value) as mean, min(value) as min, max(value) as max, round_even(1 - count(value) / 24, 4) as missing_ratio from r group by zone, channel, date",
+    "daily_vpd": f"with {WIDE}, v as (select zone, ts, 0.6108 * exp(17.27 * temp / (temp + 237.3)) * (1.0 - rh / 100.0) as v from w) select zone, ts::date as date, round(avg(v), 6) as vpd_mean, round(avg(v) filter (hour(ts) >= 9 and hour(ts) < 15), 6) as vpd_day from v group by zone, date",
+    "growth_xlsx": "select o_orderdate::date as date, substr(o_orderstatus, 1, 1) as trt, o_orderkey as plant, floor(o_totalprice + 0.5) as fresh_wt, case when o_orderkey % 3 <> 0 then 'dry' end as note from orders",
     "daily_wide": f"""with {WIDE}, d as (select zone, ts::date as date, count(*) as n, avg(temp) as tm, min(temp) as tn, max(temp) as tx, avg(rh) as rh_mean, max(soil_temp) as sx, sum(ppfd) as ps, count(*) filter (ppfd > 10) as lit, avg(ppfd) filter (ppfd > 10) as pm, max(ppfd) as px, sum(solar) as ss, max(solar) as sox, count(temp) as nt from w group by all)
         select zone, date, n as n_records, round_even(n / 24, 4) as completeness, round_even(n / 24, 4) >= 0.9 as is_complete, tm as temp_mean, tn as temp_min, tx as temp_max, tx - tn as temp_amp, case when tm is null then 0.0 else greatest(tm - 10.0, 0.0) end as gdd, rh_mean, sx as soil_temp_max,
         coalesce(ps * 3600 / 1000000.0::double, 0.0) as dli, round_even(case when px is null then null else lit end * 60.0::double / 60, 2) as photoperiod_h, coalesce(pm, 0.0) as ppfd_day_mean, px as ppfd_max, coalesce(ss * 3600 / 1000000.0::double, 0.0) as solar_mj, sox as solar_max, round_even(1 - nt / 24, 4) as temp_missing_ratio from d""",

@@ -201,6 +201,26 @@ def ingest_xlsx(spark, sf):
     return logger_files.deduplicated(logger_files.readings(cells)).where("value is not null").select("serial", "model", "ts", "channel", "value")
 
 
+@query
+def growth_xlsx(spark, sf):
+    """Orders as measurements in workbooks, one for each customer, read back; the notes of some are blank."""
+    from agrolith.session import written
+    from agrolith.sources import logger_files
+
+    rows = I.growth(spark, sf).join(I.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("site")), "o_orderkey")
+    rows = rows.withColumn("serial", (F.datediff("date", F.lit(date(1899, 12, 30)))).cast("double"))
+
+    def write(site):
+        from agrolith.sources.workbooks import workbook
+
+        table = [(float(r.serial), r.trt, float(r.o_orderkey), float(r.weight), "dry" if r.o_orderkey % 3 else None) for r in site.itertuples(index=False)]
+        return pd.DataFrame([(workbook({"Growth": [["date", "trt", "plant", "fresh_wt", "note"], *table]}, "date"),)], columns=["content"])
+
+    books = written(rows.groupBy("site").applyInPandas(write, "content binary"), "growth-books")
+    read = logger_files.grown(books)
+    return read.select(F.to_date(F.substring("date", 1, 10)).alias("date"), "trt", X.number(F.col("plant")).cast("long").alias("plant"), X.number(F.col("fresh_wt")).alias("fresh_wt"), "note")
+
+
 @query
 def time_format_vote(spark, sf):
     """Orders as files that write their dates in different ways, each file in one way, some of it unreadable."""
@@ -261,6 +281,14 @@ def daily_wide(spark, sf):
     return out.select("zone", "date", "n_records", "completeness", "is_complete", "temp_mean", "temp_min", "temp_max", "temp_amp", "gdd", "rh_mean", "soil_temp_max", "dli", "photoperiod_h", "ppfd_day_mean", "ppfd_max", F.col("solar_MJ").alias("solar_mj"), "solar_max", "temp_missing_ratio")
 
 
+@query
+def daily_vpd(spark, sf):
+    """VPD of whole days and of daytime, of records that have both temperature and humidity; null on days with other readings alone."""
+    wide = reshape.pivot(I.readings(spark, sf), ["zone", "ts"], ["temp", "rh"])
+    out = daily.wide_summary(wide, ["zone"], I.MINUTES)
+    return out.select("zone", "date", *[F.round(c, 6).alias(c) for c in ("vpd_mean", "vpd_day")])
+
+
 @query
 def daily_light(spark, sf):
     return daily.light(I.readings(spark, sf).where("channel = 'ppfd'"), ["zone"], I.MINUTES, 10.0)

@@ -7,13 +7,15 @@ stop the others.
 
 from __future__ import annotations
 
+from itertools import islice
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrolith.functions.expressions import KOREAN_FORMATS, TIME_FORMATS, is_error, number, time_by_format
-from agrolith.session import ship
-from agrolith.sources.parsing import cells_of
+from agrolith.session import ship, written
+from agrolith.sources.parsing import Workbook, cells_of
 
 CELLS = "file string, sheet string, serial string, model string, row int, ts_raw string, source string, channel string, base_var string, rep int, raw string, problem string"
 _KINDS = [pa.string()] * 4 + [pa.int32()] + [pa.string()] * 4 + [pa.int32()] + [pa.string()] * 2
@@ -97,10 +99,37 @@ def deduplicated(read: DataFrame, *more: str) -> DataFrame:
 
 
 def growth(spark: SparkSession, path: str, date_column: str = "date") -> DataFrame:
-    """A survey table (csv with a header); it must have its date column."""
-    df = spark.read.csv(path, header=True, inferSchema=False)
+    """A survey table (csv with a header, or a workbook's first sheet); it must have its date column."""
+    df = grown(spark.read.format("binaryFile").load(path).select("content")) if path.lower().endswith(".xlsx") else spark.read.csv(path, header=True, inferSchema=False)
     if date_column not in df.columns:
         raise ValueError(f"{path} has no column {date_column!r}")
     keys = {date_column, "trt", "treatment", "note", "rep"}
     numbers = [number(F.col(c)).alias(c) if c not in keys else F.col(c) for c in df.columns]
-    return df.select(*numbers).withColumn(date_column, F.to_date(date_column))
+    return df.select(*numbers).withColumn(date_column, F.to_date(F.substring(date_column, 1, 10)))
+
+
+def grown(books: DataFrame) -> DataFrame:
+    """Survey tables in the first sheets of workbooks (``content``) as one table of texts, a row for each row and a column for each heading.
+
+    Equal rows stay as many as they are; blank cells are null, columns without a heading are left out, and
+    of headings that repeat in a sheet the first counts. Only the headings, which are few, come to the driver. Workbooks are read by row.
+    """
+    ship(books.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            for content in b.column(0).to_pylist():
+                book = Workbook(content)
+                rows = book.rows(next(iter(book.sheets)))
+                place: dict[str, int] = {}
+                for i, c in enumerate(next(rows, [])):
+                    place.setdefault(c.strip(), i)
+                place.pop("", None)
+                while some := list(islice(rows, 5_000)):
+                    cells = [[(k, r[i]) for k, i in place.items() if i < len(r) and r[i]] for r in some]
+                    yield pa.RecordBatch.from_arrays([pa.array([list(place)] * len(cells), pa.list_(pa.string())), pa.array(cells, pa.map_(pa.string(), pa.string()))], names=["headings", "cells"])
+
+    found = written(books.select("content").mapInArrow(run, "headings array<string>, cells map<string,string>"), "survey-tables")
+    first = found.select(F.posexplode("headings").alias("n", "heading")).groupBy("heading").agg(F.min("n").alias("n"))
+    headings = [r.heading for r in first.orderBy("n", "heading").collect()]
+    return found.select(*[F.try_element_at("cells", F.lit(h)).alias(h) for h in headings])

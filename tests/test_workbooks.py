@@ -58,3 +58,15 @@ def test_results_as_csv_and_runs_of_one_second(spark, tmp_path):
     assert runs == ["20260401-000000-x", "20260401-000000-x(2)", "20260401-000000-x(3)"]
     assert sorted(map(tuple, spark.read.csv(f"{tmp_path}/r/run={runs[1]}/t", header=True).collect())) == [("1", "a,b"), ("2", None)]
     assert store.results(spark, f"{tmp_path}/r").count() == 3
+
+
+def test_growth_of_a_workbook(spark, tmp_path):
+    rows = [["date", "trt", "rep", "fresh_wt", "", "note", "fresh_wt"], [T0, "NI", 1, 2.5, "x", "wet", 9.0], [T0, "NI", 1, 2.5, "x", "wet", 9.0], [], [None, "NI+SL", 2, "ERROR"]]
+    (tmp_path / "g.xlsx").write_bytes(workbook({"Growth": rows, "Other": [["a"], [1.0]]}, "date"))
+    (tmp_path / "no.xlsx").write_bytes(workbook({"Growth": [["day"], [1.0]]}, "day"))
+    got = L.growth(spark, f"{tmp_path}/g.xlsx")
+    assert got.columns == ["date", "trt", "rep", "fresh_wt", "note"]
+    first = (T0.date(), "NI", "1", 2.5, "wet")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([first, first, (None, "NI+SL", "2", None, None)], key=str)
+    with pytest.raises(ValueError, match="no column 'date'"):
+        L.growth(spark, f"{tmp_path}/no.xlsx")
