@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ from agrolith.llm.common import column, hash_sample, materialise, text_column
 
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 30_000
+#: Words and stems, each with a text, that a worker holds before it hands them on.
+PAIRS = 200_000
 #: Verdicts that a worker remembers.
 MEMORY = 500_000
 WINDOW = 80
@@ -196,6 +198,23 @@ def _tail(k: int, n: int, p: float) -> float:
     return n * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0)) / math.log(10)
 
 
+def _pairs(batches, wanted: tuple[frozenset, frozenset] | None = None):
+    """Words and stems (those wanted, or all) with the group of their text, handed on after any text that makes them over ``PAIRS``: a batch may be of any size."""
+    keys, likes = [], []
+    flush = lambda: pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(likes, pa.int64())], names=["key", "like"])
+    for b in batches:
+        for t in text_column(b):
+            words = _words(t)
+            stems = {s for w in words for s in _prefixes(w)}
+            own = [*words, *stems] if wanted is None else [*(words & wanted[0]), *(stems & wanted[1])]
+            keys += own
+            likes += [_like(words)] * len(own)
+            if len(keys) > PAIRS:
+                yield flush()
+                keys, likes = [], []
+    yield flush()
+
+
 def learn_lexicon(train: DataFrame) -> Lexicon:
     """All terms and stems that pass the test. ``train``: ``text`` and ``toxic``, a bounded table, which bounds them too.
 
@@ -203,29 +222,7 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
     """
     spark = train.sparkSession
 
-    def counts(wanted):
-        def run(batches):
-            seen = defaultdict(set)
-            for b in batches:
-                for t in text_column(b):
-                    words = _words(t)
-                    group = _like(words)
-                    keys = words if wanted is None else words & wanted.value[0]
-                    for w in keys:
-                        seen[w].add(group)
-                    for s in {s for w in words for s in _prefixes(w)} if wanted is None else {s for w in words for s in _prefixes(w)} & wanted.value[1]:
-                        seen[s].add(group)
-                if len(seen) > 400_000:
-                    yield flush(seen)
-                    seen.clear()
-            yield flush(seen)
-
-        def flush(seen):
-            pairs = [(w, g) for w, gs in seen.items() for g in gs]
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.int64())], names=["key", "like"])
-
-        return run
-
+    counts = lambda wanted: lambda batches: _pairs(batches, wanted and wanted.value)
     toxic, other = train.where("toxic = 1"), train.where("toxic = 0")
     count = lambda rows, wanted: rows.select("text").mapInArrow(counts(wanted), "key string, like long").distinct().groupBy("key").count()
     table = lambda df: dict(zip(*(df.toArrow()[c].to_pylist() for c in ("key", "count")), strict=True))

@@ -93,3 +93,17 @@ def test_repeated_rows_and_ties_in_the_sample(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows] * 2, "doc_id long, toxic int")
     models = [T.train(docs.repartition(n), labels.repartition(n), sample=100) for n in (1, 5)]
     assert models[0].lexicon.terms == models[1].lexicon.terms and abs(models[0].weights - models[1].weights).max() < 1e-9
+
+
+def test_learning_holds_few_pairs_whatever_a_batch_has(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "PAIRS", 100)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["worthless", "people", "of", "trash", "trashy", "lowest", "Ébène"], k=rng.randint(0, 9))) for _ in range(500)]
+    batch = [pa.RecordBatch.from_arrays([pa.array(texts + [None])], names=["text"])]  # one batch, and few different words
+    for wanted in (None, (frozenset(["trash", "of"]), frozenset(["trash*"]))):
+        want = [(k, T._like(T._words(t))) for t in texts for w in [T._words(t)] for k in w | {s for x in w for s in T._prefixes(x)} if wanted is None or k in wanted[0] | wanted[1]]
+        found = list(T._pairs(iter(batch), wanted))
+        assert sorted(x for b in found for x in zip(b["key"].to_pylist(), b["like"].to_pylist())) == sorted(want)
+        assert len(found) > 5 and max(b.num_rows for b in found) <= 100 + 50
