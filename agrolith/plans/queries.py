@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from itertools import groupby, islice
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,19 +207,22 @@ def ingest_xlsx(spark, sf):
 @query
 def growth_xlsx(spark, sf):
     """Orders as measurements in workbooks, one for each customer, read back; the notes of some are blank."""
-    from agrolith.session import written
+    from agrolith.session import ship, written
     from agrolith.sources import logger_files
 
-    rows = I.growth(spark, sf).join(I.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("site")), "o_orderkey")
-    rows = rows.withColumn("serial", (F.datediff("date", F.lit(date(1899, 12, 30)))).cast("double"))
+    ship(spark)
+    day = F.datediff(F.to_date("o_orderdate"), F.lit(date(1899, 12, 30))).cast("double")
+    rows = I.table(spark, sf, "orders").select(F.col("o_custkey").alias("site"), day.alias("serial"), F.substring("o_orderstatus", 1, 1).alias("trt"), F.col("o_orderkey").cast("double").alias("plant"), F.floor(F.col("o_totalprice") + 0.5).cast("double").alias("weight"), F.when(F.col("o_orderkey") % 3 != 0, "dry").alias("note"))
 
-    def write(site):
+    def write(batches):
         from agrolith.sources.workbooks import workbook
 
-        table = [(float(r.serial), r.trt, float(r.o_orderkey), float(r.weight), "dry" if r.o_orderkey % 3 else None) for r in site.itertuples(index=False)]
-        return pd.DataFrame([(workbook({"Growth": [["date", "trt", "plant", "fresh_wt", "note"], *table]}, "date"),)], columns=["content"])
+        every = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        sites = (workbook({"Growth": [["date", "trt", "plant", "fresh_wt", "note"], *(r[1:] for r in site)]}, "date") for _, site in groupby(every, key=itemgetter(0)))
+        while some := list(islice(sites, 100)):
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], names=["content"])
 
-    books = written(rows.groupBy("site").applyInPandas(write, "content binary"), "growth-books")
+    books = written(rows.repartition("site").sortWithinPartitions("site").mapInArrow(write, "content binary"), "growth-books")
     read = logger_files.grown(books)
     return read.select(F.to_date(F.substring("date", 1, 10)).alias("date"), "trt", X.number(F.col("plant")).cast("long").alias("plant"), X.number(F.col("fresh_wt")).alias("fresh_wt"), "note")
 

@@ -108,6 +108,30 @@ def growth(spark: SparkSession, path: str, date_column: str = "date") -> DataFra
     return df.select(*numbers).withColumn(date_column, F.to_date(F.substring(date_column, 1, 10)))
 
 
+def _tables(batches):
+    """The headings of each first sheet, once, and the cells of each row."""
+    for b in batches:
+        for content in b.column(0):
+            book = Workbook(content.as_py())
+            rows = book.rows(next(iter(book.sheets)))
+            place: dict[str, int] = {}
+            for i, c in enumerate(next(rows, [])):
+                place.setdefault(c.strip(), i)
+            place.pop("", None)
+            headings = list(place)
+            for r in rows:
+                yield headings, [(k, r[i]) for k, i in place.items() if i < len(r) and r[i]]
+                headings = None  # once for a sheet
+
+
+def _survey_rows(batches):
+    """``headings`` and ``cells`` in batches of many rows, which small workbooks share."""
+    rows = _tables(batches)
+    while some := list(islice(rows, 5_000)):
+        headings, cells = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(headings, pa.list_(pa.string())), pa.array(cells, pa.map_(pa.string(), pa.string()))], names=["headings", "cells"])
+
+
 def grown(books: DataFrame) -> DataFrame:
     """Survey tables in the first sheets of workbooks (``content``) as one table of texts, a row for each row and a column for each heading.
 
@@ -116,20 +140,7 @@ def grown(books: DataFrame) -> DataFrame:
     """
     ship(books.sparkSession)
 
-    def run(batches):
-        for b in batches:
-            for content in b.column(0).to_pylist():
-                book = Workbook(content)
-                rows = book.rows(next(iter(book.sheets)))
-                place: dict[str, int] = {}
-                for i, c in enumerate(next(rows, [])):
-                    place.setdefault(c.strip(), i)
-                place.pop("", None)
-                while some := list(islice(rows, 5_000)):
-                    cells = [[(k, r[i]) for k, i in place.items() if i < len(r) and r[i]] for r in some]
-                    yield pa.RecordBatch.from_arrays([pa.array([list(place)] * len(cells), pa.list_(pa.string())), pa.array(cells, pa.map_(pa.string(), pa.string()))], names=["headings", "cells"])
-
-    found = written(books.select("content").mapInArrow(run, "headings array<string>, cells map<string,string>"), "survey-tables")
+    found = written(books.select("content").mapInArrow(_survey_rows, "headings array<string>, cells map<string,string>"), "survey-tables")
     first = found.select(F.posexplode("headings").alias("n", "heading")).groupBy("heading").agg(F.min("n").alias("n"))
     headings = [r.heading for r in first.orderBy("n", "heading").collect()]
     return found.select(*[F.try_element_at("cells", F.lit(h)).alias(h) for h in headings])

@@ -70,3 +70,22 @@ def test_growth_of_a_workbook(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([first, first, (None, "NI+SL", "2", None, None)], key=str)
     with pytest.raises(ValueError, match="no column 'date'"):
         L.growth(spark, f"{tmp_path}/no.xlsx")
+
+
+def test_small_workbooks_share_batches():
+    import pyarrow as pa
+
+    books = [workbook({"Growth": [["a", f"b{i % 2}"], [float(i), "x"], [f"{i}", None]]}, shared=False) for i in range(300)] + [workbook({"Growth": [["only"]]})]
+    found = list(L._survey_rows(iter([pa.RecordBatch.from_pydict({"content": books[:7]}), pa.RecordBatch.from_pydict({"content": books[7:]})])))
+    assert [b.num_rows for b in found] == [600]
+    assert found[0]["headings"].to_pylist() == [x for i in range(300) for x in (["a", f"b{i % 2}"], None)]
+    assert found[0]["cells"].to_pylist() == [x for i in range(300) for x in ([("a", f"{float(i)}"), (f"b{i % 2}", "x")], [("a", f"{i}")])]
+
+
+def test_growth_of_sites_without_a_key_and_of_orders_that_repeat(spark, tmp_path):
+    from agrolith.plans.queries import QUERIES
+
+    orders = [(k // 2, 7 if k < 12_000 else None if k % 2 else k, "F", 10.5 + k, T0 + timedelta(days=k % 9)) for k in range(12_050)]  # one site of 12,000
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = sorted(tuple(r) for r in QUERIES["growth_xlsx"](spark, str(tmp_path)).select("date", "trt", "plant", "fresh_wt", F.coalesce("note", F.lit(""))).collect())
+    assert rows == sorted((t.date(), s, k, p + 0.5, "dry" if k % 3 else "") for k, _, s, p, t in orders)
