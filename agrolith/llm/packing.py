@@ -10,7 +10,8 @@ and number // k is the bin. Only the last bin of each class may stay open. Open
 twice the root of the capacity, are put together whole, first-fit by falling length; their pieces stay where they are.
 
 Ids are made per blank-separated chunk of a text and remembered for the next one, in a memory of
-bounded size: the tokenizer drops white space, so no token reaches over a blank.
+bounded size: the tokenizer drops white space, so no token reaches over a blank. Punctuation behind a letter or digit of
+ASCII is a token run of its own, so a word is learned once with all that stands behind it. A full memory keeps what was met since it was half full.
 
 Defined results: a null text counts as empty, and an empty one has the closing id alone. Repeated
 rows and ids are packed as they come. An empty table gives an empty result.
@@ -19,6 +20,7 @@ rows and ids are packed as they come. An empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -36,6 +38,8 @@ SLACK = 0.02
 MEMORY = 500_000
 #: Pieces numbered in one task.
 BUCKET = 10_000
+# A chunk with punctuation behind it. An apostrophe may be the start of a contraction, so it is not among these, nor are signs of special tokens.
+_behind = re.compile(rb"(.*[A-Za-z0-9])([]!\"#$%&()*+,./:;=?@\[\\^_`{}~-]+)", re.S)
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int, int]]:
@@ -65,7 +69,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.own, self.known = Tokenizer.from_file(path), {}
+        self.own, self.known, self.older = Tokenizer.from_file(path), {}, {}
         self.mark = min(self.own.get_added_tokens_decoder())
         self.between = self.own.id_to_token(self.mark)
 
@@ -78,8 +82,15 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Ids of new chunks, many in one text with a special token between them."""
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Ids of new chunks, those with punctuation behind from the ids of both parts."""
+        parted = [(c, *m.groups()) for c in chunks if (m := _behind.fullmatch(c))]
+        parts = {x for c in parted for x in c[1:]}
+        self._make(list((chunks.difference(c for c, _, _ in parted) | parts).difference(self.known)))
+        self.known.update((c, self.known[word] + self.known[behind]) for c, word, behind in parted)
+
+    def _make(self, chunks: list[bytes]) -> None:
+        """Ids by the tokenizer, many chunks in one text with a special token between them."""
         between = self.between.encode()
         odd = [c for c in chunks if between in c]
         self.known.update(zip(odd, (x.tobytes() for x in self._ids([c.decode() for c in odd])), strict=True))
@@ -105,10 +116,11 @@ class Encoder:
     def _turn(self, chunks: list[list[bytes]]) -> list[bytes]:
         every = set().union(*chunks)
         new = every.difference(self.known)
-        if len(self.known) + len(new) > MEMORY:
-            self.known, new = {}, every
-        if new:
-            self._learn(list(new))
+        if len(self.known) + len(new) > MEMORY // 2:
+            self.known, self.older, new = {}, self.known, every
+        again = new.intersection(self.older)
+        self.known.update((c, self.older[c]) for c in again)
+        self._learn(new - again)
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 

@@ -101,3 +101,19 @@ def test_workers_number_their_own(spark, corpus):
     found = materialise(P.pieces(corpus, PATH), "t")
     placed = P.packed(found, bucket=20)
     assert check(corpus.collect(), placed) < 0.02
+
+
+def test_words_are_learned_once_whatever_stands_behind_them_and_outlive_a_full_memory(monkeypatch):
+    made = []
+    plain = P.Encoder._make
+    monkeypatch.setattr(P.Encoder, "_make", lambda self, chunks: made.extend(chunks) or plain(self, chunks))
+    encoder = P.Encoder(PATH)
+    ends = [".", ",", "!?", "***", ").", '."', "'", "'s", "'s.", "’.", "\u0301.", "<|endoftext|>.", "<.", "_", "-x", "7.", "7,5.", "\u00a0.", ".é"]
+    texts = [" ".join(w + e for w in ("house", "don't", "été", "İstanbul", "x<|endoftext|>y", "")) for e in ends] + [" ".join(f"house{e}" for e in ends)]
+    assert [np.frombuffer(x, "<u4").tolist() + [P.CLOSING] for x in encoder.encode(texts)] == whole(texts)
+    assert made.count(b"house") == 1 and b"house." not in made and b"house***" not in made
+    monkeypatch.setattr(P, "MEMORY", 40)
+    for i in range(50):
+        encoder.encode([f"frequent, words stay; seldom{i} ones{i} go{i}."])
+        assert i < 10 or len(encoder.known) + len(encoder.older) <= 2 * 40
+    assert made.count(b"frequent") == 1 and made.count(b"stay") == 1
