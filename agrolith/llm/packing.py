@@ -10,8 +10,9 @@ and number // k is the bin. Only the last bin of each class may stay open. Open
 twice the root of the capacity, are put together whole, first-fit by falling length; their pieces stay where they are.
 
 Ids are made per blank-separated chunk of a text and remembered for the next one, in a memory of
-bounded size: the tokenizer drops white space, so no token reaches over a blank. Punctuation behind a letter or digit of
-ASCII is a token run of its own, so a word is learned once with all that stands behind it. A full memory keeps what was met since it was half full.
+bounded size: the tokenizer drops white space, so no token reaches over a blank. Punctuation behind a letter of Latin-1 or a digit of
+ASCII is a token run of its own, so a word is learned once with all that stands behind it. Words of such letters alone need only
+the tokenizer's merges. A full memory keeps what was met since it was half full.
 
 Defined results: a null text counts as empty, and an empty one has the closing id alone. Repeated
 rows and ids are packed as they come. An empty table gives an empty result.
@@ -22,9 +23,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,8 +42,16 @@ SLACK = 0.02
 MEMORY = 500_000
 #: Pieces numbered in one task.
 BUCKET = 10_000
-# A chunk with punctuation behind it. An apostrophe may be the start of a contraction, so it is not among these, nor are signs of special tokens.
-_behind = re.compile(rb"(.*[A-Za-z0-9])([]!\"#$%&()*+,./:;=?@\[\\^_`{}~-]+)", re.S)
+#: Characters that are cut into chunks in one turn.
+TURN = 2_000_000
+#: Punctuation that may stand behind a word. An apostrophe may be the start of a contraction, so it is not among these, nor are signs of special tokens.
+BEHIND = b"]!\"#$%&()*+,./:;=?@[\\^_`{}~-"
+# Letters of ASCII and Latin-1, in UTF-8, that are letters in every form: no normal form changes them, and they are lower-cased one by one.
+_letter = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_letters, _ended = re.compile(_letter + rb"+"), re.compile(rb"(?:" + _letter + rb"|[0-9])\Z")
+# What stands for a byte in the tokenizer's words: visible characters of Latin-1 themselves, others by number from 256 on; blanks stay.
+_visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_alphabet = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _visible) if b != 0x20}
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int, int]]:
@@ -84,13 +96,28 @@ class Encoder:
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Ids of new chunks, those with punctuation behind from the ids of both parts."""
-        parted = [(c, *m.groups()) for c in chunks if (m := _behind.fullmatch(c))]
+        parted = [(c, word, c[len(word) :]) for c in chunks if c[-1] in BEHIND and _ended.search(word := c.rstrip(BEHIND))]
         parts = {x for c in parted for x in c[1:]}
         self._make(list((chunks.difference(c for c, _, _ in parted) | parts).difference(self.known)))
         self.known.update((c, self.known[word] + self.known[behind]) for c, word, behind in parted)
 
     def _make(self, chunks: list[bytes]) -> None:
-        """Ids by the tokenizer, many chunks in one text with a special token between them."""
+        """Ids of words of plain letters by the tokenizer's merges alone, of other chunks by the whole tokenizer."""
+        for a in range(0, len(chunks), 10_000):
+            part = chunks[a : a + 10_000]
+            ascii_ = [c for c in part if c.isalpha()]
+            latin = [c for c in set(part).difference(ascii_) if _letters.fullmatch(c)]
+            self._words(ascii_, b" ".join(ascii_).lower().decode())
+            self._words(latin, b" ".join(latin).decode().lower().encode().decode("latin-1").translate(_alphabet))
+            self._others(list(set(part).difference(ascii_, latin)))
+
+    def _words(self, words: list[bytes], shown: str) -> None:
+        """Such a word is one token run as it stands: only case and the alphabet that stands for bytes (``shown``) come before the merges."""
+        for word, own in zip(words, map(self.own.model.tokenize, shown.split()), strict=True):
+            self.known[word] = array("I", [t.id for t in own]).tobytes()
+
+    def _others(self, chunks: list[bytes]) -> None:
+        """Many chunks in one text with a special token between them."""
         between = self.between.encode()
         odd = [c for c in chunks if between in c]
         self.known.update(zip(odd, (x.tobytes() for x in self._ids([c.decode() for c in odd])), strict=True))
@@ -105,24 +132,39 @@ class Encoder:
         """The ids of each text. Texts go in turns, so that the chunks of a batch of long ones are not held at once."""
         out, turn, size = [], [], 0
         for t in texts:
-            raw = t.encode()
-            turn.append((raw if b"<|" in raw else raw.lower()).split())  # a special token in capitals is none
-            size += len(raw)
-            if size > 2_000_000:
+            turn.append(t)
+            size += len(t)
+            if size > TURN:
                 out += self._turn(turn)
                 turn, size = [], 0
         return out + self._turn(turn)
 
-    def _turn(self, chunks: list[list[bytes]]) -> list[bytes]:
-        every = set().union(*chunks)
-        new = every.difference(self.known)
+    def _turn(self, texts: list[str]) -> list[bytes]:
+        """Arrow cuts the texts into chunks and numbers the different ones, so that each is looked up once."""
+        raw = pa.array(texts, pa.large_string())
+        raw = pc.if_else(pc.match_substring(raw, "<|"), raw, pc.ascii_lower(raw))  # a special token in capitals is none
+        lists = pc.ascii_split_whitespace(raw)
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        self._remember(set(chunks))
+        own = list(map(self.known.__getitem__, chunks))
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        at, of = size.cumsum() - size, coded.indices.to_numpy()
+        n = size[of]
+        ends = np.append(0, n.cumsum())
+        ids = np.frombuffer(b"".join(own), "<u4")[np.arange(ends[-1]) + np.repeat(at[of] - ends[:-1], n)].tobytes()
+        edges = (4 * ends[lists.offsets.to_numpy()]).tolist()
+        return [ids[a:b] for a, b in pairwise(edges)]
+
+    def _remember(self, chunks: set[bytes]) -> None:
+        chunks.discard(b"")
+        new = chunks.difference(self.known)
         if len(self.known) + len(new) > MEMORY // 2:
-            self.known, self.older, new = {}, self.known, every
+            self.known, self.older, new = {}, self.known, chunks
         again = new.intersection(self.older)
         self.known.update((c, self.older[c]) for c in again)
         self._learn(new - again)
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+        self.known[b""] = b""
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int = CLOSING, ids: bool = False) -> DataFrame:
