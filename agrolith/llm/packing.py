@@ -91,6 +91,11 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def forget(self) -> None:
+        """Let go of the chunks; the tokenizer stays."""
+        self.known, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -137,7 +142,9 @@ class Encoder:
             if size > TURN:
                 out += self._turn(turn)
                 turn, size = [], 0
-        return out + self._turn(turn)
+        out += self._turn(turn)
+        pa.default_memory_pool().release_unused()  # else Arrow keeps what the turns took
+        return out
 
     def _turn(self, texts: list[str]) -> list[bytes]:
         """Arrow cuts the texts into chunks and numbers the different ones, so that each is looked up once."""
@@ -148,11 +155,14 @@ class Encoder:
         chunks = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         self._remember(set(chunks))
         own = list(map(self.known.__getitem__, chunks))
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        at, of = size.cumsum() - size, coded.indices.to_numpy()
+        size = np.fromiter(map(len, own), np.int32, len(own)) // 4
+        at, of = size.cumsum(dtype=np.int64) - size, coded.indices.to_numpy()
         n = size[of]
-        ends = np.append(0, n.cumsum())
-        ids = np.frombuffer(b"".join(own), "<u4")[np.arange(ends[-1]) + np.repeat(at[of] - ends[:-1], n)].tobytes()
+        ends = np.append(0, n.cumsum(dtype=np.int64))
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        from_ = np.arange(ends[-1], dtype=kind)
+        from_ += np.repeat((at[of] - ends[:-1]).astype(kind), n)
+        ids = np.frombuffer(b"".join(own), "<u4")[from_].tobytes()
         edges = (4 * ends[lists.offsets.to_numpy()]).tolist()
         return [ids[a:b] for a, b in pairwise(edges)]
 
@@ -186,6 +196,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, closing: int =
                 cols = list(zip(*rows, strict=True))
                 out = [pa.array(x, pa.int64()) for x in cols[:6]] + ([pa.array(cols[6], pa.list_(pa.int32()))] if ids else [])
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", *["ids"] * ids])
+        encoder.forget()  # the worker goes on with other stages
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long" + ", ids array<int>" * ids)
 

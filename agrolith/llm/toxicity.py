@@ -289,6 +289,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for b in batches:
             x = np.array([features(t, sent.value) for t in text_column(b)], float).reshape(-1, len(NONE))
             yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), column(b, "toxic")], names=[*"abcd", "toxic"])
+        sent.value.forget()  # the worker goes on with the filter, which has a lexicon of its own
 
     seen = rows.mapInArrow(run, "a double, b double, c double, d double, toxic int").toArrow()
     x = np.column_stack([seen[c].to_numpy() for c in "abcd"]) if seen.num_rows else np.zeros((0, len(NONE)))

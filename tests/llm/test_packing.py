@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -128,3 +129,14 @@ def test_words_of_plain_letters_go_to_the_merges_alone(monkeypatch):
     texts += [t.replace(" ", "., ") + ".***" for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() + [P.CLOSING] for x in P.Encoder(PATH).encode(texts)] == whole(texts)
     assert asked and not set(latin).intersection("".join(asked)) and "aiÈle" not in "".join(asked)
+
+
+def test_workers_let_go_of_chunks_after_their_task(spark, corpus):
+    def held(batches):
+        for b in batches:
+            e = P.Encoder._by_path.get(PATH)
+            yield pa.RecordBatch.from_arrays([pa.array([-1 if e is None else len(e.known) + len(e.older)] * b.num_rows, pa.int64())], names=["n"])
+
+    assert P.pieces(corpus, PATH).count() > 0
+    seen = {r.n for r in spark.range(64, numPartitions=16).mapInArrow(held, "n long").collect()}
+    assert 0 in seen and max(seen) == 0
